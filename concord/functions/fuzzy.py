@@ -85,9 +85,9 @@ def fuzzy_votes(arrays: dict[str, Column], thresholds: dict[str, float]) -> Colu
     return vote_udf(thresholds)(*contested)
 
 
-def settled_or_voted(array: Column, voted: Column) -> Column:
-    single = F.size(F.array_distinct(array)) <= 1
-    return F.when(single, F.get(array, F.lit(0))).otherwise(voted)
+def settled_or_voted(array: str, voted: str) -> str:
+    """SQL text: the only spelling of an array, or the vote where there are several."""
+    return f"CASE WHEN size(array_distinct({array})) <= 1 THEN get({array}, 0) ELSE {voted} END"
 
 
 @F.pandas_udf(T.DoubleType())

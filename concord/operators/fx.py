@@ -1,4 +1,9 @@
-"""Conversion of monetary columns to US dollars."""
+"""Conversion of monetary columns to US dollars.
+
+The rates table has one row per currency code. The optimizer broadcasts it because its
+file size is known and small; nothing is forced, so a table that grew past the broadcast
+threshold would be joined by shuffle with adaptive skew splitting.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.schema import AMOUNT, MONETARY_FIELDS
-from concord.session import small_side
 
 # Target currency and kept decimal places.
 TARGET_CURRENCY = "USD"
@@ -26,7 +30,7 @@ def usd_amount(amount: Column, rate: Column) -> Column:
 
 
 def _with_verdict(df: DataFrame, rates: DataFrame, money: Sequence[str], currency: str):
-    table = small_side(rates.select(F.col("currency").alias("_fx_code"), F.col("rate").alias("_fx_rate")))
+    table = rates.select(F.col("currency").alias("_fx_code"), F.col("rate").alias("_fx_rate"))
     joined = df.join(table, F.col(currency) == F.col("_fx_code"), "left")
     passes = needs_no_conversion(F.col(currency))
     has_money = F.coalesce(*[F.col(m) for m in money]).isNotNull()

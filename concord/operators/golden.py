@@ -11,13 +11,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from enum import Enum
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concord.functions.fuzzy import NAME_THRESHOLD, fuzzy_votes, settled_or_voted
 from concord.operators import votes
 from concord.schema import ORDER_FIELDS
-from concord.session import small_side, stage
+from concord.session import stage
 
 #: Largest group that is voted on as an array inside one row.
 GROUP_LIMIT = 1_000
@@ -119,7 +119,7 @@ def split_by_size(
     oversize = sizes.filter(F.col("_n") > limit).select(key)
     if oversize.isEmpty():
         return df, None
-    oversize = small_side(stage(oversize, "oversize-keys"))
+    oversize = stage(oversize, "oversize-keys")
     return df.join(oversize, key, "left_anti"), df.join(oversize, key, "left_semi")
 
 
@@ -167,56 +167,73 @@ def merge_arrays(
 def vote_rows(
     grouped: DataFrame, key: str, rules: Mapping[str, Rule], price_range: PriceRange | None
 ) -> DataFrame:
-    """Apply the rules to a frame of ``key, _rows`` (ordered array of structs)."""
-    rows = F.col("_rows")
-
-    def reports(field: str) -> Column:
-        every = F.transform(rows, lambda r: r[field])
-        return every if rules[field].strategy is Strategy.UNION else votes.present(every)
-
-    arrays = grouped.select(key, "_rows", *[reports(f).alias(f) for f in rules])
-    filtered = {
-        f: votes.within_deviation(F.col(f), r.max_deviation)
-        for f, r in rules.items()
-        if r.strategy is Strategy.MEDIAN and r.max_deviation is not None
-    }
-    kept = arrays.withColumns(filtered) if filtered else arrays
+    """Apply the rules to a frame of ``key, _rows`` (ordered array of structs).
 
+    Each step is a projection of its own, so that what a filter compares with is worked
+    out once per group and not once per element.
+    """
+    medians = {f: r for f, r in rules.items() if r.strategy is Strategy.MEDIAN}
     fuzzy = {f: r.threshold for f, r in rules.items() if r.strategy is Strategy.FUZZY}
+    banded = {f: r.max_deviation for f, r in medians.items() if r.max_deviation is not None}
+    plain = [f for f in rules if f not in banded]
+    joint = price_range is not None
+
+    def reported(field: str) -> str:
+        every = votes.reports("_rows", field)
+        if rules[field].strategy is Strategy.UNION:
+            return every
+        known = votes.known(every)
+        return f"array_sort({known})" if field in medians else known
+
+    first = [f"{reported(f)} AS {f}" for f in rules]
+    if joint:
+        agree = votes.is_consistent(*[f"r.{c}" for c in price_range.columns])
+        first.append(f"filter(_rows, r -> {agree}) AS _agreeing")
+    steps = grouped.selectExpr(key, *first)
+
+    kept = [*plain, *(["_agreeing"] if joint else [])]
+    if banded:
+        middles = [f"{votes.middle_sum(f)} AS _mid_{f}" for f in banded]
+        steps = steps.selectExpr("*", *middles)
+        scales = [f"{votes.zero_scale(f, f'_mid_{f}')} AS _abs_{f}" for f in banded]
+        steps = steps.selectExpr("*", *scales)
+        near = [
+            f"{votes.within_deviation(f, f'_mid_{f}', f'_abs_{f}', share)} AS {f}"
+            for f, share in banded.items()
+        ]
+        steps = steps.selectExpr(key, *kept, *near)
     if fuzzy:
-        kept = kept.withColumn("_fuzzy", fuzzy_votes({f: F.col(f) for f in fuzzy}, fuzzy))
-
-    def voted(field: str, rule: Rule) -> Column:
-        values = F.col(field)
-        if rule.strategy is Strategy.MODE:
-            vote = votes.mode_first(values)
-        elif rule.strategy is Strategy.MEDIAN:
-            vote = votes.low_median(values)
-        elif rule.strategy is Strategy.UNION:
-            vote = votes.union_ordered(values)
-        else:
-            vote = settled_or_voted(values, F.col("_fuzzy")[field])
-        return votes.with_quorum(values, vote, rule.min_sources)
-
-    results = {f: voted(f, r) for f, r in rules.items()}
-    if price_range:
-        results |= _joint_prices(rows, results, price_range)
-    return kept.select(key, *[results[f].alias(f) for f in rules])
-
-
-def _joint_prices(rows: Column, single: dict[str, Column], p: PriceRange) -> dict[str, Column]:
-    agreeing = F.filter(rows, lambda r: votes.is_consistent(r[p.last], r[p.low], r[p.high]))
-    enough = F.size(agreeing) >= MIN_CONSISTENT
-    inverted = F.coalesce(single[p.low] > single[p.high], F.lit(False))
-
-    def joint(field: str) -> Column:
-        return votes.low_median(F.transform(agreeing, lambda r: r[field]))
-
-    return {
-        p.last: F.when(enough, joint(p.last)).otherwise(single[p.last]),
-        p.low: F.when(enough, joint(p.low)).when(~inverted, single[p.low]),
-        p.high: F.when(enough, joint(p.high)).when(~inverted, single[p.high]),
-    }
+        steps = steps.withColumn("_fuzzy", fuzzy_votes({f: F.col(f) for f in fuzzy}, fuzzy))
+
+    def voted(field: str, rule: Rule) -> str:
+        vote = {
+            Strategy.MODE: votes.mode_first,
+            Strategy.MEDIAN: votes.low_median,
+            Strategy.UNION: votes.union_ordered,
+            Strategy.FUZZY: lambda f: settled_or_voted(f, f"_fuzzy.{f}"),
+        }[rule.strategy](field)
+        return f"{votes.with_quorum(field, vote, rule.min_sources)} AS {field}"
+
+    results = [voted(f, r) for f, r in rules.items()]
+    if not joint:
+        return steps.selectExpr(key, *results)
+    p = price_range
+    ordered = [f"array_sort(transform(_agreeing, r -> r.{c})) AS _joint_{c}" for c in p.columns]
+    single = steps.selectExpr(key, *results, *ordered)
+    return single.selectExpr(key, *[_joint_price(f, p) for f in rules])
+
+
+def _joint_price(field: str, p: PriceRange) -> str:
+    """Joint vote over the agreeing rows, else the single vote, where an inverted pair
+    of bounds is nulled."""
+    if field not in p.columns:
+        return field
+    ordered = f"_joint_{field}"
+    alone = field
+    if field != p.last:
+        alone = f"CASE WHEN NOT coalesce({p.low} > {p.high}, false) THEN {field} END"
+    enough = f"size({ordered}) >= {MIN_CONSISTENT}"
+    return f"CASE WHEN {enough} THEN {votes.low_median(ordered)} ELSE {alone} END AS {field}"
 
 
 def identifiers(df: DataFrame, key: str = "share_class_figi", **options) -> DataFrame:

@@ -14,10 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concord.session import BROADCAST_ROWS, small_side, stage
+from concord.session import stage
 
 #: Rows of one group that a single task may order.
-TASK_ROWS = 100_000
+TASK_ROWS = 1_000_000
 #: Quantile cuts per round.
 CELLS = 200
 
@@ -26,7 +26,7 @@ def _interval_rows(values: DataFrame, state: DataFrame, group, value: str) -> Da
     inside = (F.col("lo").isNull() | (F.col(value) >= F.col("lo"))) & (
         F.col("hi").isNull() | (F.col(value) <= F.col("hi"))
     )
-    joined = values.join(small_side(state, BROADCAST_ROWS), group, "inner")
+    joined = values.join(state, group, "inner")
     return joined.filter(inside)
 
 
@@ -68,6 +68,7 @@ def pick_ranks(
         F.lit(None).cast(kind).alias("lo"),
         F.lit(None).cast(kind).alias("hi"),
     ).select(*group, "n", "w.rank_name", "w.at", "inside", "lo", "hi")
+    state = stage(state, "rank-state")
     while largest > task_rows:
         state = stage(_narrow(rows, state, group, value), "rank-state")
         open_cells = state.filter("lo < hi")
@@ -115,7 +116,7 @@ def _narrow(rows: DataFrame, state: DataFrame, group, value: str) -> DataFrame:
     )
     cell = F.size(F.filter("cuts", lambda c: c < F.col(value)))
     cells = (
-        inside.join(small_side(cuts, BROADCAST_ROWS), keys, "inner")
+        inside.join(stage(cuts, "rank-cuts"), keys, "inner")
         .groupBy(*keys, "n", "at", cell.alias("cell"))
         .agg(
             F.count(F.lit(1)).alias("inside"),

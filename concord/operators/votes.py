@@ -1,88 +1,86 @@
 """Voting rules on ordered arrays: one value from the reports of a bounded group.
 
-All are built-in array expressions; decimals stay decimals and no average is made up.
-The distributed forms for groups of any size are in :mod:`concord.operators.wide`.
+Each rule takes and gives SQL text over columns of a grouped frame, for ``selectExpr``;
+all are built-in array functions, decimals stay decimals and no average is made up. The
+distributed forms for groups of any size are in :mod:`concord.operators.wide`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Rule parameters.
 DEFAULT_MAX_DEVIATION = "0.3"
 RANGE_FLOOR = "0.9"
 RANGE_CEILING = "1.1"
 
 
-def present(values: Column) -> Column:
-    return F.filter(values, lambda v: v.isNotNull())
+def reports(rows: str, field: str) -> str:
+    """A field of every row of the group, nulls included."""
+    return f"transform({rows}, r -> r.{field})"
+
 
+def known(values: str) -> str:
+    return f"filter({values}, v -> v IS NOT NULL)"
 
-def mode_first(values: Column) -> Column:
+
+def mode_first(values: str) -> str:
     """Most frequent value; ties go to the one seen first. ``values`` holds no nulls."""
-    seen = F.array_distinct(values)
-    tally = F.transform(
-        seen,
-        lambda v, i: F.struct(
-            F.size(F.filter(values, lambda x: x == v)).alias("votes"),
-            (-i).alias("earlier"),
-            v.alias("value"),
-        ),
+    tally = (
+        f"transform(array_distinct({values}), (v, i) -> struct("
+        f"size(filter({values}, x -> x = v)) AS votes, -i AS earlier, v AS value))"
     )
-    return F.array_max(tally)["value"]
+    return f"array_max({tally}).value"
+
 
+def low_median(ordered: str) -> str:
+    """Middle element of an ascending array, the lower of two; null for none."""
+    return f"get({ordered}, int((size({ordered}) - 1) div 2))"
 
-def low_median(values: Column) -> Column:
-    """Middle reported value, the lower of two; null for no values."""
-    ordered = F.array_sort(values)
-    return F.get(ordered, ((F.size(ordered) - 1) / 2).cast("int"))
 
+def middle_sum(ordered: str) -> str:
+    """Twice the averaged median of an ascending array, which avoids a division."""
+    upper = f"get({ordered}, int(size({ordered}) div 2))"
+    return f"{low_median(ordered)} + {upper}"
 
-def _middle_sum(ordered: Column) -> Column:
-    """Twice the averaged median, which avoids a division."""
-    n = F.size(ordered)
-    return F.get(ordered, ((n - 1) / 2).cast("int")) + F.get(ordered, (n / 2).cast("int"))
 
+def zero_scale(ordered: str, twice_median: str) -> str:
+    """Twice the median magnitude, worked out only where the median is zero."""
+    sizes = f"array_sort(transform({ordered}, v -> abs(v)))"
+    return f"CASE WHEN {twice_median} = 0 THEN {middle_sum(sizes)} END"
 
-def within_deviation(values: Column, max_deviation: str) -> Column:
+
+def within_deviation(values: str, twice_median: str, twice_scale: str, share: str) -> str:
     """Values strictly closer to the averaged median than the given share of it.
 
     With a zero median the scale is the median magnitude; if that is zero as well, or
-    there are fewer than two values, all are kept.
+    there are fewer than two values, all are kept. ``twice_median`` and ``twice_scale``
+    should be columns of their own: the filter reads them for every element.
     """
-    share = F.lit(max_deviation).cast("decimal(4,3)")
-    twice_median = _middle_sum(F.array_sort(values))
-    twice_scale = _middle_sum(F.array_sort(F.transform(values, F.abs)))
-    near = F.filter(values, lambda v: F.abs(v * 2 - twice_median) < share * F.abs(twice_median))
-    small = F.filter(values, lambda v: F.abs(v) * 2 < share * twice_scale)
+    near = f"filter({values}, v -> abs(v * 2 - {twice_median}) < {share} * abs({twice_median}))"
+    small = f"filter({values}, v -> abs(v) * 2 < {share} * {twice_scale})"
     return (
-        F.when(F.size(values) < 2, values)
-        .when(twice_median != 0, near)
-        .when(twice_scale == 0, values)
-        .otherwise(small)
+        f"CASE WHEN size({values}) < 2 THEN {values} WHEN {twice_median} <> 0 THEN {near} "
+        f"WHEN {twice_scale} = 0 THEN {values} ELSE {small} END"
     )
 
 
-def union_ordered(arrays: Column) -> Column:
+def union_ordered(arrays: str) -> str:
     """Distinct non-blank elements in order of first appearance; empty is null."""
-    lists = F.filter(arrays, lambda a: a.isNotNull())
-    kept = F.filter(F.flatten(lists), lambda e: e.isNotNull() & (F.length(F.trim(e)) > 0))
-    merged = F.array_distinct(kept)
-    return F.when(F.size(merged) > 0, merged)
+    items = f"flatten(filter({arrays}, a -> a IS NOT NULL))"
+    merged = f"array_distinct(filter({items}, e -> trim(e) <> ''))"
+    return f"CASE WHEN size({merged}) > 0 THEN {merged} END"
 
 
-def with_quorum(values: Column, vote: Column, min_sources: int) -> Column:
-    return F.when(F.size(values) >= min_sources, vote)
+def with_quorum(values: str, vote: str, min_sources: int) -> str:
+    return f"CASE WHEN size({values}) >= {int(min_sources)} THEN {vote} END"
 
 
-def is_complete(last: Column, low: Column, high: Column) -> Column:
-    return last.isNotNull() & low.isNotNull() & high.isNotNull()
+def is_complete(last: str, low: str, high: str) -> str:
+    return f"({last} IS NOT NULL AND {low} IS NOT NULL AND {high} IS NOT NULL)"
 
 
-def is_consistent(last: Column, low: Column, high: Column) -> Column:
+def is_consistent(last: str, low: str, high: str) -> str:
     """Complete, bounds not inverted, price within a tenth outside the bounds."""
-    floor = F.lit(RANGE_FLOOR).cast("decimal(2,1)")
-    ceiling = F.lit(RANGE_CEILING).cast("decimal(2,1)")
-    inside = (low <= high) & (low * floor <= last) & (last <= high * ceiling)
-    return F.coalesce(inside, F.lit(False))
+    return (
+        f"coalesce({low} <= {high} AND {low} * {RANGE_FLOOR} <= {last} "
+        f"AND {last} <= {high} * {RANGE_CEILING}, false)"
+    )

@@ -20,7 +20,7 @@ from concord.functions.fuzzy import NAME_THRESHOLD, leader_index, leaders_of
 from concord.functions.text import is_blank
 from concord.operators import ranks, votes
 from concord.operators.golden import MIN_CONSISTENT, PriceRange, Rule, Strategy
-from concord.session import small_side, stage
+from concord.session import stage
 
 #: Spellings per group that one clustering round looks at for new leaders.
 LEADERS_PER_ROUND = 64
@@ -46,13 +46,13 @@ def deviation_wide(
     middle = ranks.median_pair(rows, group, value, **kw).select(
         *group, F.col("n").alias("_n"), (F.col("mid_lo") + F.col("mid_hi")).alias("_twice")
     )
-    joined = rows.join(small_side(middle), group, "inner")
+    joined = rows.join(stage(middle, "middles"), group, "inner")
     zero = joined.filter((F.col("_n") >= 2) & (F.col("_twice") == 0))
     size = zero.withColumn("_size", F.abs(value))
     scale = ranks.median_pair(size, group, "_size", **kw).select(
         *group, (F.col("mid_lo") + F.col("mid_hi")).alias("_scale")
     )
-    both = joined.join(small_side(scale), group, "left")
+    both = joined.join(stage(scale, "scales"), group, "left")
     v, twice, spread = F.col(value), F.col("_twice"), F.col("_scale")
     keep = (
         F.when(F.col("_n") < 2, True)
@@ -117,7 +117,7 @@ def fuzzy_wide(
         )
         texts = F.transform("_heads", lambda h: h["_text"])
         leaders = heads.select(*group, new_leaders(texts).alias("_leaders"))
-        tried = pending.join(small_side(stage(leaders, "leaders"), 1_000), group, "inner")
+        tried = pending.join(stage(leaders, "leaders"), group, "inner")
         tried = stage(tried.withColumn("_at", joins("_text", "_leaders")), "clustered")
         hit = tried.filter(F.col("_at").isNotNull())
         clusters.append(
@@ -201,7 +201,7 @@ def merge_wide(
 
 
 def _joint_prices_wide(rows, merged, key, order, p: PriceRange, **rank_options) -> DataFrame:
-    consistent = votes.is_consistent(*[F.col(c) for c in p.columns])
+    consistent = votes.is_consistent(*p.columns)
     cells = _long(rows.filter(consistent), key, p.columns, order)
     middle = ranks.low_median(cells, [key, "field"], "value", **rank_options)
     joint = _pivot(middle.filter(F.col("n") >= MIN_CONSISTENT), key, p.columns, "low_median")

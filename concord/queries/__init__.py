@@ -1,0 +1,6 @@
+"""Queries over the given tables, one per operator, with equivalent SQL."""
+
+from concord.queries import merging  # noqa: F401
+from concord.queries.base import REGISTRY
+
+__all__ = ["REGISTRY"]

@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: Row bound under which a lookup side is broadcast. Checked by counting, not guessed.
-BROADCAST_ROWS = 10_000
 
 
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
@@ -48,19 +44,12 @@ def scratch_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    Used where several passes read the same rows: the upstream plan then runs once
-    and a lost executor re-reads files instead of recomputing the lineage.
+    Used where several passes read the same rows: the upstream plan then runs once, a
+    lost executor re-reads files instead of recomputing the lineage, and the optimizer
+    knows the size, so it broadcasts a small frame and shuffles a large one.
     """
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     path = f"{scratch_dir(spark)}/concord/{app}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if a bounded count proves it small, else leave the
-    join to the optimizer (sort-merge with adaptive skew splitting)."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
