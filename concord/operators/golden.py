@@ -183,7 +183,7 @@ def vote_rows(
         if rules[field].strategy is Strategy.UNION:
             return every
         known = votes.known(every)
-        return f"array_sort({known})" if field in medians else known
+        return f"sort_array({known})" if field in medians else known
 
     first = [f"{reported(f)} AS {f}" for f in rules]
     if joint:
@@ -218,7 +218,7 @@ def vote_rows(
     if not joint:
         return steps.selectExpr(key, *results)
     p = price_range
-    ordered = [f"array_sort(transform(_agreeing, r -> r.{c})) AS _joint_{c}" for c in p.columns]
+    ordered = [f"sort_array(transform(_agreeing, r -> r.{c})) AS _joint_{c}" for c in p.columns]
     single = steps.selectExpr(key, *results, *ordered)
     return single.selectExpr(key, *[_joint_price(f, p) for f in rules])
 

@@ -44,8 +44,9 @@ def middle_sum(ordered: str) -> str:
 
 def zero_scale(ordered: str, twice_median: str) -> str:
     """Twice the median magnitude, worked out only where the median is zero."""
-    sizes = f"array_sort(transform({ordered}, v -> abs(v)))"
-    return f"CASE WHEN {twice_median} = 0 THEN {middle_sum(sizes)} END"
+    sizes = f"sort_array(transform({ordered}, v -> abs(v)))"
+    middle = middle_sum("s")
+    return f"CASE WHEN {twice_median} = 0 THEN transform(array({sizes}), s -> {middle})[0] END"
 
 
 def within_deviation(values: str, twice_median: str, twice_scale: str, share: str) -> str:

@@ -27,11 +27,13 @@ def utc_today() -> Column:
     return F.to_date(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()))
 
 
-def upsert(old: DataFrame | None, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """New rows replace old ones with the same keys; within the batch the last wins."""
-    batch = last_per_key(new, [F.col(k) for k in keys], order).drop(*order)
-    if old is None:
-        return batch
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """New rows replace old ones with the same keys; within the batch the last wins.
+
+    Columns that ``old`` does not have only serve the order and are left out.
+    """
+    batch = last_per_key(new, [F.col(k) for k in keys], order or keys)
+    batch = batch.select(*old.columns)
     return old.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
 
 
@@ -96,14 +98,13 @@ class Store:
             current.withColumn("key_bucket", self._bucket()),
             "key_bucket",
             [self.key, "key_bucket"],
-            ["snapshot_date", *tie] if tie else ["snapshot_date"],
+            ["snapshot_date", *tie],
         )
 
     def _replace(self, name, stored, batch, partition, keys, order) -> None:
         touched = batch.select(partition).distinct()
         old = stored.join(touched, partition, "left_semi")
-        merged = upsert(old, batch.withColumn("_one", F.lit(1)), keys, order or ["_one"])
-        merged = merged.drop("_one").select(*[c for c in stored.columns if c != partition], partition)
+        merged = upsert(old, batch, keys, order).select(*stored.columns)
         # Rebalancing sizes the files of each partition at run time, hot dates included;
         # sorting by key lets a lookup skip row groups by their min and max.
         (
@@ -203,9 +204,10 @@ def unexpired(entries: DataFrame, now: Column, ttl: int) -> DataFrame:
     return entries if ttl == 0 else entries.filter(now - F.col("created_at") <= ttl)
 
 
-def cache_put(entries: DataFrame | None, new: DataFrame, order: list[str]) -> DataFrame:
-    """Last write per ``(cache_name, key)`` wins."""
-    return upsert(entries, new, ["cache_name", "key"], order)
+def cache_put(entries: DataFrame | None, new: DataFrame, tie: list[str]) -> DataFrame:
+    """Last write per ``(cache_name, key)`` wins; ``tie`` orders writes of one second."""
+    known = entries if entries is not None else new.drop(*tie).limit(0)
+    return upsert(known, new, ["cache_name", "key"], ["created_at", *tie])
 
 
 def cache_get(entries: DataFrame, cache_name: str, now: Column, ttl: int, key=None) -> DataFrame:
