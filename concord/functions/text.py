@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 # Patterns that decide the normalised text.
 BLANKS = r"[\p{IsWhite_Space}\x{1C}-\x{1F}]"
-NON_WORD = r"[^\p{L}\p{N}_]+"
-ABBREVIATION_DOT = r"(?<=[A-Za-z])\.(?=[A-Za-z]\.)|(?<=[A-Za-z]\.[A-Za-z])\."
+NON_BLANK = r"[^\p{IsWhite_Space}\x{1C}-\x{1F}]"
+NON_WORD = r"[^\w\p{L}\p{N}]++"
+# The dot comes first, so a scan stops at dots only.
+ABBREVIATION_DOT = (
+    r"\.(?:(?<=[A-Za-z]\.)(?=[A-Za-z]\.)|(?<=[A-Za-z]\.[A-Za-z]\.))"
+)
 
 
 def strip(c: Column) -> Column:
@@ -17,7 +21,7 @@ def strip(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """Null or nothing but whitespace."""
-    return c.isNull() | (F.length(strip(c)) == 0)
+    return c.isNull() | ~c.rlike(NON_BLANK)
 
 
 def non_blank(c: Column) -> Column:

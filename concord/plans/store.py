@@ -27,6 +27,22 @@ def utc_today() -> Column:
     return F.to_date(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()))
 
 
+#: Distinct partition values a save looks up to prune the stored table.
+PRUNED_PARTITIONS = 1_000
+
+
+def touched_partitions(batch: DataFrame, partition: str) -> Column:
+    """Condition that keeps the stored partitions a batch touches.
+
+    A batch normally holds one date, so the list is a handful of values; a batch that
+    touches more than the bound reads the whole table instead.
+    """
+    values = batch.select(partition).distinct().limit(PRUNED_PARTITIONS + 1).collect()
+    if len(values) > PRUNED_PARTITIONS:
+        return F.lit(True)
+    return F.col(partition).isin(*[v[0] for v in values])
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """New rows replace old ones with the same keys; within the batch the last wins.
 
@@ -102,8 +118,7 @@ class Store:
         )
 
     def _replace(self, name, stored, batch, partition, keys, order) -> None:
-        touched = batch.select(partition).distinct()
-        old = stored.join(touched, partition, "left_semi")
+        old = stored.filter(touched_partitions(batch, partition))
         merged = upsert(old, batch, keys, order).select(*stored.columns)
         # Rebalancing sizes the files of each partition at run time, hot dates included;
         # sorting by key lets a lookup skip row groups by their min and max.

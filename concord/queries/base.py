@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.schema import AMOUNT, RATE
+from concord.schema import RATE
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -41,7 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def amount(c: Column | str) -> Column:
     """A money column of the tables as exact decimal (they hold two places)."""
     column = F.col(c) if isinstance(c, str) else c
-    return column.cast("decimal(18,2)").cast(AMOUNT)
+    return column.cast("decimal(18,2)")
 
 
 def doubles(df: DataFrame, *names: str) -> DataFrame:
