@@ -12,6 +12,7 @@ from concord.functions.text import is_blank, padded_cik, strip, upper_text
 ISIN = "^[A-Z]{2}[A-Z0-9]{9}[0-9]$"
 CUSIP = "^[0-9A-Z]{9}$"
 CIK = "^[0-9]{1,10}$"
+PADDED_CIK = "^[0-9]{10}$"
 LEI = "^[A-Z0-9]{18}[0-9]{2}$"
 FIGI = "^[A-Z0-9]{12}$"
 MIC = "^[A-Z0-9]{4}$"
@@ -51,19 +52,27 @@ def mic(c: Column) -> Checked:
     return matching(upper_text(c), MIC)
 
 
+def has_malformed_mic(values: Column) -> Column:
+    return F.exists(values, lambda m: F.coalesce(~m.rlike(MIC), F.lit(False)))
+
+
 def mic_list(c: Column) -> Checked:
     """Each element is checked; an empty list is null, a blank element a null one."""
     values = F.when(F.size(c) > 0, F.transform(c, upper_text))
-    wrong = F.exists(values, lambda m: F.coalesce(~m.rlike(MIC), F.lit(False)))
-    wrong = F.coalesce(wrong, F.lit(False))
+    wrong = F.coalesce(has_malformed_mic(values), F.lit(False))
     return Checked(F.when(~wrong, values), wrong)
 
 
+def sub_unit(c: Column) -> Column:
+    """Mixed case marks a sub-unit (pence, cents) of a currency."""
+    return F.coalesce(c.rlike(r"\p{Ll}") & c.rlike(r"\p{Lu}"), F.lit(False))
+
+
 def currency(c: Column) -> Checked:
-    """Three letters. Mixed case marks a sub-unit (pence, cents) and rejects."""
+    """Three letters; a sub-unit rejects."""
     code = upper_text(c)
-    mixed = c.rlike(r"\p{Ll}") & c.rlike(r"\p{Lu}")
-    wrong = F.coalesce(code.isNotNull() & (mixed | ~code.rlike(CURRENCY)), F.lit(False))
+    malformed = F.coalesce(~code.rlike(CURRENCY), F.lit(False))
+    wrong = code.isNotNull() & (sub_unit(c) | malformed)
     return Checked(F.when(~wrong, code), wrong)
 
 

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.functions import codes
 from concord.functions.checked import Checked, clean
-from concord.functions.numbers import unsigned
-from concord.functions.text import is_blank, symbol_text, upper_text
+from concord.functions.codes import sub_unit
+from concord.functions.text import is_blank, padded_cik, symbol_text, upper_text
 from concord.schema import (
     AMOUNT,
     AMOUNT_FIELDS,
@@ -24,29 +25,22 @@ from concord.schema import (
 REQUIRED = ("name", "symbol")
 CANONICAL_REQUIRED = ("name", "symbol", "share_class_figi")
 
-CHECKS: dict[str, Callable[[Column], Checked]] = {
-    "name": lambda c: clean(upper_text(c)),
-    "symbol": lambda c: clean(symbol_text(c)),
-    "share_class_figi": codes.figi,
-    "isin": codes.isin,
-    "cusip": codes.cusip,
-    "cik": codes.cik,
-    "lei": codes.lei,
-    "mics": codes.mic_list,
-    "currency": codes.currency,
-    "analyst_rating": lambda c: clean(codes.analyst_rating(c)),
-    "industry": lambda c: clean(upper_text(c)),
-    "sector": lambda c: clean(upper_text(c)),
+#: How a text field is normalised before it is checked; amounts are left as they are.
+NORMAL: dict[str, Callable[[Column], Column]] = {
+    "symbol": symbol_text,
+    "mics": lambda c: F.when(F.size(c) > 0, F.transform(c, upper_text)),
+    "analyst_rating": codes.analyst_rating,
+}
+#: What a normalised text field must look like.
+FORMATS: dict[str, Callable[[Column], Column]] = {
+    "share_class_figi": lambda c: ~c.rlike(codes.FIGI),
+    "isin": lambda c: ~c.rlike(codes.ISIN),
+    "cusip": lambda c: ~c.rlike(codes.CUSIP),
+    "cik": lambda c: ~c.rlike(codes.PADDED_CIK),
+    "lei": lambda c: ~c.rlike(codes.LEI),
+    "mics": codes.has_malformed_mic,
+    "currency": lambda c: ~c.rlike(codes.CURRENCY),
 }
-
-
-def _check_amount(name: str, raw: Column | Checked) -> Checked:
-    """A feed may hand over an already checked number (declared-numeric columns)."""
-    early = raw if isinstance(raw, Checked) else clean(raw.cast(AMOUNT))
-    if name not in UNSIGNED_FIELDS:
-        return early
-    late = unsigned(early.value)
-    return Checked(late.value, early.wrong | late.wrong)
 
 
 def required_error(value: Column) -> Column:
@@ -67,40 +61,62 @@ def validate(
     df: DataFrame,
     raw: Mapping[str, Column | Checked] | None = None,
     required: tuple[str, ...] = REQUIRED,
+    counters: str = "validated",
 ) -> DataFrame:
-    """Replace the record fields by their checked values and add ``errors``.
+    """Replace the record fields by their normal form and add ``errors``.
 
     ``raw`` maps field names to what a feed supplies; fields it leaves out are null.
     Without ``raw`` the frame's own record columns are checked again (merged rows).
+    ``counters`` names the observed counts of all and of rejected rows. The observation
+    also keeps the optimizer from copying the checks into filters further up, so each
+    check runs once per row.
     """
-    own = raw is None
-    if own:
+    if raw is None:
         raw = {f: F.col(f) for f in RECORD_FIELDS}
-    cells: dict[str, Checked] = {}
-    for field in RECORD_FIELDS:
-        given = raw.get(field)
-        if given is None:
-            cells[field] = clean(F.lit(None).cast(field_type(field)))
-        elif field in AMOUNT_FIELDS:
-            cells[field] = _check_amount(field, given)
-        else:
-            cells[field] = CHECKS[field](given)
-
-    wrong = {
-        f: cells[f].wrong | required_error(cells[f].value) if f in required else cells[f].wrong
-        for f in RECORD_FIELDS
-        if f in raw or f in required
-    }
-    # Values and flags go into one struct first, so each check is evaluated once.
-    packed = F.struct(
-        *[cells[f].value.alias(f) for f in RECORD_FIELDS],
-        error_list(wrong).alias("errors"),
-    )
     rest = [c for c in df.columns if c not in RECORD_FIELDS]
-    flat = df.select(*rest, packed.alias("_r")).select(*rest, "_r.*")
+    given = {f: c if isinstance(c, Checked) else clean(c) for f, c in raw.items()}
+    early = [f for f, c in raw.items() if isinstance(c, Checked)]
+
+    # Three projections in a row: what the feed gives, its normal form, the verdicts.
+    taken = df.select(
+        *rest,
+        *[c.value.alias(f) for f, c in given.items()],
+        *[given[f].wrong.alias(f"_early_{f}") for f in early],
+        *([sub_unit(given["currency"].value).alias("_sub_unit")] if "currency" in given else []),
+    )
+    flags = [c for c in taken.columns if c.startswith("_early_") or c == "_sub_unit"]
+    normal = taken.select(*rest, *flags, *[_normal(f, f in given).alias(f) for f in RECORD_FIELDS])
+
+    wrong: dict[str, Column] = {}
+    for f in RECORD_FIELDS:
+        reasons = [F.col(f"_early_{f}")] if f in early else []
+        if f in given and f in FORMATS:
+            reasons.append(F.coalesce(FORMATS[f](F.col(f)), F.lit(False)))
+        if f == "currency" and f in given:
+            reasons.append(F.col("_sub_unit"))
+        if f in given and f in UNSIGNED_FIELDS:
+            reasons.append(F.coalesce(F.col(f) < 0, F.lit(False)))
+        if f in required:
+            reasons.append(required_error(F.col(f)))
+        if reasons:
+            wrong[f] = reduce(Column.__or__, reasons)
     unpaired = money_without_currency(F.col("currency"), [F.col(m) for m in MONETARY_FIELDS])
-    paired = F.when(unpaired & ~F.array_contains("errors", "currency"), F.array_append("errors", F.lit("currency")))
-    return flat.withColumn("errors", F.coalesce(paired, F.col("errors")))
+    wrong["currency"] = wrong.get("currency", F.lit(False)) | unpaired
+    judged = normal.select(*rest, *RECORD_FIELDS, error_list(wrong).alias("errors"))
+    return judged.observe(
+        counters, F.count(F.lit(1)).alias("rows"), F.count_if(F.size("errors") > 0).alias("rejected")
+    )
+
+
+def _normal(field: str, given: bool) -> Column:
+    if not given:
+        return F.lit(None).cast(field_type(field))
+    if field in AMOUNT_FIELDS:
+        return F.col(field).cast(AMOUNT)
+    normal = NORMAL.get(field, upper_text)(F.col(field))
+    if field == "cik":
+        return F.when(normal.rlike(codes.CIK), padded_cik(normal)).otherwise(normal)
+    return normal
 
 
 def accepted(df: DataFrame) -> DataFrame:
@@ -118,4 +134,4 @@ def error_counts(df: DataFrame) -> DataFrame:
 
 def revalidated(df: DataFrame, required: tuple[str, ...] = CANONICAL_REQUIRED) -> DataFrame:
     """Merged rows that still pass every check; the others drop out whole."""
-    return accepted(validate(df, required=required))
+    return accepted(validate(df, required=required, counters="canonical"))

@@ -18,7 +18,7 @@ from concord.schema import CANONICAL_SCHEMA, FINANCIAL_FIELDS, IDENTITY_FIELDS
 from concord.session import stage
 from concord.sources import feeds as discovery
 from concord.sources.gates import feed_counts, require_rows
-from concord.sources.reference import enrichment_rows, lei_fields, quote_fields
+from concord.sources.reference import enrichment_rows, lei_fields, quote_fields, with_quote_keys
 
 #: Enrichment rows follow all discovery rows in source order.
 QUOTE_RANK, LEI_RANK = 100, 101
@@ -82,7 +82,7 @@ def enrichment_of(ids: DataFrame, inputs: Inputs, now: Column) -> list[DataFrame
     extra = []
     if inputs.search is not None and inputs.quotes is not None:
         found = find_quotes(ids, inputs.search, inputs.quotes).select("share_class_figi", "q")
-        rows = enrichment_rows(found, quote_fields(now), "quotes", QUOTE_RANK)
+        rows = enrichment_rows(with_quote_keys(found), quote_fields(now), "quotes", QUOTE_RANK)
         extra.append(to_usd(rows, inputs.rates))
     if inputs.isin_lei is not None:
         found = lei_rows(ids, inputs.isin_lei)

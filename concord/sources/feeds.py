@@ -362,7 +362,7 @@ def checked_feed(
     """Validated rows of one feed with their ``errors``, good and bad alike."""
     records = feed.records(spark, path, multi_line)
     tagged = records.withColumns({"feed": F.lit(feed.name), "feed_rank": F.lit(rank)})
-    checked = validate(tagged, feed.fields(now))
+    checked = validate(tagged, feed.fields(now), counters=f"checked {feed.name}")
     return checked.select(*RAW_SCHEMA.names, "errors")
 
 

@@ -38,10 +38,10 @@ def exploded(pages: DataFrame, records: Column) -> DataFrame:
 def merge_maps_last_wins(maps: Column) -> Column:
     """One map from an array of maps; a key of a later map replaces an earlier one,
     even with a null value."""
-    entries = F.flatten(F.transform(F.filter(maps, lambda m: m.isNotNull()), F.map_entries))
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    values = F.transform(
-        keys,
-        lambda k: F.try_element_at(F.filter(entries, lambda e: e["key"] == k), F.lit(-1))["value"],
+    known = F.filter(maps, lambda m: m.isNotNull())
+    none = F.map_filter(F.get(known, F.lit(0)), lambda k, v: F.lit(False))
+    return F.reduce(
+        F.reverse(known),
+        none,
+        lambda done, m: F.map_concat(done, F.map_filter(m, lambda k, v: ~F.map_contains_key(done, k))),
     )
-    return F.map_from_arrays(keys, values)

@@ -198,21 +198,34 @@ def _known(v: Column) -> Column:
     return F.when(json_kind(v).isNotNull(), v)
 
 
+def quote_keys() -> tuple[str, ...]:
+    """Every key of a flat quote that the projection reads."""
+    choices = [*QUOTE_NUMBER_CHOICES.values(), *QUOTE_TEXT_CHOICES.values()]
+    scaled = ("dividendYield", PRIMARY_KEY, "fiftyTwoWeekChangePercent")
+    every = [*QUOTE_NUMBERS.values(), *[k for keys in choices for k in keys], *scaled, "regularMarketTime"]
+    return tuple(dict.fromkeys(every))
+
+
+def with_quote_keys(found: DataFrame) -> DataFrame:
+    """Take the keys out of the map ``q`` once, as struct ``k``, and note its source."""
+    keys = F.struct(*[F.try_element_at("q", F.lit(k)).alias(k) for k in quote_keys()])
+    primary = F.map_contains_key("q", PRIMARY_KEY)
+    return found.withColumns({"k": keys, "is_primary": primary}).drop("q")
+
+
 def quote_fields(now: Column) -> dict[str, Column | Checked]:
-    """Projection of a flat quote map ``q`` onto the record."""
-    q = F.col("q")
+    """Projection of a quote (see :func:`with_quote_keys`) onto the record."""
 
     def at(key: str) -> Column:
-        return F.try_element_at(q, F.lit(key))
+        return F.col("k").getField(key)
 
     def first_text(keys: tuple[str, ...]) -> Column:
         options = [json_text(at(k)) for k in keys]
         return F.coalesce(*[F.when(o != "", o) for o in options])
 
-    primary = F.map_contains_key(q, PRIMARY_KEY)
-
     def scaled(ratio_key: str, percent_key: str) -> Column:
-        return F.when(primary, json_number(at(ratio_key))).otherwise(json_percent_ratio(at(percent_key)))
+        ratio, percent = json_number(at(ratio_key)), json_percent_ratio(at(percent_key))
+        return F.when(F.col("is_primary"), ratio).otherwise(percent)
 
     fields: dict[str, Column] = {f: first_text(k) for f, k in QUOTE_TEXT_CHOICES.items()}
     fields |= {f: json_number(at(k)) for f, k in QUOTE_NUMBERS.items()}
@@ -234,7 +247,7 @@ def enrichment_rows(found: DataFrame, fields: dict, feed: str, rank: int) -> Dat
     tagged = found.withColumns(
         {"feed": F.lit(feed), "feed_rank": F.lit(rank), "row_no": F.lit(0).cast("bigint")}
     )
-    checked = validate(tagged, raw)
+    checked = validate(tagged, raw, counters=f"checked {feed}")
     return checked.filter(F.size("errors") == 0).select(*RAW_SCHEMA.names)
 
 

@@ -74,7 +74,7 @@ def test_xetra(spark, tmp_path):
     )
     rows, good = checked(spark, "xetra", path)
     assert [r["symbol"] for r in rows] == ["A1", "B1", "N1", "G1", "D1"]
-    assert rows[-1]["errors"] == ["isin"] and rows[-1]["isin"] is None
+    assert rows[-1]["errors"] == ["isin"] and rows[-1]["isin"] == "DE00"
     a = good["A1"]
     assert (a["name"], a["mics"], a["currency"], a["feed_rank"]) == ("ALPHA AG", ["XETR"], "EUR", 3)
     assert (a["last_price"], a["market_cap"]) == (D("10.25"), D("1000000000"))
@@ -284,13 +284,13 @@ def test_quotes_primary_fallback_and_projection(spark, tmp_path):
     )
     quotes = reference.read_quotes(spark, primary, fallback)
     assert {r["quote_symbol"] for r in quotes.collect()} == {"AAA", "BBB"}
-    ids = quotes.select(F.lit("BBG000000001").alias("share_class_figi"), "q")
+    ids = reference.with_quote_keys(quotes.select(F.lit("BBG000000001").alias("share_class_figi"), "quote_symbol", "q"))
     rows = reference.enrichment_rows(ids, reference.quote_fields(now()), "quotes", 100).collect()
     by_name = {r["name"]: r for r in rows}
     assert set(by_name) == {"BEE"}  # the primary document carries no symbol
     b = by_name["BEE"]
     assert (b["dividend_yield"], b["performance_1_year"], b["market_cap"]) == (D("0.1862"), D("-0.5"), None)
-    flat = quotes.filter("quote_symbol = 'AAA'").select(*[c.alias(f) for f, c in reference.quote_fields(now()).items()]).first()
+    flat = ids.filter("quote_symbol = 'AAA'").select(*[c.alias(f) for f, c in reference.quote_fields(now()).items()]).first()
     assert (flat["last_price"], flat["market_volume"], flat["trailing_eps"]) == (D("9.5"), 0, 0)
     assert (flat["dividend_yield"], flat["performance_1_year"]) == (D("0.01"), None)
     assert flat["shares_outstanding"] == 10**16 and flat["analyst_rating"] == "strong_buy"
