@@ -12,12 +12,12 @@ from concord.schema import AMOUNT
 # Accepted number shapes.
 PLAIN_NUMBER = r"^-?\d+(\.\d+)?$"
 ANY_NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
-PENCE_NUMBER = r"^\d+(\.\d+)?$"
+PENCE_NUMBER = r"^\d+([.,]\d+)?$"
 
 
 def plain_number(text: Column) -> Column:
     """Plain dot-decimal text; commas, exponents and other shapes are null."""
-    bare = F.regexp_replace(strip(text), r"^\++", "")
+    bare = F.ltrim(strip(text), F.lit("+"))
     return F.when(bare.rlike(PLAIN_NUMBER), bare.try_cast(AMOUNT))
 
 
@@ -85,16 +85,13 @@ def json_percent_ratio(v: Column) -> Column:
 def pence_number(text: Column) -> Column:
     """Unsigned number where a lone comma is the decimal point."""
     bare = strip(text)
-    dotted = F.when(
-        F.contains(bare, F.lit(",")) & ~F.contains(bare, F.lit(".")),
-        F.regexp_replace(bare, ",", "."),
-    ).otherwise(bare)
-    return F.when(dotted.rlike(PENCE_NUMBER), dotted.try_cast(AMOUNT))
+    sound = bare.rlike(PENCE_NUMBER)
+    return F.when(sound, F.translate(bare, ",", ".").try_cast(AMOUNT))
 
 
 def pounds(pence: Column) -> Column:
     """Hundredth of a pence amount; zero means missing."""
-    return (F.nullif(pence, F.lit(0).cast(AMOUNT)) / F.lit(100)).cast(AMOUNT)
+    return F.nullif((pence / F.lit(100)).cast(AMOUNT), F.lit(0).cast(AMOUNT))
 
 
 def zero_missing(c: Column) -> Column:

@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Patterns that decide the normalised text.
+BLANK_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 BLANKS = r"[\p{IsWhite_Space}\x{1C}-\x{1F}]"
 NON_BLANK = r"[^\p{IsWhite_Space}\x{1C}-\x{1F}]"
 NON_WORD = r"[^\w\p{L}\p{N}]++"
@@ -16,7 +20,7 @@ ABBREVIATION_DOT = (
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{BLANKS}+|{BLANKS}+$", "")
+    return F.btrim(c, F.lit(BLANK_CHARACTERS))
 
 
 def is_blank(c: Column) -> Column:

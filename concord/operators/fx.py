@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from concord.schema import AMOUNT, MONETARY_FIELDS
@@ -44,14 +44,19 @@ def to_usd(
     rates: DataFrame,
     money: Sequence[str] = MONETARY_FIELDS,
     currency: str = "currency",
+    counters: str | Observation | None = None,
 ) -> DataFrame:
     """Convert, dropping rows whose currency has no usable rate.
 
     ``rates`` holds ``currency, rate`` (foreign units per dollar). A currency without a
     rate drops its row even when no money is set; a rate that is not positive drops
-    only rows that carry money.
+    only rows that carry money. ``counters`` observes the converted and skipped rows.
     """
     joined, passes, kept = _with_verdict(df, rates, money, currency)
+    if counters is not None:
+        joined = joined.observe(
+            counters, F.count_if(kept).alias("converted"), F.count_if(~kept).alias("skipped")
+        )
     rate = F.col("_fx_rate")
     converted = {m: F.when(passes, F.col(m)).otherwise(usd_amount(F.col(m), rate)) for m in money}
     code = F.when(passes, F.col(currency)).otherwise(F.lit(TARGET_CURRENCY))

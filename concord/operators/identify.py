@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from concord.functions.codes import FIGI
@@ -76,24 +76,34 @@ def responses_to_lookup(
     return queries.join(records, keys, "inner").drop(*keys)
 
 
-def identify(df: DataFrame, lookup: DataFrame) -> DataFrame:
+def identify(
+    df: DataFrame, lookup: DataFrame, counters: str | Observation | None = None
+) -> DataFrame:
     """Rows with the id, and the lookup's name and symbol where it has them.
 
     ``lookup``: ``id_type, id_value, found_name, found_symbol, found_figi``. Rows without
-    an id are dropped. The lookup grows with the data, so the join side is left to the
-    optimizer; adaptive skew splitting handles a hot query key.
+    an id are dropped; ``counters`` observes how many were identified and how many not.
+    The lookup grows with the data, so the join is left to the optimizer; adaptive skew
+    splitting handles a hot query key.
     """
-    keyed = with_query_key(df)
-    found = lookup.filter(F.col("found_figi").isNotNull())
-    joined = keyed.join(found, ["id_type", "id_value"], "inner")
+    joined = with_query_key(df).join(lookup, ["id_type", "id_value"], "left")
+    found = F.col("found_figi").isNotNull()
+    if counters is not None:
+        joined = joined.observe(
+            counters, F.count_if(found).alias("identified"), F.count_if(~found).alias("failed")
+        )
     name, symbol = F.col("found_name"), F.col("found_symbol")
-    return joined.withColumns(
-        {
-            "share_class_figi": F.col("found_figi"),
-            "name": F.coalesce(F.when(name != "", name), F.col("name")),
-            "symbol": F.coalesce(F.when(symbol != "", symbol), F.col("symbol")),
-        }
-    ).drop("id_type", "id_value", "found_name", "found_symbol", "found_figi")
+    return (
+        joined.filter(found)
+        .withColumns(
+            {
+                "share_class_figi": F.col("found_figi"),
+                "name": F.coalesce(F.when(name != "", name), F.col("name")),
+                "symbol": F.coalesce(F.when(symbol != "", symbol), F.col("symbol")),
+            }
+        )
+        .drop("id_type", "id_value", "found_name", "found_symbol", "found_figi")
+    )
 
 
 def no_lookup(df: DataFrame) -> DataFrame:

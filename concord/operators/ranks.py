@@ -11,15 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concord.session import stage
 
 #: Rows of one group that a single task may order.
 TASK_ROWS = 1_000_000
-#: Quantile cuts per round.
-CELLS = 200
+#: Cells per round. A row is compared with every cut, so few cells and one more round
+#: cost less than many cells.
+CELLS = 32
 
 
 def _interval_rows(values: DataFrame, state: DataFrame, group, value: str) -> DataFrame:
@@ -111,7 +112,7 @@ def _narrow(rows: DataFrame, state: DataFrame, group, value: str) -> DataFrame:
     inside = _interval_rows(rows, state, group, value)
     cuts = inside.groupBy(*keys).agg(
         F.array_distinct(
-            F.percentile_approx(value, [i / CELLS for i in range(1, CELLS)], CELLS * 10)
+            F.percentile_approx(value, [i / CELLS for i in range(1, CELLS)], CELLS * 20)
         ).alias("cuts")
     )
     cell = F.size(F.filter("cuts", lambda c: c < F.col(value)))
@@ -146,6 +147,3 @@ def median_pair(values: DataFrame, group: Sequence[str], value: str, **kw) -> Da
     """Both middle values; the averaged median is half their sum."""
     return pick_ranks(values, group, value, {"mid_lo": "(n - 1) div 2", "mid_hi": "n div 2"}, **kw)
 
-
-def half_sum(lo: Column, hi: Column) -> Column:
-    return (lo + hi) / 2

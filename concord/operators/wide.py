@@ -46,18 +46,21 @@ def deviation_wide(
     middle = ranks.median_pair(rows, group, value, **kw).select(
         *group, F.col("n").alias("_n"), (F.col("mid_lo") + F.col("mid_hi")).alias("_twice")
     )
-    joined = rows.join(stage(middle, "middles"), group, "inner")
-    zero = joined.filter((F.col("_n") >= 2) & (F.col("_twice") == 0))
-    size = zero.withColumn("_size", F.abs(value))
-    scale = ranks.median_pair(size, group, "_size", **kw).select(
+    middle = stage(middle, "middles")
+    joined = rows.join(middle, group, "inner")
+    v, n, twice, spread = F.col(value), F.col("_n"), F.col("_twice"), F.col("_scale")
+    near = F.abs(v * 2 - twice) < max_deviation * F.abs(twice)
+    centred = middle.filter((F.col("_n") >= 2) & (F.col("_twice") == 0))
+    if centred.isEmpty():
+        return joined.filter((n < 2) | near).drop("_n", "_twice")
+    sizes = rows.join(centred.select(*group), group, "left_semi").withColumn("_size", F.abs(value))
+    scale = ranks.median_pair(sizes, group, "_size", **kw).select(
         *group, (F.col("mid_lo") + F.col("mid_hi")).alias("_scale")
     )
     both = joined.join(stage(scale, "scales"), group, "left")
-    v, twice, spread = F.col(value), F.col("_twice"), F.col("_scale")
     keep = (
-        F.when(F.col("_n") < 2, True)
-        .when(twice != 0, F.abs(v * 2 - twice) < max_deviation * F.abs(twice))
-        .when(spread == 0, True)
+        F.when((n < 2) | (spread == 0), True)
+        .when(twice != 0, near)
         .otherwise(F.abs(v) * 2 < max_deviation * spread)
     )
     return both.filter(keep).drop("_n", "_twice", "_scale")

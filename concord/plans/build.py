@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,8 +21,35 @@ from concord.sources import feeds as discovery
 from concord.sources.gates import feed_counts, require_rows
 from concord.sources.reference import enrichment_rows, lei_fields, quote_fields, with_quote_keys
 
-#: Enrichment rows follow all discovery rows in source order.
-QUOTE_RANK, LEI_RANK = 100, 101
+#: Enrichment rows follow all discovery rows in source order, in the order of the feeds.
+FIRST_ENRICHMENT_RANK = 100
+
+
+@dataclass(frozen=True)
+class EnrichmentFeed:
+    """A source asked once per group.
+
+    ``find`` takes the groups' identifiers and gives at most one row per group that has a
+    hit, with its ``share_class_figi``; ``fields(now)`` projects that row onto the record.
+    """
+
+    name: str
+    find: Callable[[DataFrame], DataFrame]
+    fields: Callable[[Column], Mapping[str, Column]]
+
+
+def quote_feed(search: DataFrame, quotes: DataFrame) -> EnrichmentFeed:
+    """Quotes found through the candidate search."""
+
+    def find(ids: DataFrame) -> DataFrame:
+        return with_quote_keys(find_quotes(ids, search, quotes).select("share_class_figi", "q"))
+
+    return EnrichmentFeed("quotes", find, quote_fields)
+
+
+def lei_feed(isin_lei: DataFrame) -> EnrichmentFeed:
+    """Legal entity ids looked up by ISIN."""
+    return EnrichmentFeed("lei", lambda ids: lei_rows(ids, isin_lei), lambda now: lei_fields())
 
 
 @dataclass(frozen=True)
@@ -31,9 +59,7 @@ class Inputs:
     raw: DataFrame
     rates: DataFrame
     lookup: DataFrame | None = None
-    search: DataFrame | None = None
-    quotes: DataFrame | None = None
-    isin_lei: DataFrame | None = None
+    enrichment: Sequence[EnrichmentFeed] = ()
 
 
 def nested(flat: DataFrame, *extra: str) -> DataFrame:
@@ -72,33 +98,30 @@ def from_payloads(rows: DataFrame) -> DataFrame:
 
 
 def identified_rows(inputs: Inputs) -> DataFrame:
-    """Validated rows in dollars with their global id."""
-    dollars = to_usd(accepted(inputs.raw), inputs.rates)
-    return identify(dollars, inputs.lookup if inputs.lookup is not None else no_lookup(dollars))
+    """Validated rows in dollars with their global id; both steps observe their counts."""
+    dollars = to_usd(accepted(inputs.raw), inputs.rates, counters="converted")
+    lookup = no_lookup(dollars) if inputs.lookup is None else inputs.lookup
+    return identify(dollars, lookup, counters="identified")
 
 
 def enrichment_of(ids: DataFrame, inputs: Inputs, now: Column) -> list[DataFrame]:
-    """Zero, one or two extra rows per group; a group without a hit stays as it is."""
+    """At most one extra row per group and feed; a group without a hit stays as it is."""
     extra = []
-    if inputs.search is not None and inputs.quotes is not None:
-        found = find_quotes(ids, inputs.search, inputs.quotes).select("share_class_figi", "q")
-        rows = enrichment_rows(with_quote_keys(found), quote_fields(now), "quotes", QUOTE_RANK)
+    for rank, feed in enumerate(inputs.enrichment, FIRST_ENRICHMENT_RANK):
+        rows = enrichment_rows(feed.find(ids), feed.fields(now), feed.name, rank)
         extra.append(to_usd(rows, inputs.rates))
-    if inputs.isin_lei is not None:
-        found = lei_rows(ids, inputs.isin_lei)
-        extra.append(enrichment_rows(found, lei_fields(), "lei", LEI_RANK))
     return extra
 
 
 def build(inputs: Inputs, now: Column | None = None) -> DataFrame:
-    """Canonical rows. The identified rows feed three passes, so they are staged once."""
+    """Canonical rows. The identified rows feed several passes, so they are staged once."""
     now = F.current_timestamp() if now is None else now
     rows = stage(identified_rows(inputs), "identified")
-    ids = identifiers(rows)
-    if inputs.search is not None or inputs.isin_lei is not None:
-        ids = stage(ids, "identifiers")
-    everything = append_rows(rows, *enrichment_of(ids, inputs, now))
-    return nested(revalidated(merge(everything)))
+    extra = []
+    if inputs.enrichment:
+        ids = stage(identifiers(rows), "identifiers")
+        extra = [stage(e, "enrichment") for e in enrichment_of(ids, inputs, now)]
+    return nested(revalidated(merge(append_rows(rows, *extra))))
 
 
 def read_inputs(spark: SparkSession, root: str, now: Column, **options) -> DataFrame:

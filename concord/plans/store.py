@@ -31,26 +31,26 @@ def utc_today() -> Column:
 PRUNED_PARTITIONS = 1_000
 
 
-def touched_partitions(batch: DataFrame, partition: str) -> Column:
-    """Condition that keeps the stored partitions a batch touches.
+def touched_values(batch: DataFrame, partition: str) -> list | None:
+    """Partition values a batch touches, or None if there are more than the bound.
 
-    A batch normally holds one date, so the list is a handful of values; a batch that
-    touches more than the bound reads the whole table instead.
+    A batch normally holds one date, so this is a handful of values.
     """
-    values = batch.select(partition).distinct().limit(PRUNED_PARTITIONS + 1).collect()
-    if len(values) > PRUNED_PARTITIONS:
-        return F.lit(True)
-    return F.col(partition).isin(*[v[0] for v in values])
+    found = batch.select(partition).distinct().limit(PRUNED_PARTITIONS + 1).collect()
+    return None if len(found) > PRUNED_PARTITIONS else [v[0] for v in found]
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """New rows replace old ones with the same keys; within the batch the last wins.
 
-    Columns that ``old`` does not have only serve the order and are left out.
+    Both are ranked together, so there is one shuffle. Columns that ``old`` does not have
+    only serve the order and are left out.
     """
-    batch = last_per_key(new, [F.col(k) for k in keys], order or keys)
-    batch = batch.select(*old.columns)
-    return old.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+    both = old.withColumn("_new", F.lit(0)).unionByName(
+        new.withColumn("_new", F.lit(1)), allowMissingColumns=True
+    )
+    winners = last_per_key(both, [F.col(k) for k in keys], ["_new", *order])
+    return winners.select(*old.columns)
 
 
 @dataclass(frozen=True)
@@ -106,6 +106,7 @@ class Store:
             "snapshot_date",
             [self.key, "snapshot_date"],
             tie,
+            None if snapshot_date is None else [datetime.date.fromisoformat(str(snapshot_date))],
         )
         current = batch.select(*self.identity_schema.names, "snapshot_date", *tie)
         self._replace(
@@ -117,14 +118,16 @@ class Store:
             ["snapshot_date", *tie],
         )
 
-    def _replace(self, name, stored, batch, partition, keys, order) -> None:
-        old = stored.filter(touched_partitions(batch, partition))
-        merged = upsert(old, batch, keys, order).select(*stored.columns)
-        # Rebalancing sizes the files of each partition at run time, hot dates included;
-        # sorting by key lets a lookup skip row groups by their min and max.
+    def _replace(self, name, stored, batch, partition, keys, order, touched=None) -> None:
+        touched = touched or touched_values(batch, partition)
+        old = stored if touched is None else stored.filter(F.col(partition).isin(*touched))
+        merged = upsert(old, batch, keys, order)
+        if touched is None or len(touched) > 1:
+            # Sizes the files of each partition at run time, hot ones included.
+            merged = merged.hint("rebalance", F.col(partition))
+        # Sorted by key, so that a lookup skips row groups by their min and max.
         (
-            merged.hint("rebalance", F.col(partition))
-            .sortWithinPartitions(partition, self.key)
+            merged.sortWithinPartitions(partition, self.key)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition)

@@ -203,13 +203,13 @@ FROM lineitem
 def pence_to_pounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices quoted in pence, half of them with a decimal comma."""
     flag = F.col("l_returnflag")
-    plain = amount("l_extendedprice").cast("decimal(18,2)").cast("string")
-    quoted = F.when(flag == "N", F.regexp_replace(plain, r"\.", ",")).otherwise(plain)
-    in_pence = flag != "R"
-    pounds = numbers.pounds(numbers.pence_number(quoted))
-    out = table(spark, sf_dir, "lineitem").select(
+    plain = amount("l_extendedprice").cast("string")
+    quoted = F.when(flag == "N", F.translate(plain, ".", ",")).otherwise(plain)
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_returnflag", quoted.alias("quoted"))
+    pounds = numbers.pounds(numbers.pence_number(F.col("quoted")))
+    out = lines.select(
         *LINE_KEY,
-        F.when(in_pence, pounds).otherwise(numbers.plain_number(quoted)).alias("price"),
+        F.when(flag != "R", pounds).otherwise(numbers.plain_number(F.col("quoted"))).alias("price"),
         F.lit("GBP").alias("currency"),
     )
     return doubles(out, "price")

@@ -44,18 +44,19 @@ def part_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Line items are reduced to reports before anything is joined to them.
     """
-    price = amount("l_extendedprice")
+    price, units = cents("l_extendedprice"), cents("l_quantity")
     reports = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_partkey", "l_suppkey")
         .agg(
-            newest_price("l_shipdate", price).alias("last_price"),
+            newest("l_shipdate", price).alias("last_price"),
             F.min(price).alias("fifty_two_week_min"),
             F.max(price).alias("fifty_two_week_max"),
-            F.sum(price).cast("decimal(18,2)").alias("market_cap"),
-            F.sum(amount("l_quantity")).cast("decimal(18,2)").alias("market_volume"),
+            F.sum(price).alias("market_cap"),
+            F.sum(units).alias("market_volume"),
             F.max(F.ascii("l_returnflag")).alias("flag"),
         )
+        .withColumns({f: from_cents(f) for f in GOLDEN_NUMBERS})
     )
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     located = reports.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -73,15 +74,22 @@ def part_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def newest_price(day: str, price: Column) -> Column:
-    """Highest price of the newest day, as one aggregate over a whole number.
+# Reports aggregate whole cents: BIGINT buffers stay in the hash operator with code
+# generation, where decimals are slower and a maximum over a struct would have to sort.
 
-    Day and cents share a BIGINT (prices stay below ten thousand million), which keeps
-    the aggregation in the hash operator; a maximum over a struct would have to sort.
-    """
-    cents = (price * 100).cast("bigint")
-    newest = F.max(F.unix_date(F.to_date(day)).cast("bigint") * 10**12 + cents)
-    return ((newest % 10**12).cast("decimal(20,0)") / 100).cast("decimal(18,2)")
+
+def cents(column: str) -> Column:
+    return F.round(F.col(column) * 100).cast("bigint")
+
+
+def from_cents(column: str) -> Column:
+    return (F.col(column).cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(18,2)")
+
+
+def newest(day: str, price: Column) -> Column:
+    """Highest price of the newest day: day and cents share a whole number (prices stay
+    below ten thousand million)."""
+    return F.max(F.unix_date(F.to_date(day)).cast("bigint") * 10**12 + price) % 10**12
 
 
 def part_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,16 +335,16 @@ def union_ordered_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 def range_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per part and supplier: newest price, low from shipped lines, high from returned
     ones, so that some reports are incomplete or contradict themselves."""
-    price = amount("l_extendedprice")
-    flag = F.col("l_returnflag")
+    price, flag = cents("l_extendedprice"), F.col("l_returnflag")
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_partkey", "l_suppkey")
         .agg(
-            newest_price("l_shipdate", price).alias("last"),
+            newest("l_shipdate", price).alias("last"),
             F.min(F.when(flag.isin("N", "A"), price)).alias("low"),
             F.max(F.when(flag.isin("R", "A"), price)).alias("high"),
         )
+        .withColumns({f: from_cents(f) for f in ("last", "low", "high")})
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,17 +25,28 @@ def pages_for_rows(total_rows: Column, page_size: int) -> Column:
 def before_gap(df: DataFrame, feed: Sequence[str], page: str, first: int = 0) -> DataFrame:
     """Rows of the unbroken run of pages from ``first``; later pages are ignored.
 
-    Only page numbers are windowed, one row per page of a feed.
+    The run ends at the lowest page without a successor, found by an anti join and a
+    minimum, so a feed with very many pages is never ordered in one task.
     """
+    feed = list(feed)
     pages = df.select(*feed, page).distinct()
-    place = F.row_number().over(Window.partitionBy(*feed).orderBy(page)) - 1 + first
-    run = pages.withColumn("_place", place).filter(F.col(page) == F.col("_place")).drop("_place")
-    return df.join(run, [*feed, page], "left_semi")
+    followed = pages.withColumn(page, F.col(page) - 1)
+    ends = pages.join(followed, [*feed, page], "left_anti")
+    started = pages.filter(F.col(page) == first).select(*feed)
+    last = ends.groupBy(*feed).agg(F.min(page).alias("_last")).join(started, feed, "left_semi")
+    return df.join(last, feed, "inner").filter(F.col(page) <= F.col("_last")).drop("_last")
 
 
-def is_empty(df: DataFrame) -> bool:
-    """An empty feed is never kept."""
-    return df.isEmpty()
+def keep_if_whole(rows: DataFrame, status: DataFrame, path: str) -> bool:
+    """Write a feed's rows for later runs, but only a complete and non-empty feed.
+
+    An incomplete feed is still used by the run that read it; it is just not kept. Tells
+    whether the rows were written.
+    """
+    if rows.isEmpty() or not status.filter(~F.col("complete")).isEmpty():
+        return False
+    rows.write.mode("overwrite").parquet(path)
+    return True
 
 
 def feed_counts(rows: DataFrame, registry: DataFrame) -> DataFrame:

@@ -1,13 +1,16 @@
 """The whole job on made-up feeds, and the store behind it."""
 
 import json
+import os
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.operators import fx
+from concord.operators.identify import identify
 from concord.operators.validate import accepted, error_counts, quarantined, revalidated, validate
 from concord.plans import build, report
 from concord.plans.store import Store, ttl_seconds
@@ -56,9 +59,13 @@ def inputs(spark, landed):
         raw=build.read_inputs(spark, str(landed / "feeds"), now()),
         rates=reference.read_rates(spark, str(landed / "rates")),
         lookup=lookup,
-        search=reference.read_search(spark, str(landed / "search")),
-        quotes=reference.read_quotes(spark, str(landed / "quotes")),
-        isin_lei=reference.read_isin_lei(spark, str(landed / "lei")),
+        enrichment=(
+            build.quote_feed(
+                reference.read_search(spark, str(landed / "search")),
+                reference.read_quotes(spark, str(landed / "quotes")),
+            ),
+            build.lei_feed(reference.read_isin_lei(spark, str(landed / "lei"))),
+        ),
     )
 
 
@@ -87,6 +94,14 @@ def test_build_without_enrichment_or_lookup(inputs):
     assert build.build(bare, now()).count() == 0
 
 
+def test_stage_counters(spark, inputs):
+    converted, identified = Observation("c"), Observation("i")
+    usd = fx.to_usd(accepted(inputs.raw), inputs.rates, counters=converted)
+    identify(usd, inputs.lookup, counters=identified).collect()
+    assert converted.get == {"converted": 5, "skipped": 0}
+    assert identified.get == {"identified": 4, "failed": 1}
+
+
 def test_payload_round_trip(canonical):
     back = build.from_payloads(build.payloads(canonical))
     assert sorted(map(str, back.collect())) == sorted(map(str, canonical.collect()))
@@ -200,6 +215,7 @@ def test_stream_replays_change_nothing(spark, prices, tmp_path):
     for i, rows in enumerate([[("a", "A", 1), ("a", "A", 1)], [("a", "A9", 5), ("b", "B", 2)]]):
         text = "\n".join(json.dumps(dict(zip("knp", r))) for r in rows)
         (folder / f"{i}.json").write_text(text)
+        os.utime(folder / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
     rows = streams.landed_stream(spark, str(folder), "k string, n string, p int", "json", files_per_batch=1)
     sink = streams.merge_batches(prices, lambda b: b.dropDuplicates(["k"]), "2026-01-05")
     streams.run_available(rows, str(tmp_path / "state"), each_batch=sink)

@@ -332,4 +332,17 @@ def test_page_gate(spark):
     assert status == {"a": (3, True), "b": (2, False), "c": (1, True)}
     kept = gates.before_gap(pages, ["feed"], "page")
     assert sorted((r["feed"], r["page"]) for r in kept.collect()) == [("a", 0), ("a", 1), ("a", 2), ("b", 0), ("c", 0)]
-    assert gates.is_empty(pages.filter("feed = 'z'"))
+    late = pages.filter("page > 0")
+    assert gates.before_gap(late, ["feed"], "page").isEmpty()
+
+
+def test_only_whole_feeds_are_kept(spark, tmp_path):
+    pages = spark.createDataFrame([("a", 0, 2), ("a", 1, 2)], "feed string, page int, total int")
+
+    def kept(rows, name):
+        status = gates.page_status(rows, ["feed"], "page", "total")
+        return gates.keep_if_whole(rows, status, str(tmp_path / name))
+
+    assert kept(pages, "whole") and spark.read.parquet(str(tmp_path / "whole")).count() == 2
+    assert not kept(pages.filter("page = 0"), "part") and not (tmp_path / "part").exists()
+    assert not kept(pages.filter("page = 9"), "none") and not (tmp_path / "none").exists()
