@@ -91,15 +91,54 @@ def lookup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", key.alias("key"))
 
 
-@query("candidate_score")
+def common_sql(a: str, b: str) -> str:
+    """Length of the longest common subsequence, row by row of the usual table."""
+    cell = (
+        f"CASE WHEN substring({a}, i::INT, 1) = substring({b}, j::INT, 1) THEN above[j] + 1 "
+        f"ELSE greatest(above[j + 1], done[-1]) END"
+    )
+    row = f"list_reduce(range(1, length({b}) + 1), lambda done, j: list_append(done, {cell}), [0::BIGINT])"
+    start = f"list_resize([0::BIGINT], length({b}) + 1, 0)"
+    return f"list_reduce(range(1, length({a}) + 1), lambda above, i: {row}, {start})[-1]"
+
+
+def ratio_sql(a: str, b: str) -> str:
+    return f"200.0 * {common_sql(a, b)} / (length({a}) + length({b}))"
+
+
+# Names are single words of similar length, for which the weighted ratio is the plain one.
+
+
+@query(
+    "candidate_score",
+    f"""
+WITH pairs AS (
+  SELECT s_suppkey, 'ab' || chr(97 + s_nationkey % 5) || chr((97 + s_suppkey % 7)::INT) AS symbol,
+         'ab' || chr(97 + c_nationkey % 5) || chr((97 + c_custkey % 7)::INT) AS expected,
+         'supplier' || s_nationkey AS name, 'supplyer' || c_nationkey AS expected_name
+  FROM supplier JOIN customer ON s_suppkey = c_custkey
+),
+scored AS (
+  SELECT s_suppkey, CASE WHEN symbol = expected THEN 100.0 ELSE {ratio_sql("symbol", "expected")} END AS by_symbol,
+         {ratio_sql("name", "expected_name")} AS by_name FROM pairs
+)
+SELECT s_suppkey, CASE WHEN by_symbol >= 70 AND by_name >= 70 THEN by_symbol + by_name ELSE 0 END::DOUBLE AS score FROM scored
+""",
+)
 def candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of each supplier against the customer with its number: no SQL twin, the
-    scores are tested against worked examples."""
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    """Symbol and name scores of each supplier against the customer with its number."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     joined = table(spark, sf_dir, "supplier").join(customers, F.col("s_suppkey") == F.col("c_custkey"))
-    symbol = F.concat(F.lit("S"), "s_nationkey", F.lit(".X"))
-    expected = F.concat(F.col("s_nationkey"), F.lit("S"), F.col("s_nationkey") % 7)
-    score = candidate_score(symbol, F.col("s_name"), expected, F.col("c_name"))
+
+    def ticker(nation: str, key: str) -> Column:
+        return F.concat(F.lit("AB"), F.char(65 + F.col(nation) % 5), F.char(65 + F.col(key) % 7))
+
+    score = candidate_score(
+        F.concat(ticker("s_nationkey", "s_suppkey"), F.lit(".X")),
+        F.concat(F.lit("Supplier"), "s_nationkey", F.lit("! ")),
+        ticker("c_nationkey", "c_custkey"),
+        F.concat(F.lit("Supplyer"), "c_nationkey"),
+    )
     return joined.select("s_suppkey", score.alias("score"))
 
 
