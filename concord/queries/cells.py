@@ -134,7 +134,7 @@ def candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit("AB"), F.char(65 + F.col(nation) % 5), F.char(65 + F.col(key) % 7))
 
     score = candidate_score(
-        F.concat(ticker("s_nationkey", "s_suppkey"), F.lit(".X")),
+        ticker("s_nationkey", "s_suppkey"),
         F.concat(F.lit("Supplier"), "s_nationkey", F.lit("! ")),
         ticker("c_nationkey", "c_custkey"),
         F.concat(F.lit("Supplyer"), "c_nationkey"),
