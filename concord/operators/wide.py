@@ -22,8 +22,10 @@ from concord.operators import ranks, votes
 from concord.operators.golden import MIN_CONSISTENT, PriceRange, Rule, Strategy
 from concord.session import stage
 
-#: Spellings per group that one clustering round looks at for new leaders.
+#: Spellings per group that the first clustering round looks at for new leaders; later
+#: rounds look at twice as many each, up to the bound.
 LEADERS_PER_ROUND = 64
+MAX_LEADERS_PER_ROUND = 1_000
 
 
 def mode_wide(df: DataFrame, group: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
@@ -130,6 +132,7 @@ def fuzzy_wide(
             )
         )
         pending = tried.filter(F.col("_at").isNull()).drop("_leaders", "_at")
+        per_round = max(per_round, min(2 * per_round, MAX_LEADERS_PER_ROUND))
     if not clusters:
         return totals.withColumn("chosen", F.lit(None).cast("string"))
     every = reduce(DataFrame.unionByName, clusters)

@@ -172,14 +172,14 @@ def cache_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "cache_put_over",
-    CACHE_SQL.replace("ORDER BY created_at DESC, event_id DESC", "ORDER BY event_id % 2 DESC, created_at DESC, event_id DESC")
+    CACHE_SQL.replace("ORDER BY created_at DESC, event_id DESC", "ORDER BY payload >= 20 DESC, created_at DESC, event_id DESC")
     + "SELECT * FROM put",
 )
 def cache_put_over(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Odd events put over the even ones."""
-    rows, odd = cache_rows(spark, sf_dir), F.col("event_id") % 2 == 1
-    old = cache_put(None, rows.filter(~odd), ["event_id"])
-    return cache_put(old, rows.filter(odd), ["event_id"])
+    """Events of high value put over the others."""
+    rows, late = cache_rows(spark, sf_dir), F.col("payload") >= 20
+    old = cache_put(None, rows.filter(~late), ["event_id"])
+    return cache_put(old, rows.filter(late), ["event_id"])
 
 
 @query(
@@ -357,18 +357,21 @@ def tier_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "display_forms",
     """
+WITH v AS (
+  SELECT o_orderkey, o_orderdate, CASE o_orderstatus WHEN 'F' THEN o_totalprice * 1e8 WHEN 'O' THEN o_totalprice * 1e6
+         ELSE round(o_totalprice) END::DOUBLE AS v FROM orders
+)
 SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS day,
-       CASE o_orderstatus WHEN 'F' THEN format('${:.2f}T', o_totalprice * 1e8 / 1e12)
-            WHEN 'O' THEN format('${:.2f}B', o_totalprice * 1e6 / 1e9)
-            ELSE format('${:,}', round(o_totalprice)::BIGINT) END AS usd
-FROM orders WHERE o_totalprice >= 20000
+       CASE WHEN v >= 1e12 THEN format('${:.2f}T', v / 1e12) WHEN v >= 1e9 THEN format('${:.2f}B', v / 1e9)
+            WHEN v >= 1e6 THEN format('${:.0f}M', v / 1e6) ELSE format('${:,}', round(v)::BIGINT) END AS usd
+FROM v
 """,
 )
 def display_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     status, price = F.col("o_orderstatus"), F.col("o_totalprice")
     value = F.when(status == "F", price * 1e8).when(status == "O", price * 1e6).otherwise(F.round(price))
-    orders = table(spark, sf_dir, "orders").filter(price >= 20000)
-    return orders.select("o_orderkey", display_date(F.col("o_orderdate")).alias("day"), display_usd(value).alias("usd"))
+    day = display_date(F.col("o_orderdate"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", day.alias("day"), display_usd(value).alias("usd"))
 
 
 FIGURE_COLUMNS = {
