@@ -118,6 +118,9 @@ RECORD_COLUMNS = {
 }
 
 
+CAP_FIGURES = {"aggregate": "total", "largest": "largest", "median": "median"}
+
+
 def key_figures(
     identities: DataFrame,
     snapshots: DataFrame,
@@ -125,8 +128,8 @@ def key_figures(
 ) -> DataFrame:
     """One row with the headline figures.
 
-    Scalars of the latest slice come from one pass; the distinct counts and the median
-    need their own shuffles.
+    Sums and ratios of the latest slice come from one pass; the other figures are scalar
+    subqueries beside it.
     """
     now = latest_slice(snapshots)
     c = columns
@@ -139,32 +142,20 @@ def key_figures(
         ratio_percent(now, in_range(price, low, high), [c["price"], c["low"], c["high"]]).alias("in_range_pct"),
         ratio_percent(now, cap_agrees(cap, price, shares), [c["cap"], c["price"], c["shares"]]).alias("cap_agrees_pct"),
     )
-    parts = [
-        identities.agg(F.count(F.lit(1)).alias("equities")),
-        now.agg(F.count_distinct(c["sector"]).alias("sectors")),
-        now.agg(F.count_distinct(c["industry"]).alias("industries")),
-        distinct_elements(now, c["mics"]).withColumnRenamed("elements", "venues"),
-        snapshots.agg(
-            F.count_distinct("snapshot_date").alias("snapshot_dates"),
-            display_date(F.min("snapshot_date")).alias("history_since"),
-        ),
-        sums,
-        cap_median(now, c["cap"]),
-    ]
-    # Every part is exactly one aggregate row, so the joins below pair single rows.
-    one = parts[0].withColumn("_one", F.lit(1))
-    for part in parts[1:]:
-        one = one.join(part.withColumn("_one", F.lit(1)), "_one")
-    return one.select(
-        "equities",
-        "sectors",
-        "industries",
-        "venues",
-        "snapshot_dates",
-        "history_since",
-        display_usd(F.col("total")).alias("aggregate_cap"),
-        display_usd(F.col("largest")).alias("largest_cap"),
-        display_usd(F.col("median")).alias("median_cap"),
+    dates = snapshots.agg(F.count_distinct("snapshot_date")).scalar()
+    since = snapshots.agg(display_date(F.min("snapshot_date"))).scalar()
+    figures = sums.select(
+        identities.agg(F.count(F.lit(1))).scalar().alias("equities"),
+        now.agg(F.count_distinct(c["sector"])).scalar().alias("sectors"),
+        now.agg(F.count_distinct(c["industry"])).scalar().alias("industries"),
+        distinct_elements(now, c["mics"]).scalar().alias("venues"),
+        dates.alias("snapshot_dates"),
+        since.alias("history_since"),
+        "total",
+        "largest",
+        cap_median(now, c["cap"]).scalar().alias("median"),
         "in_range_pct",
         "cap_agrees_pct",
     )
+    shown = {f"{n}_cap": display_usd(F.col(f)) for n, f in CAP_FIGURES.items()}
+    return figures.withColumns(shown).drop(*CAP_FIGURES.values())
