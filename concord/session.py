@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,25 @@ def scratch_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path for files of this application in the shared folder."""
+    app = spark.sparkContext.applicationId
+    return f"{scratch_dir(spark)}/concord/{app}/{label}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, so that its functions can be unpickled there."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="concord-package-")  # on the driver, which serves it
+        context.addPyFile(shutil.make_archive(f"{folder}/concord", "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -48,8 +69,6 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     lost executor re-reads files instead of recomputing the lineage, and the optimizer
     knows the size, so it broadcasts a small frame and shuffles a large one.
     """
-    spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{scratch_dir(spark)}/concord/{app}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
