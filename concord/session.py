@@ -70,5 +70,5 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     knows the size, so it broadcasts a small frame and shuffles a large one.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # works in heap buffers, unlike snappy
     return df.sparkSession.read.schema(df.schema).parquet(path)
