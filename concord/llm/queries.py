@@ -1,6 +1,6 @@
 """All queries of this subpackage (importing a module registers its queries)."""
 
-from concord.llm import decontaminate, packing, pii, sharding, simhash, token_files, toxicity  # noqa: F401
+from concord.llm import decontaminate, packing, pages, pii, sharding, simhash, token_files, toxicity  # noqa: F401
 from concord.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
