@@ -101,8 +101,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     rows = (
         texts(docs)
         .withColumn("row", F.monotonically_increasing_id())
-        .select("row", "doc_id", F.posexplode(found).alias("n", "c"))
-        .select("row", "doc_id", "n", "c.*")
+        .select("row", "doc_id", F.xxhash64("text").alias("digest"), F.posexplode(found).alias("n", "c"))
+        .select("row", "doc_id", "digest", "n", "c.*")
     )
     own = Window.partitionBy("row", "generator").orderBy("n")
     so_far = F.sum(F.col("gap") + F.length("match")).over(own)
@@ -123,6 +123,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     described = known.withColumns({"kind": kind, "start": F.col("end") - F.length("match")}).select(
         "row",
         "doc_id",
+        "digest",
         "kind",
         "start",
         "end",
@@ -138,7 +139,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.when(F.col("left").rlike(CUES[0]), 1).when(F.col("left").rlike(CUES[1]), 2).otherwise(0).alias("cue"),
         F.least(F.length(F.regexp_replace("match", r"[^.]", "")), F.lit(5)).alias("dots"),
     )
-    absent = rows.where("generator < 0").select("row", "doc_id")
+    absent = rows.where("generator < 0").select("row", "doc_id", "digest")
     return absent.unionByName(described, allowMissingColumns=True)
 
 
@@ -206,8 +207,8 @@ def spans(docs: DataFrame) -> DataFrame:
     ranked = marked.withColumn("score", score).withColumn("rank", F.row_number().over(together))
     # the validated patterns of one kind never overlap, so each stands
     kept = ranked.where(F.col("base") | (~F.col("covered") & (F.col("rank") == 1) & (F.col("score") >= least)))
-    columns = ["row", "doc_id", "kind", "start", "end", "base", "score"]
-    absent = found.where("kind IS NULL").select("row", "doc_id")
+    columns = ["row", "doc_id", "digest", "kind", "start", "end", "base", "score"]
+    absent = found.where("kind IS NULL").select("row", "doc_id", "digest")
     return absent.unionByName(kept.select(columns), allowMissingColumns=True)
 
 
@@ -232,6 +233,42 @@ def report(found: DataFrame) -> DataFrame:
     )
 
 
+def redact(docs: DataFrame) -> DataFrame:
+    """``docs`` with every accepted span replaced by its kind, such as ``[EMAIL]``.
+
+    Overlapping spans become one, named after the first. ``n_chars``, if there, follows the text.
+    Texts are found again by id and content, so rows with equal ids do not mix.
+    """
+    found = spans(docs).where("kind IS NOT NULL").select("doc_id", "digest", "start", "end", "kind").distinct()
+    line = Window.partitionBy("doc_id", "digest").orderBy("start", "end", "kind")
+    reach = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = found.withColumn("fresh", F.when(F.col("start") < reach, 0).otherwise(1))
+    islands = fresh.withColumn("island", F.sum("fresh").over(line)).groupBy("doc_id", "digest", "island")
+    merged = islands.agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", "end", "kind")).alias("kind")
+    )
+    before = F.coalesce(F.lag("end").over(Window.partitionBy("doc_id", "digest").orderBy("start")), F.lit(0))
+    piece = F.struct("start", before.alias("before"), "end", "kind")
+    edits = merged.select("doc_id", "digest", piece.alias("piece")).groupBy("doc_id", "digest").agg(
+        F.array_sort(F.collect_list("piece")).alias("edits")
+    )
+    edits = edits.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("edits").alias("_edits"))
+    text = F.col("text")
+    parts = F.transform(
+        "_edits",
+        lambda x: F.concat(
+            F.substring(text, x["before"] + 1, x["start"] - x["before"]), F.lit("["), F.upper(x["kind"]), F.lit("]")
+        ),
+    )
+    tail = F.substring(text, F.element_at("_edits", -1)["end"] + 1, F.length(text))
+    changed = F.when(F.col("_edits").isNull(), text).otherwise(F.concat(F.array_join(parts, ""), tail))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_digest"))
+    out = docs.join(edits, same, "left").withColumn("text", changed)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(docs.columns)
+
+
 @query("op7_pii")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(spans(table(spark, sf_dir, "documents")))

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -259,6 +260,22 @@ def scored(docs: DataFrame, model: Model, own: bool = False) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text", *(["toxic"] if own else [])).mapInArrow(run, schema)
 
 
+def score_of(text: Column, model: Model) -> Column:
+    """The score as a column, for filters on rows that keep all their columns."""
+
+    @F.pandas_udf("double")
+    def score(content: pd.Series) -> pd.Series:
+        reach = _reach(model)
+        out = []
+        for t in content:
+            words = _WORD.findall((t or "").lower())
+            found = segments(token_scores(words, model, reach))
+            out.append(probability(_features(found, len(words), model), model.weights))
+        return pd.Series(out, dtype="float64")
+
+    return score(text)
+
+
 def passages(docs: DataFrame, model: Model, e_value: float = E_VALUE) -> DataFrame:
     """Every significant passage: ``doc_id, first_word, last_word, score, e_value, passage``."""
 
