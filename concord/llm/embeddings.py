@@ -171,6 +171,30 @@ def near_duplicates(
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-@query("op1_embeddings")
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+), good AS (
+  SELECT vec_id, x FROM v
+  WHERE x IS NOT NULL AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(x, lambda e: e <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+  ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), named AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1
+), counted AS (
+  SELECT a AS vec_id, count(*) AS n FROM link GROUP BY 1
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM named LEFT JOIN counted USING (vec_id)
+"""
+
+
+@query("op1_embeddings", ORACLE)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
