@@ -64,7 +64,7 @@ def _matches(number: int, kind: str, pattern: str, needs: str) -> Column:
     """All matches of a generator with what stands before each, as an array of structs; the last
     one, without a match, has the text behind them."""
     text = F.col("text")
-    present = text.rlike("[0-9]{2}") if needs == "digit" else text.contains(needs)
+    present = text.rlike("[0-9]") if needs == "digit" else text.contains(needs)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
     rows = F.transform(
