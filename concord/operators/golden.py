@@ -161,11 +161,15 @@ def merge_arrays(
     grouped = df.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct(*order, *fields))).alias("_rows")
     )
-    return vote_rows(grouped, key, rules, price_range)
+    return vote_rows(grouped, key, rules, order, price_range)
 
 
 def vote_rows(
-    grouped: DataFrame, key: str, rules: Mapping[str, Rule], price_range: PriceRange | None
+    grouped: DataFrame,
+    key: str,
+    rules: Mapping[str, Rule],
+    order: Sequence[str],
+    price_range: PriceRange | None,
 ) -> DataFrame:
     """Apply the rules to a frame of ``key, _rows`` (ordered array of structs).
 
@@ -179,19 +183,18 @@ def vote_rows(
     joint = price_range is not None
 
     def reported(field: str) -> str:
-        every = votes.reports("_rows", field)
-        if rules[field].strategy is Strategy.UNION:
-            return every
-        known = votes.known(every)
-        return f"sort_array({known})" if field in medians else known
+        if field in medians:
+            return f"sort_array({votes.known(votes.reports('_rows', field))})"
+        cells = votes.placed("_rows", field, order)
+        return cells if rules[field].strategy is Strategy.MODE else votes.plain(cells)
 
-    first = [f"{reported(f)} AS {f}" for f in rules]
+    first = ["size(_rows) AS _sources", *(f"{reported(f)} AS {f}" for f in rules)]
     if joint:
         agree = votes.is_consistent(*[f"r.{c}" for c in price_range.columns])
         first.append(f"filter(_rows, r -> {agree}) AS _agreeing")
     steps = grouped.selectExpr(key, *first)
 
-    kept = [*plain, *(["_agreeing"] if joint else [])]
+    kept = ["_sources", *plain, *(["_agreeing"] if joint else [])]
     if banded:
         middles = [f"{votes.middle_sum(f)} AS _mid_{f}" for f in banded]
         steps = steps.selectExpr("*", *middles)
@@ -212,7 +215,8 @@ def vote_rows(
             Strategy.UNION: votes.union_ordered,
             Strategy.FUZZY: lambda f: settled_or_voted(f, f"_fuzzy.{f}"),
         }[rule.strategy](field)
-        return f"{votes.with_quorum(field, vote, rule.min_sources)} AS {field}"
+        size = "_sources" if rule.strategy is Strategy.UNION else f"size({field})"
+        return f"{votes.with_quorum(size, vote, rule.min_sources)} AS {field}"
 
     results = [voted(f, r) for f, r in rules.items()]
     if not joint:

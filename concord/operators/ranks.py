@@ -1,149 +1,87 @@
 """Exact order statistics of groups of any size.
 
-A group's values are never collected. Each round cuts the interval that holds the
-wanted rank at approximate quantiles, counts the cells exactly, and keeps the one cell
-with the rank; the approximation only places the cuts, so the answer is exact however
-coarse they are. When the cell is small enough its distinct values are numbered with a
-window. A round is two aggregations with map-side combine.
+A group's values are never collected, and every size takes the same path. Equal values are
+counted before the shuffle and dealt out by ranges of (group, value), so a group spreads over
+as many tasks as its values need and a heavy value is one row. Each range is summed up; the
+sums, one row per range and group, are added from the left, which tells the range that holds a
+rank; within it the counts are added again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concord.session import stage
 
-#: Rows of one group that a single task may order.
-TASK_ROWS = 1_000_000
-#: Cells per round. A row is compared with every cut, so few cells and one more round
-#: cost less than many cells.
-CELLS = 32
 
+def counted(values: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """Distinct non-null values per group with their ``copies``."""
+    rows = values.filter(F.col(value).isNotNull())
+    return rows.groupBy(*group, value).agg(F.count(F.lit(1)).alias("copies"))
 
-def _interval_rows(values: DataFrame, state: DataFrame, group, value: str) -> DataFrame:
-    inside = (F.col("lo").isNull() | (F.col(value) >= F.col("lo"))) & (
-        F.col("hi").isNull() | (F.col(value) <= F.col("hi"))
-    )
-    joined = values.join(state, group, "inner")
-    return joined.filter(inside)
+
+def join_same(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of both sides in which null equals null; they appear once."""
+    other = right.withColumnsRenamed({c: f"_same_{c}" for c in columns})
+    alike = [F.col(c).eqNullSafe(F.col(f"_same_{c}")) for c in columns]
+    return left.join(other, reduce(Column.__and__, alike, F.lit(True)), how).drop(*[f"_same_{c}" for c in columns])
 
 
 def pick_ranks(
-    values: DataFrame,
-    group: Sequence[str],
-    value: str,
-    ranks: dict[str, str],
-    task_rows: int = TASK_ROWS,
+    values: DataFrame, group: Sequence[str], value: str, ranks: dict[str, str], copies: str | None = None
 ) -> DataFrame:
     """For each group the value at each zero-based rank.
 
     ``ranks`` names the results; each expression is SQL over the group size ``n``, such
     as ``(n - 1) div 2``. Returns the group columns, ``n`` and one column per rank. Null
-    values are ignored.
+    values are ignored; a null group is a group. ``copies`` names a column that says how
+    often a row's value counts.
     """
     group = list(group)
-    rows = values.filter(F.col(value).isNotNull()).select(*group, value)
-    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= task_rows:
-        return _pick_by_window(rows, group, value, ranks)
-
-    rows = stage(rows, "rank-values")
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(k).alias("rank_name"), F.expr(e).cast("bigint").alias("at"))
-                for k, e in ranks.items()
-            ]
-        )
-    )
-    kind = rows.schema[value].dataType
-    state = sizes.select(
-        *group,
-        "n",
-        wanted.alias("w"),
-        F.col("n").alias("inside"),
-        F.lit(None).cast(kind).alias("lo"),
-        F.lit(None).cast(kind).alias("hi"),
-    ).select(*group, "n", "w.rank_name", "w.at", "inside", "lo", "hi")
-    state = stage(state, "rank-state")
-    while largest > task_rows:
-        state = stage(_narrow(rows, state, group, value), "rank-state")
-        open_cells = state.filter("lo < hi")
-        largest = open_cells.agg(F.max("inside")).first()[0] or 0
-
-    keys = [*group, "rank_name"]
-    counted = (
-        _interval_rows(rows, state, group, value)
-        .groupBy(*keys, "n", "at", value)
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    upto = F.sum("copies").over(Window.partitionBy(*keys).orderBy(value))
-    hit = counted.withColumn("upto", upto).filter("at < upto AND at >= upto - copies")
-    return hit.groupBy(*group, "n").agg(
-        *[F.max(F.when(F.col("rank_name") == k, F.col(value))).alias(k) for k in ranks]
-    )
-
-
-def _pick_by_window(rows: DataFrame, group, value: str, ranks: dict[str, str]) -> DataFrame:
-    """One shuffle: equal values are counted first, then numbered per group."""
-    counted = rows.groupBy(*group, value).agg(F.count(F.lit(1)).alias("copies"))
+    if copies is None:
+        counts = counted(values, group, value)
+    else:
+        known = values.filter(F.col(value).isNotNull())
+        counts = known.groupBy(*group, value).agg(F.sum(copies).alias("copies"))
+    ordered = counts.repartitionByRange(*group, value).sortWithinPartitions(*group, value)
+    counts = stage(ordered.withColumn("_part", F.spark_partition_id()), "rank-counts")
+
+    sums = counts.groupBy("_part", *group).agg(F.sum("copies").alias("inside"))
     whole = Window.partitionBy(*group)
-    numbered = counted.withColumns(
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sums.withColumns(
         {
-            "n": F.sum("copies").over(whole),
-            "upto": F.sum("copies").over(whole.orderBy(value)),
+            "n": F.sum("inside").over(whole),
+            "before": F.coalesce(F.sum("inside").over(earlier), F.lit(0)),
         }
     )
-    picks = []
-    for name, expression in ranks.items():
-        at = F.expr(expression)
-        here = (at < F.col("upto")) & (at >= F.col("upto") - F.col("copies"))
-        picks.append(F.max(F.when(here, F.col(value))).alias(name))
-    return numbered.groupBy(*group, "n").agg(*picks)
-
-
-def _narrow(rows: DataFrame, state: DataFrame, group, value: str) -> DataFrame:
-    """State with each interval reduced to the cell that holds its rank."""
-    keys = [*group, "rank_name"]
-    inside = _interval_rows(rows, state, group, value)
-    cuts = inside.groupBy(*keys).agg(
-        F.array_distinct(
-            F.percentile_approx(value, [i / CELLS for i in range(1, CELLS)], CELLS * 20)
-        ).alias("cuts")
-    )
-    cell = F.size(F.filter("cuts", lambda c: c < F.col(value)))
-    cells = (
-        inside.join(stage(cuts, "rank-cuts"), keys, "inner")
-        .groupBy(*keys, "n", "at", cell.alias("cell"))
-        .agg(
-            F.count(F.lit(1)).alias("inside"),
-            F.min(value).alias("lo"),
-            F.max(value).alias("hi"),
-        )
-    )
-    upto = F.sum("inside").over(Window.partitionBy(*keys).orderBy("cell"))
-    holds = cells.withColumn("upto", upto).filter("at < upto AND at >= upto - inside")
-    return holds.select(
-        *group, "n", "rank_name", (F.col("at") - (F.col("upto") - F.col("inside"))).alias("at"),
-        "inside", "lo", "hi",
+    wanted = F.explode(
+        F.array(*[F.struct(F.lit(k).alias("name"), F.expr(e).cast("bigint").alias("at")) for k, e in ranks.items()])
     )
+    picks = placed.select("*", wanted.alias("w")).filter("w.at >= before AND w.at < before + inside")
+    picks = picks.select(*group, "_part", "n", "before", "w.name", "w.at")
+
+    held = join_same(counts, picks, [*group, "_part"]).withColumn("at", F.col("at") - F.col("before"))
+    upto = F.sum("copies").over(Window.partitionBy(*group, "_part", "name").orderBy(value))
+    hit = held.withColumn("upto", upto).filter("at < upto AND at >= upto - copies")
+    chosen = [F.max(F.when(F.col("name") == k, F.col(value))).alias(k) for k in ranks]
+    return hit.groupBy(*group, "n").agg(*chosen)
 
 
-def low_median(values: DataFrame, group: Sequence[str], value: str, **kw) -> DataFrame:
+def low_median(values: DataFrame, group: Sequence[str], value: str, copies: str | None = None) -> DataFrame:
     """Low median per group as column ``low_median``: always a reported value."""
-    return pick_ranks(values, group, value, {"low_median": "(n - 1) div 2"}, **kw)
+    return pick_ranks(values, group, value, {"low_median": "(n - 1) div 2"}, copies)
 
 
-def upper_median(values: DataFrame, group: Sequence[str], value: str, **kw) -> DataFrame:
+def upper_median(values: DataFrame, group: Sequence[str], value: str, copies: str | None = None) -> DataFrame:
     """Element at offset ``n div 2`` per group as column ``upper_median``."""
-    return pick_ranks(values, group, value, {"upper_median": "n div 2"}, **kw)
+    return pick_ranks(values, group, value, {"upper_median": "n div 2"}, copies)
 
 
-def median_pair(values: DataFrame, group: Sequence[str], value: str, **kw) -> DataFrame:
+def median_pair(values: DataFrame, group: Sequence[str], value: str, copies: str | None = None) -> DataFrame:
     """Both middle values; the averaged median is half their sum."""
-    return pick_ranks(values, group, value, {"mid_lo": "(n - 1) div 2", "mid_hi": "n div 2"}, **kw)
-
+    return pick_ranks(values, group, value, {"mid_lo": "(n - 1) div 2", "mid_hi": "n div 2"}, copies)

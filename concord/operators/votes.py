@@ -7,6 +7,8 @@ distributed forms for groups of any size are in :mod:`concord.operators.wide`.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 # Rule parameters.
 DEFAULT_MAX_DEVIATION = "0.3"
 RANGE_FLOOR = "0.9"
@@ -22,13 +24,33 @@ def known(values: str) -> str:
     return f"filter({values}, v -> v IS NOT NULL)"
 
 
-def mode_first(values: str) -> str:
-    """Most frequent value; ties go to the one seen first. ``values`` holds no nulls."""
-    tally = (
-        f"transform(array_distinct({values}), (v, i) -> struct("
-        f"size(filter({values}, x -> x = v)) AS votes, -i AS earlier, v AS value))"
-    )
-    return f"array_max({tally}).value"
+def placed(rows: str, field: str, order: Sequence[str]) -> str:
+    """A field of every row that has it, as ``struct(o, v)`` with the row's place, in order.
+
+    Equal places are told apart by the value, so the order never depends on other fields.
+    """
+    place = ", ".join(f"r.{c}" for c in order)
+    cell = f"CASE WHEN r.{field} IS NOT NULL THEN struct(struct({place}) AS o, r.{field} AS v) END"
+    return f"sort_array(filter(transform({rows}, r -> {cell}), c -> c IS NOT NULL))"
+
+
+def plain(cells: str) -> str:
+    """The values of placed cells."""
+    return f"transform({cells}, c -> c.v)"
+
+
+def mode_first(cells: str) -> str:
+    """Most frequent value of placed cells; ties go to the one seen first. None without cells.
+
+    Sorted by value, equal values are runs; a run's length is its votes and its first cell the
+    earliest. (``transform(array(x), s -> ...)[0]`` works ``x`` out once.)
+    """
+    by_value = f"sort_array(transform({cells}, c -> struct(c.v AS v, c.o AS o)))"
+    starts = "filter(sequence(0, size(s) - 1), i -> i = 0 OR s[i].v <> s[i - 1].v)"
+    stops = "concat(slice(t, 2, size(t)), array(size(s)))"
+    runs = f"zip_with(t, {stops}, (a, b) -> struct(a - b AS fewer, s[a].o AS o, s[a].v AS v))"
+    best = f"transform(array({starts}), t -> array_min({runs}).v)[0]"
+    return f"CASE WHEN size({cells}) > 0 THEN transform(array({by_value}), s -> {best})[0] END"
 
 
 def low_median(ordered: str) -> str:
@@ -66,13 +88,12 @@ def within_deviation(values: str, twice_median: str, twice_scale: str, share: st
 
 def union_ordered(arrays: str) -> str:
     """Distinct non-blank elements in order of first appearance; empty is null."""
-    items = f"flatten(filter({arrays}, a -> a IS NOT NULL))"
-    merged = f"array_distinct(filter({items}, e -> trim(e) <> ''))"
+    merged = f"array_distinct(filter(flatten({arrays}), e -> trim(e) <> ''))"
     return f"CASE WHEN size({merged}) > 0 THEN {merged} END"
 
 
-def with_quorum(values: str, vote: str, min_sources: int) -> str:
-    return f"CASE WHEN size({values}) >= {int(min_sources)} THEN {vote} END"
+def with_quorum(sources: str, vote: str, min_sources: int) -> str:
+    return f"CASE WHEN {sources} >= {int(min_sources)} THEN {vote} END"
 
 
 def is_complete(last: str, low: str, high: str) -> str:

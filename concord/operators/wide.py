@@ -1,7 +1,7 @@
 """The merge rules as distributed aggregations, for groups of any size.
 
 No group is ever collected. Equal values are counted before the shuffle, so copies of a
-hot key's values collapse where they lie; medians are found by interval narrowing
+hot key's values collapse where they lie; medians are picked from sorted ranges
 (:mod:`concord.operators.ranks`); name clusters are built in rounds of a bounded number
 of leaders. Results equal those of the array rules.
 """
@@ -29,7 +29,7 @@ MAX_LEADERS_PER_ROUND = 1_000
 
 
 def mode_wide(df: DataFrame, group: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
-    """Mode with ties to the first seen, as column ``mode`` (and ``sources``)."""
+    """Mode with ties to the first seen (then to the smaller value), as column ``mode`` (and ``sources``)."""
     tally = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*group, value)
@@ -40,26 +40,30 @@ def mode_wide(df: DataFrame, group: Sequence[str], value: str, order: Sequence[s
 
 
 def deviation_wide(
-    values: DataFrame, group: Sequence[str], value: str, max_deviation: Column, **kw
+    values: DataFrame, group: Sequence[str], value: str, max_deviation: Column, copies: str | None = None
 ) -> DataFrame:
-    """Rows within the deviation band around the averaged median of their group."""
+    """Rows within the deviation band around the averaged median of their group.
+
+    A null group is a group; null values are dropped. ``copies`` says how often a row counts.
+    """
     group = list(group)
     rows = values.filter(F.col(value).isNotNull())
-    middle = ranks.median_pair(rows, group, value, **kw).select(
+    middle = ranks.median_pair(rows, group, value, copies).select(
         *group, F.col("n").alias("_n"), (F.col("mid_lo") + F.col("mid_hi")).alias("_twice")
     )
     middle = stage(middle, "middles")
-    joined = rows.join(middle, group, "inner")
+    joined = ranks.join_same(rows, middle, group)
     v, n, twice, spread = F.col(value), F.col("_n"), F.col("_twice"), F.col("_scale")
     near = F.abs(v * 2 - twice) < max_deviation * F.abs(twice)
     centred = middle.filter((F.col("_n") >= 2) & (F.col("_twice") == 0))
     if centred.isEmpty():
         return joined.filter((n < 2) | near).drop("_n", "_twice")
-    sizes = rows.join(centred.select(*group), group, "left_semi").withColumn("_size", F.abs(value))
-    scale = ranks.median_pair(sizes, group, "_size", **kw).select(
+    sizes = ranks.join_same(rows, centred.select(*group), group, "left_semi").withColumn("_size", F.abs(value))
+    scale = ranks.median_pair(sizes, group, "_size", copies).select(
         *group, (F.col("mid_lo") + F.col("mid_hi")).alias("_scale")
     )
-    both = joined.join(stage(scale, "scales"), group, "left")
+    scale = stage(scale, "scales")
+    both = ranks.join_same(joined, scale, group, "left")
     keep = (
         F.when((n < 2) | (spread == 0), True)
         .when(twice != 0, near)
@@ -70,7 +74,8 @@ def deviation_wide(
 
 def union_wide(df: DataFrame, group: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
     """Ordered set union of array cells as column ``merged``; the cell is the result."""
-    items = df.select(*group, F.struct(*order).alias("_ord"), F.posexplode(value).alias("_at", "_item"))
+    place = F.struct(*order, F.col(value).alias("_cell")).alias("_ord")
+    items = df.select(*group, place, F.posexplode(value).alias("_at", "_item"))
     kept = items.filter(F.col("_item").isNotNull() & (F.length(F.trim("_item")) > 0))
     first = kept.groupBy(*group, "_item").agg(F.min(F.struct("_ord", "_at")).alias("_seen"))
     ordered = F.sort_array(F.collect_list(F.struct("_seen", "_item")))
@@ -158,15 +163,25 @@ def _per_field(values: dict[str, object], kind: str) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.col("field"))
 
 
+def _by_type(df: DataFrame, rules: Mapping[str, Rule]) -> list[dict[str, Rule]]:
+    """Rules of fields that share a data type: only those may share a column of cells."""
+    kinds: dict[str, dict[str, Rule]] = {}
+    for f, r in rules.items():
+        kinds.setdefault(df.schema[f].dataType.simpleString(), {})[f] = r
+    return list(kinds.values())
+
+
 def merge_wide(
     df: DataFrame,
     key: str,
     rules: Mapping[str, Rule],
     order: Sequence[str],
     price_range: PriceRange | None,
-    **rank_options,
 ) -> DataFrame:
-    """Distributed merge; same columns and values as the array merge."""
+    """Distributed merge; same columns, types and values as the array merge.
+
+    Medians need no order, so their cells are counted once and everything after works on counts.
+    """
     rows = stage(df.select(key, *order, *rules), "oversize-rows")
     keys = rows.select(key).distinct()
     by_kind: dict[Strategy, dict[str, Rule]] = {}
@@ -174,20 +189,21 @@ def merge_wide(
         by_kind.setdefault(r.strategy, {})[f] = r
     parts: list[DataFrame] = []
 
-    if modes := by_kind.get(Strategy.MODE):
+    for modes in _by_type(rows, by_kind.get(Strategy.MODE, {})):
         tally = mode_wide(_long(rows, key, list(modes), order), [key, "field"], "value", order)
         quorum = _per_field({f: r.min_sources for f, r in modes.items()}, "int")
         parts.append(_pivot(tally.filter(F.col("sources") >= quorum), key, list(modes), "mode"))
 
-    if medians := by_kind.get(Strategy.MEDIAN):
-        cells = _long(rows, key, list(medians), order)
+    for medians in _by_type(rows, by_kind.get(Strategy.MEDIAN, {})):
+        cells = ranks.counted(_long(rows, key, list(medians), []), [key, "field"], "value")
         banded = {f: r.max_deviation for f, r in medians.items() if r.max_deviation is not None}
         if banded:
+            cells = stage(cells, "median-cells")
             inside = F.col("field").isin(*banded)
             share = _per_field(banded, "decimal(4,3)")
-            near = deviation_wide(cells.filter(inside), [key, "field"], "value", share, **rank_options)
-            cells = stage(near.unionByName(cells.filter(~inside)), "near-median")
-        middle = ranks.low_median(cells, [key, "field"], "value", **rank_options)
+            near = deviation_wide(cells.filter(inside), [key, "field"], "value", share, "copies")
+            cells = near.unionByName(cells.filter(~inside))
+        middle = ranks.low_median(cells, [key, "field"], "value", "copies")
         quorum = _per_field({f: r.min_sources for f, r in medians.items()}, "int")
         parts.append(_pivot(middle.filter(F.col("n") >= quorum), key, list(medians), "low_median"))
 
@@ -202,14 +218,14 @@ def merge_wide(
 
     merged = reduce(lambda left, part: left.join(part, key, "left"), parts, keys)
     if price_range:
-        merged = _joint_prices_wide(rows, merged, key, order, price_range, **rank_options)
+        merged = _joint_prices_wide(rows, merged, key, order, price_range)
     return merged.select(key, *rules)
 
 
-def _joint_prices_wide(rows, merged, key, order, p: PriceRange, **rank_options) -> DataFrame:
+def _joint_prices_wide(rows, merged, key, order, p: PriceRange) -> DataFrame:
     consistent = votes.is_consistent(*p.columns)
     cells = _long(rows.filter(consistent), key, p.columns, order)
-    middle = ranks.low_median(cells, [key, "field"], "value", **rank_options)
+    middle = ranks.low_median(cells, [key, "field"], "value")
     joint = _pivot(middle.filter(F.col("n") >= MIN_CONSISTENT), key, p.columns, "low_median")
     joint = joint.select(key, *[F.col(c).alias(f"_joint_{c}") for c in p.columns])
     both = merged.join(joint, key, "left")

@@ -248,6 +248,26 @@ def median_low_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(ranks.low_median(lines, ["l_returnflag"], "price"), "low_median")
 
 
+HEAVY = "CASE WHEN l_orderkey % 40 = 0 THEN l_discount ELSE 0.05 END"
+FLAGGED = "CASE WHEN l_linestatus = 'F' THEN l_returnflag END"
+
+
+@query(
+    "heavy_value_ranks",
+    f"""
+WITH v AS (SELECT {FLAGGED} AS flag, CAST({HEAVY} AS DECIMAL(18,2)) AS d FROM lineitem),
+     s AS (SELECT flag, list_sort(list(d)) AS s, count(*) AS n FROM v GROUP BY flag)
+SELECT flag, n, s[1]::DOUBLE AS lowest, s[(n - 1) // 2 + 1]::DOUBLE AS low_median,
+       s[n // 50 + 1]::DOUBLE AS fiftieth, s[n]::DOUBLE AS highest FROM s
+""",
+)
+def heavy_value_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One value has more than 97 % of the rows; rows without a flag are a group."""
+    values = table(spark, sf_dir, "lineitem").selectExpr(f"{FLAGGED} AS flag", f"CAST({HEAVY} AS DECIMAL(18,2)) AS d")
+    wanted = {"lowest": "0", "low_median": "(n - 1) div 2", "fiftieth": "n div 50", "highest": "n - 1"}
+    return doubles(ranks.pick_ranks(values, ["flag"], "d", wanted), *wanted)
+
+
 DEVIATION_SQL = """
 WITH mid AS (
   SELECT {key}, list_sort(list({value})) AS s, list_sort(list(abs({value}))) AS a FROM lineitem GROUP BY ALL

@@ -132,15 +132,71 @@ def test_merge_sends_only_oversize_groups_to_the_distributed_form(data):
     assert collected(golden.merge(df, "key", RULES, ["ord"], RANGE, group_limit=20)) == expected
 
 
-def test_rank_picking_narrows_to_the_exact_element(spark):
+@pytest.mark.parametrize("parts", [1, 7])
+def test_ranks_of_heavy_values_and_null_groups(spark, parts):
     rng = random.Random(3)
-    values = [rng.choice([rng.randint(0, 50), rng.randint(0, 10**6)]) for _ in range(5000)]
-    rows = [("hot", Decimal(v)) for v in values] + [("cold", Decimal(7))]
+    groups = {
+        "hot": [rng.choice([rng.randint(0, 50), rng.randint(0, 10**6)]) for _ in range(5000)],
+        "heavy": [5] * 3000 + [1] * 3 + [9] * 3,
+        None: [4, 2, 8],
+        "cold": [7],
+    }
+    rows = [(g, Decimal(v)) for g, values in groups.items() for v in values] + [("none", None), (None, None)]
     df = spark.createDataFrame(rows, T.StructType([T.StructField("g", T.StringType()), T.StructField("v", AMOUNT)]))
-    picked = ranks.pick_ranks(df, ["g"], "v", {"a": "0", "b": "(n - 1) div 2", "c": "n div 2", "d": "n - 1"}, task_rows=25)
-    got = {r["g"]: (r["n"], int(r["a"]), int(r["b"]), int(r["c"]), int(r["d"])) for r in picked.collect()}
-    s = sorted(values)
-    assert got == {"hot": (5000, s[0], s[2499], s[2500], s[-1]), "cold": (1, 7, 7, 7, 7)}
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    wanted = {"a": "0", "b": "(n - 1) div 2", "c": "n div 2", "d": "n - 1"}
+    try:
+        picked = ranks.pick_ranks(df, ["g"], "v", wanted).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = {r["g"]: (r["n"], int(r["a"]), int(r["b"]), int(r["c"]), int(r["d"])) for r in picked}
+    want = {}
+    for g, values in groups.items():
+        s, n = sorted(values), len(values)
+        want[g] = (n, s[0], s[(n - 1) // 2], s[n // 2], s[-1])
+    assert got == want
+
+
+@pytest.mark.parametrize("limit", [1, 3, 10**9])
+def test_merge_is_the_same_at_every_group_size(spark, limit):
+    """Two types per rule, repeated order values, groups on both sides of the limit."""
+    schema = "key string, ord int, a string, b bigint, c array<string>, d string, m decimal(18,2), w decimal(28,10)"
+    rng = random.Random(11)
+    rows = [
+        (
+            f"k{k}",
+            rng.randint(0, 2),
+            rng.choice(["x", "y", None]),
+            rng.choice([1, 2, 3, None]),
+            rng.choice([None, ["p", "q"], ["q", "r"]]),
+            rng.choice(["ACME", "ZENITH", "ORBIT LTD"]),
+            Decimal(rng.randint(0, 9)),
+            Decimal(rng.randint(0, 9)),
+        )
+        for k in range(8)
+        for _ in range(k + 1)
+    ]
+    df = spark.createDataFrame(rows, schema)
+    rules = {"a": MODE, "b": MODE, "c": UNION, "d": FUZZY, "m": SINGLE, "w": PAIR}
+    got = golden.merge(df, "key", rules, ["ord"], None, group_limit=limit)
+    assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [
+        (n, df.schema[n].dataType.simpleString()) for n in ("key", *rules)
+    ]
+    for r in got.collect():
+        mine = [dict(zip(["key", "ord", "a", "b", "c", "d", "m", "w"], x)) for x in rows if x[0] == r["key"]]
+        for f in ("a", "b"):
+            have = [x[f] for x in mine if x[f] is not None]
+            best = min(
+                set(have), key=lambda v: (-have.count(v), min(x["ord"] for x in mine if x[f] == v), v), default=None
+            )
+            assert r[f] == best
+        lists = [x["c"] for x in sorted((x for x in mine if x["c"]), key=lambda x: (x["ord"], x["c"]))]
+        assert r["c"] == (list(dict.fromkeys(e for c in lists for e in c)) or None)
+        assert r["d"] == heaviest_leader([x["d"] for x in sorted(mine, key=lambda x: (x["ord"], x["d"]))], 90)
+        assert r["m"] == expected_median([x["m"] for x in mine], SINGLE)
+        assert r["w"] == expected_median([x["w"] for x in mine], PAIR)
 
 
 def test_clustering_rounds_do_not_change_the_vote(spark):
