@@ -8,7 +8,8 @@ suffix array, each suffix emits those whose Lyndon prefix ends where it begins t
 place of their groups. No step renames or recurses.
 
 Lanes, independent texts laid end to end, take every step together, so that a step is a few
-array operations for all of them.
+array operations for all of them. A long lane has more steps than others could share; it is
+sorted alone, by the same two phases one suffix at a time.
 """
 
 from __future__ import annotations
@@ -21,11 +22,84 @@ def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(size.sum())) + np.repeat(first - (np.cumsum(size) - size), size)
 
 
-def suffix_arrays(codes: np.ndarray, lanes: np.ndarray) -> np.ndarray:
+#: Codes in a lane from which it is sorted alone.
+ALONE = 1_500
+
+
+def suffix_arrays(codes: np.ndarray, lanes: np.ndarray, alone: int = ALONE) -> np.ndarray:
     """Positions in suffix order within each lane; ``lanes`` are the edges, one more than lanes.
 
     The last code of a lane must be smaller than all its other codes.
     """
+    size = np.diff(lanes)
+    short = size < alone
+    out = np.empty(len(codes), np.int64)
+    for a, b in zip(lanes[:-1][~short].tolist(), lanes[1:][~short].tolist(), strict=True):
+        out[a:b] = np.array(suffix_array(codes[a:b].tolist())) + a
+    if short.any():
+        mine = _ragged(lanes[:-1][short], size[short])
+        out[mine] = mine[_together(codes[mine], np.append(0, np.cumsum(size[short])))]
+    return out
+
+
+def suffix_array(codes: list[int]) -> list[int]:
+    """The suffix array of one text whose last code is its smallest and only one."""
+    n = len(codes)
+    sa = sorted(range(n), key=codes.__getitem__)
+    place, group, size = [0] * n, [0] * n, [0] * n
+    head = 0
+    for at, i in enumerate(sa):
+        if codes[i] != codes[sa[head]]:
+            head = at
+        place[i], group[i] = at, head
+        size[head] += 1
+    previous = [-1] * n
+    top = n - 1
+    while top >= 0:
+        own = group[sa[top]]
+        pointers: dict[int, int] = {}
+        for i in sa[own : top + 1]:
+            at = i - 1
+            while at >= 0 and group[at] >= own:
+                at = at - 1 if group[at] == own else previous[at]
+            previous[i] = at
+            if at >= 0:
+                pointers[at] = pointers.get(at, 0) + 1
+        top = own - 1
+        levels: dict[int, list[int]] = {}
+        for i, count in pointers.items():
+            levels.setdefault(count, []).append(i)
+        for count in sorted(levels, reverse=True):  # more pointers, higher group
+            fresh: dict[int, int] = {}
+            moved = levels[count]
+            for i in moved:
+                old = group[i]
+                size[old] -= 1
+                slot = old + size[old]  # to the end of its group, which gets shorter
+                other = sa[slot]
+                sa[slot], sa[place[i]] = i, other
+                place[other], place[i] = place[i], slot
+                fresh[old] = slot
+            for i in moved:
+                group[i] = fresh[group[i]]
+                size[group[i]] += 1
+    out = [-1] * n
+    free = list(range(n))
+    placed = [False] * n
+    out[0], placed[n - 1] = n - 1, True
+    for step in range(n):
+        at = out[step] - 1
+        while at >= 0 and not placed[at]:
+            g = group[at]
+            out[free[g]] = at
+            free[g] += 1
+            placed[at] = True
+            at = previous[at]
+    return out
+
+
+def _together(codes: np.ndarray, lanes: np.ndarray) -> np.ndarray:
+    """The suffix arrays of short lanes, step by step for all."""
     n = len(codes)
     begins, ends = lanes[:-1], lanes[1:]
     lane = np.repeat(np.arange(len(begins)), np.diff(lanes))

@@ -1,11 +1,12 @@
 """Exact substring deduplication by suffix arrays.
 
-Two equal strings of ``MATCH`` bytes have the same smallest hash among their inner K-grams.
-Texts are therefore cut into pieces, the longest stretches in which all such strings have the same
-smallest hash (neighbouring pieces overlap), and equal strings can only meet in pieces with the
-same key. A piece whose key occurs in one document alone has no match. Of the others every
-distinct one is sorted once with all pieces of its key: a suffix array by Lyndon groups puts
-equal strings side by side, and the smallest document of each run is what the others repeat.
+Two equal strings of ``MATCH`` bytes have the same inner K-gram of smallest hash, at the same place.
+Texts are therefore cut into pieces, the longest stretches in which all such strings choose the
+same gram (neighbouring pieces overlap), and equal strings can only meet in pieces with the
+same gram. A piece whose gram occurs in one document alone has no match. Of the others every
+distinct one is sorted once with all pieces of its gram, which counts as one letter: a suffix array
+by Lyndon groups puts equal strings side by side, and the smallest document of each run is what
+the others repeat.
 
 Work is passed around in units of some megabytes of whole documents, held as compressed arrays,
 so that a row is worth its cost. Every shuffle is by unit or by range of keys, and keys are spread by a
@@ -27,12 +28,12 @@ from concord.llm.common import query, table, texts
 from concord.llm.lyndon import suffix_arrays
 from concord.session import stage
 
-MATCH, GRAM = 50, 20
+MATCH, GRAM = 50, 28
 UNIT_BYTES = 2 << 20
 #: Bytes of a key that are kept; more pieces only become candidates if keys coincide.
 KEY_BYTES = 6
-#: Bytes of pieces whose suffixes are sorted together.
-SORT_BYTES = 4 << 20
+#: Codes of pieces whose suffixes are sorted together.
+SORT_CODES = 4 << 20
 #: Stands for a null id, which sorts behind all others.
 NO_ID = np.iinfo(np.int64).max
 
@@ -82,11 +83,13 @@ def make_units(docs: DataFrame, unit_bytes: int = UNIT_BYTES) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, UNITS)
 
 
-def gram_minima(data: np.ndarray, match: int, gram: int) -> np.ndarray:
-    """For each start of ``match`` bytes the smallest hash of the ``gram``-byte strings inside."""
-    n = len(data) - match + 1
-    out = np.empty(max(0, n), np.uint64)
+def gram_minima(data: np.ndarray, match: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each start of ``match`` bytes the smallest hash (``KEY_BYTES``) of the ``gram``-byte
+    strings inside, and where the first such string is."""
+    n = max(0, len(data) - match + 1)
+    keys, places = np.empty(n, np.uint64), np.empty(n, np.int64)
     step = 1 << 15  # arrays of a step stay in cache
+    low = np.uint64(8 * (8 - KEY_BYTES))
     for a in range(0, n, step):
         part = data[a : a + step + match - 1].astype(np.uint64) + np.uint64(1)
         base, width, rest = np.uint64(0x9E3779B97F4A7C15), 1, gram
@@ -108,34 +111,35 @@ def gram_minima(data: np.ndarray, match: int, gram: int) -> np.ndarray:
                     width, base = width * 2, base * base
             hashed = hashed ^ (hashed >> np.uint64(29))
             hashed *= np.uint64(0xBF58476D1CE4E5B9)
-            hashed ^= hashed >> np.uint64(32)
+        # the place in the lower bits decides between equal hashes
+        hashed = hashed >> low << low | np.arange(len(hashed), dtype=np.uint64)
         span, width = match - gram + 1, 1
         while width < span:
             shift = min(width, span - width)
             hashed = np.minimum(hashed[:-shift], hashed[shift:])
             width += shift
-        out[a : a + len(hashed)] = hashed
-    return out
+        b = a + len(hashed)
+        keys[a:b] = hashed >> low
+        places[a:b] = (hashed & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64) + a
+    return keys, places
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray, match: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(start, strings, key, document)`` of all pieces: first byte, number of strings of
-    ``match`` bytes that begin in it, key and document number."""
-    key = gram_minima(data, match, gram)
+def pieces(data: np.ndarray, offsets: np.ndarray, match: int, gram: int) -> tuple[np.ndarray, ...]:
+    """``(start, strings, key, document, inner)`` of all pieces: first byte, number of strings of
+    ``match`` bytes that begin in it, key, document number, and place of the gram in the piece."""
+    key, place = gram_minima(data, match, gram)
     marks = np.zeros(len(data) + 1, np.int8)
-    lengths = np.diff(offsets)
-    long = lengths >= match
+    long = np.diff(offsets) >= match
     np.add.at(marks, offsets[:-1][long], 1)
     np.add.at(marks, offsets[1:][long] - match + 1, -1)
     valid = np.cumsum(marks, dtype=np.int8)[: len(key)].astype(bool)
     begins = valid.copy()
-    begins[1:] &= ~valid[:-1] | (key[1:] != key[:-1])
+    begins[1:] &= ~valid[:-1] | (place[1:] != place[:-1])
     start = np.flatnonzero(begins)
     before = np.cumsum(valid)
     strings = np.diff(np.append(before[start] - 1, before[-1] if len(before) else 0))
     document = np.searchsorted(offsets, start, side="right") - 1
-    kept = np.uint64(8 * (8 - KEY_BYTES))
-    return start, strings, key[start] >> kept, document
+    return start, strings, key[start], document, place[start] - start
 
 
 def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
@@ -161,7 +165,7 @@ def keys_of(units: DataFrame, buckets: int, match: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for unit, offsets, data in zip(*(batch[c].to_pylist() for c in ("unit", "offsets", "data")), strict=True):
-                _, _, key, document = pieces(_unpacked(data), np.frombuffer(offsets, np.int64), match, gram)
+                _, _, key, document, _ = pieces(_unpacked(data), np.frombuffer(offsets, np.int64), match, gram)
                 order = np.argsort(key, kind="stable")
                 key, document = key[order], document[order]
                 first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
@@ -206,7 +210,7 @@ CANDIDATES = "kind int, unit long, bucket long, a binary, b binary, c binary"
 def candidates(units: DataFrame, shared: DataFrame, buckets: int, match: int, gram: int) -> DataFrame:
     """Pieces with shared keys, once per unit.
 
-    Kind 0, per bucket: the pieces' keys and lengths (a), smallest document ids (b), bytes (c). Kind 1, per unit:
+    Kind 0, per bucket: the places of their grams and the pieces' lengths (a), smallest document ids (b), bytes (c). Kind 1, per unit:
     where they occur (a: byte, document), and which piece it is (b: number in bucket order).
     """
 
@@ -216,10 +220,10 @@ def candidates(units: DataFrame, shared: DataFrame, buckets: int, match: int, gr
         unit, ids, offsets, data = (left[c][0].as_py() for c in ("unit", "ids", "offsets", "data"))
         known = np.sort(np.frombuffer(b"".join(right["keys"].to_pylist()), np.uint64))
         array = _unpacked(data)
-        start, strings, key, document = pieces(array, np.frombuffer(offsets, np.int64), match, gram)
+        start, strings, key, document, inner = pieces(array, np.frombuffer(offsets, np.int64), match, gram)
         at = np.minimum(np.searchsorted(known, key), len(known) - 1)
         keep = known[at] == key
-        start, strings, key, document = start[keep], strings[keep], key[keep], document[keep]
+        start, strings, key, document, inner = (x[keep] for x in (start, strings, key, document, inner))
         whole, number = array.tobytes(), {}
         which = np.array(
             [number.setdefault(whole[a : a + n], len(number)) for a, n in zip(start.tolist(), (strings + match - 1).tolist(), strict=True)],
@@ -227,8 +231,8 @@ def candidates(units: DataFrame, shared: DataFrame, buckets: int, match: int, gr
         )
         least = np.full(len(number), NO_ID)
         np.minimum.at(least, which, np.frombuffer(ids, np.int64)[document])
-        keys = np.zeros(len(number), np.uint64)
-        keys[which] = key
+        keys, places = np.zeros(len(number), np.uint64), np.zeros(len(number), np.uint64)
+        keys[which], places[which] = key, inner
         bucket = _bucket(keys, buckets)
         order = np.argsort(bucket, kind="stable")
         turned = np.empty(len(order), np.int64)
@@ -239,7 +243,7 @@ def candidates(units: DataFrame, shared: DataFrame, buckets: int, match: int, gr
         for b, first, end in _parts(bucket[order]):
             mine = order[first:end]
             rows.append(
-                (0, unit, b, _packed(np.stack([keys[mine], sizes[mine]])), _packed(least[mine]), _packed(b"".join([content[i] for i in mine.tolist()])))
+                (0, unit, b, _packed(np.stack([places[mine], sizes[mine]])), _packed(least[mine]), _packed(b"".join([content[i] for i in mine.tolist()])))
             )
         rows.append((1, unit, None, _packed(np.stack([start, document])), _packed(turned[which]), None))
         return pa.Table.from_batches([_batch(CANDIDATES, rows)])
@@ -247,45 +251,54 @@ def candidates(units: DataFrame, shared: DataFrame, buckets: int, match: int, gr
     return units.groupBy("unit").cogroup(shared.groupBy("unit")).applyInArrow(run, CANDIDATES)
 
 
-def least_documents(content: list[bytes], keys: np.ndarray, least: np.ndarray, match: int) -> list[np.ndarray]:
+def least_documents(content: list[bytes], inner: np.ndarray, least: np.ndarray, match: int, gram: int) -> list[np.ndarray]:
     """For each distinct piece and each of its strings, the smallest document that has the string.
 
-    A piece alone with its key shares no string; others of a key are sorted together.
+    A piece alone with its gram shares no string; others of a gram are sorted together. Every
+    string of a piece holds the whole gram, which becomes one code.
     """
     strings = np.array([len(p) - match + 1 for p in content], np.int64)
     edges = np.append(0, np.cumsum(strings))
     out = np.repeat(least, strings)
-    order = np.argsort(keys, kind="stable")
-    lanes = [(a, b) for _, a, b in _parts(keys[order].view(np.int64)) if b - a > 1]
-    weight = [sum(len(content[i]) + 1 for i in order[a:b].tolist()) for a, b in lanes]
+    numbers: dict[bytes, int] = {}
+    grams = [numbers.setdefault(p[i : i + gram], len(numbers)) for p, i in zip(content, inner.tolist(), strict=True)]
+    lane = np.array(grams, np.int64)
+    order = np.argsort(lane, kind="stable")
+    lanes = [(a, b) for _, a, b in _parts(lane[order]) if b - a > 1]
+    short = match - gram + 1  # codes of a string
+    length = strings + short - 1  # codes of a piece
+    weight = [int(length[order[a:b]].sum()) + b - a for a, b in lanes]
     ranked = sorted(range(len(lanes)), key=weight.__getitem__)  # lanes of like size share their steps
     while ranked:
         chosen, size = [], 0
-        while ranked and (not chosen or size + weight[ranked[-1]] <= SORT_BYTES):
+        while ranked and (not chosen or size + weight[ranked[-1]] <= SORT_CODES):
             size += weight[ranked[-1]]
             chosen.append(ranked.pop())
-        members = [i for k in chosen for i in order[lanes[k][0] : lanes[k][1]].tolist()]
-        text = np.frombuffer(b"\0".join([content[i] for i in members]) + b"\0", np.uint8)
-        lengths = strings[members] + match
-        stops = np.cumsum(lengths) - 1
-        codes = text.astype(np.int16) + np.int16(2)
-        codes[stops] = 1  # between pieces of a lane
+        members = np.concatenate([order[lanes[k][0] : lanes[k][1]] for k in chosen])
+        # the gram's code is 0 here, as is the one behind a piece; bytes follow from 3 on
+        text = b"".join([content[m][: inner[m]] + b"\0" + content[m][inner[m] + gram :] + b"\0" for m in members.tolist()])
+        codes = np.frombuffer(text, np.uint8).astype(np.int16) + np.int16(3)
+        stops = np.cumsum(length[members] + 1) - 1
+        first = stops - length[members]
+        codes[first + inner[members]] = 2
+        codes[stops] = 1
         ends = np.cumsum([weight[k] for k in chosen])
         codes[ends - 1] = 0
         sa = suffix_arrays(codes, np.append(0, ends))
-        # strings in suffix order: position in the text, and where its answer goes
-        answer = np.full(len(text), -1, np.int64)
-        first = stops - lengths + 1
-        for_each = np.repeat(first - (np.cumsum(strings[members]) - strings[members]), strings[members]) + np.arange(int(strings[members].sum()))
-        goes = np.repeat(edges[members] - (np.cumsum(strings[members]) - strings[members]), strings[members]) + np.arange(int(strings[members].sum()))
-        answer[for_each] = goes
+        # which answer belongs to the string that begins at a place
+        answer = np.full(len(codes), -1, np.int64)
+        mine = strings[members]
+        spread = np.arange(int(mine.sum())) - np.repeat(np.cumsum(mine) - mine, mine)
+        answer[np.repeat(first, mine) + spread] = np.repeat(edges[members], mine) + spread
         sa = sa[answer[sa] >= 0]
-        windows = np.lib.stride_tricks.sliding_window_view(text, match)
+        windows = np.lib.stride_tricks.sliding_window_view(codes, short)
         same = np.empty(len(sa), bool)
         same[:1] = False
         for a in range(1, len(sa), 1 << 16):
             b = min(len(sa), a + (1 << 16))
             same[a:b] = (windows[sa[a:b]] == windows[sa[a - 1 : b - 1]]).all(axis=1)
+        lane_of = np.searchsorted(ends, sa, side="right")
+        same[1:] &= lane_of[1:] == lane_of[:-1]
         heads = np.flatnonzero(~same)
         slot = answer[sa]
         smallest = np.minimum.reduceat(out[slot], heads)
@@ -293,29 +306,28 @@ def least_documents(content: list[bytes], keys: np.ndarray, least: np.ndarray, m
     return [out[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
-def verdicts(found: DataFrame, match: int) -> DataFrame:
+def verdicts(found: DataFrame, match: int, gram: int) -> DataFrame:
     """``unit, bucket, least``: per unit and bucket, for the strings of its pieces in order, the
     smallest document that has each."""
     schema = "unit long, bucket long, least binary"
 
     def run(group: pa.Table) -> pa.Table:
         number: dict[bytes, int] = {}
-        keys: list[np.ndarray] = []
-        ids, which = [], []
+        ids, which, places = [], [], []
         for a, b, c in zip(*(group[n].to_pylist() for n in ("a", "b", "c")), strict=True):
-            key, sizes = _unpacked(a, "<u8").reshape(2, -1)
+            inner, sizes = _unpacked(a, "<i8").reshape(2, -1)
             content = _unpacked(c).tobytes()
             ends = np.cumsum(sizes).tolist()
             cut = [content[x:y] for x, y in zip([0, *ends], ends, strict=False)]
             which.append(np.array([number.setdefault(p, len(number)) for p in cut], np.int64))
-            keys.append(key)
+            places.append(inner)
             ids.append(_unpacked(b, "<i8"))
         every = np.concatenate(which)
         least = np.full(len(number), NO_ID)
         np.minimum.at(least, every, np.concatenate(ids))
-        key = np.zeros(len(number), np.uint64)
-        key[every] = np.concatenate(keys)
-        answers = least_documents(list(number), key, least, match)
+        inner = np.zeros(len(number), np.int64)
+        inner[every] = np.concatenate(places)
+        answers = least_documents(list(number), inner, least, match, gram)
         rows = [
             (u, b, _packed(np.concatenate([answers[i] for i in w.tolist()])))
             for u, b, w in zip(group["unit"].to_pylist(), group["bucket"].to_pylist(), which, strict=True)
@@ -342,7 +354,7 @@ def removed(units: DataFrame, found: DataFrame, told: DataFrame, match: int, gra
             ordered = right.sort_by("bucket")["least"].to_pylist()
             least = np.concatenate([_unpacked(b, "<i8") for b in ordered])
             # strings of each piece: found again from any of its occurrences
-            at, strings, _, _ = pieces(array, offsets, match, gram)
+            at, strings, *_ = pieces(array, offsets, match, gram)
             mine = strings[np.searchsorted(at, start)]
             sizes = np.zeros(int(which.max()) + 1 if len(which) else 0, np.int64)
             sizes[which] = mine
@@ -384,12 +396,12 @@ def deduplicate(docs: DataFrame, match: int = MATCH, gram: int = GRAM, unit_byte
     judged on the input. Null texts are empty; rows with equal ids do not remove each other's bytes; a null id
     counts as larger than all others. Texts shorter than ``match`` bytes stay whole.
     """
-    spark = docs.sparkSession
-    buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # few and large, so that very many lanes share each step of a suffix sort
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     units = stage(make_units(texts(docs), unit_bytes), "dedup-units")
     shared = stage(shared_keys(keys_of(units, buckets, match, gram)), "dedup-keys")
     found = stage(candidates(units, shared, buckets, match, gram), "dedup-pieces")
-    told = stage(verdicts(found, match), "dedup-verdicts")
+    told = stage(verdicts(found, match, gram), "dedup-verdicts")
     return removed(units, found, told, match, gram)
 
 

@@ -324,7 +324,8 @@ def test_suffix_arrays_equal_sorting():
         lanes = [np.append(draw.integers(1, draw.integers(2, 5), draw.integers(0, 40)), 0) for _ in range(draw.integers(1, 6))]
         edges = np.cumsum([0, *map(len, lanes)])
         want = [np.array(sorted(range(len(x)), key=lambda i: tuple(x[i:]))) + a for x, a in zip(lanes, edges, strict=False)]
-        assert (suffix_arrays(np.concatenate(lanes), edges) == np.concatenate(want)).all()
+        for alone in (1, 20, 1000):
+            assert (suffix_arrays(np.concatenate(lanes), edges, alone) == np.concatenate(want)).all()
 
 
 # --- op9 ----------------------------------------------------------------------------------
