@@ -29,8 +29,17 @@ def usd_amount(amount: Column, rate: Column) -> Column:
     return F.bround(quotient, USD_PLACES).cast(AMOUNT)
 
 
+def unique_rates(rates: DataFrame) -> DataFrame:
+    """One row per currency. Repeated rows are one; two rates for a currency are an error,
+    because a row would be converted twice or at random."""
+    clash = F.raise_error(F.concat(F.lit("two rates for currency "), F.col("currency")))
+    least, most = F.min("rate"), F.max("rate")
+    one = F.when(least.eqNullSafe(most), least).otherwise(clash.cast(rates.schema["rate"].dataType))
+    return rates.groupBy("currency").agg(one.alias("rate"))
+
+
 def _with_verdict(df: DataFrame, rates: DataFrame, money: Sequence[str], currency: str):
-    table = rates.select(F.col("currency").alias("_fx_code"), F.col("rate").alias("_fx_rate"))
+    table = unique_rates(rates).select(F.col("currency").alias("_fx_code"), F.col("rate").alias("_fx_rate"))
     joined = df.join(table, F.col(currency) == F.col("_fx_code"), "left")
     passes = needs_no_conversion(F.col(currency))
     has_money = F.coalesce(*[F.col(m) for m in money]).isNotNull()

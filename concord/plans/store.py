@@ -18,28 +18,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.operators.dedup import last_per_key
+from concord.session import stage
 
 KEY = "share_class_figi"
 
 
+def utc_date() -> datetime.date:
+    return datetime.datetime.now(datetime.UTC).date()
+
+
 def utc_today() -> Column:
     """Today in UTC whatever the session zone is."""
     return F.to_date(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()))
 
 
-#: Distinct partition values a save looks up to prune the stored table.
-PRUNED_PARTITIONS = 1_000
-
-
-def touched_values(batch: DataFrame, partition: str) -> list | None:
-    """Partition values a batch touches, or None if there are more than the bound.
-
-    A batch normally holds one date, so this is a handful of values.
-    """
-    found = batch.select(partition).distinct().limit(PRUNED_PARTITIONS + 1).collect()
-    return None if len(found) > PRUNED_PARTITIONS else [v[0] for v in found]
-
-
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """New rows replace old ones with the same keys; within the batch the last wins.
 
@@ -92,12 +84,20 @@ class Store:
         order: tuple[str, ...] = (),
     ) -> None:
         """Upsert a batch. The date is the argument, else the batch's own
-        ``snapshot_date`` column, else today (UTC)."""
+        ``snapshot_date`` column, else today (UTC).
+
+        The batch is evaluated once, before anything is written, and the date is fixed once. A
+        row without a date is an error, since its partition could not be merged.
+        """
+        if snapshot_date is None and "snapshot_date" not in batch.columns:
+            snapshot_date = utc_date()
         if snapshot_date is not None:
             batch = batch.withColumn("snapshot_date", F.lit(str(snapshot_date)).cast("date"))
-        elif "snapshot_date" not in batch.columns:
-            batch = batch.withColumn("snapshot_date", utc_today())
         tie = list(order)
+        needed = [*self.identity_schema.names, *self.snapshot_schema.names, "snapshot_date", *tie]
+        batch = stage(batch.select(*dict.fromkeys(needed)), "save-batch")
+        if not batch.filter(F.col("snapshot_date").isNull()).isEmpty():
+            raise ValueError("a row of the batch has no snapshot date")
         facts = [f.name for f in self.snapshot_schema if f.name != "snapshot_date"]
         self._replace(
             "snapshots",
@@ -106,7 +106,6 @@ class Store:
             "snapshot_date",
             [self.key, "snapshot_date"],
             tie,
-            None if snapshot_date is None else [datetime.date.fromisoformat(str(snapshot_date))],
         )
         current = batch.select(*self.identity_schema.names, "snapshot_date", *tie)
         self._replace(
@@ -118,13 +117,12 @@ class Store:
             ["snapshot_date", *tie],
         )
 
-    def _replace(self, name, stored, batch, partition, keys, order, touched=None) -> None:
-        touched = touched or touched_values(batch, partition)
-        old = stored if touched is None else stored.filter(F.col(partition).isin(*touched))
-        merged = upsert(old, batch, keys, order)
-        if touched is None or len(touched) > 1:
-            # Sizes the files of each partition at run time, hot ones included.
-            merged = merged.hint("rebalance", F.col(partition))
+    def _replace(self, name, stored, batch, partition, keys, order) -> None:
+        # the partitions of the batch are the small side of a join, which prunes the stored
+        # table while it runs, however many there are
+        old = stored.join(batch.select(partition).distinct(), partition, "left_semi").select(*stored.columns)
+        # sizes the files of each partition at run time, hot ones included
+        merged = upsert(old, batch, keys, order).hint("rebalance", F.col(partition))
         # Sorted by key, so that a lookup skips row groups by their min and max.
         (
             merged.sortWithinPartitions(partition, self.key)

@@ -436,6 +436,37 @@ def parse_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "parse_time_odd",
+    """
+SELECT event_id,
+       CASE event_id % 5 WHEN 4 THEN NULL WHEN 3 THEN epoch_us(date_trunc('minute', ts)) - 7200000000
+            WHEN 2 THEN epoch_us(date_trunc('hour', ts)) WHEN 1 THEN epoch_us(date_trunc('second', ts)) + 500000
+            ELSE epoch_us(date_trunc('second', ts)) END AS iso_us,
+       CASE WHEN event_id % 3 > 0 THEN NULL ELSE epoch_us(date_trunc('second', ts)) END AS unix_us
+FROM events
+""",
+)
+def parse_time_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compact forms, a decimal comma, short times with an offset, and times beyond the calendar."""
+    ts = F.col("ts").cast("timestamp")
+    form = F.pmod("event_id", F.lit(5))
+    text = (
+        F.when(form == 0, F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'"))
+        .when(form == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss',5'"))
+        .when(form == 2, F.date_format(ts, "yyyy-MM-dd HH"))
+        .when(form == 3, F.date_format(ts, "yyyyMMdd'T'HHmm'+0200'"))
+        .otherwise(F.date_format(ts, "yyyy-13-dd"))
+    )
+    beyond = F.when(F.pmod("event_id", F.lit(3)) == 1, "99999999999999").when(
+        F.pmod("event_id", F.lit(3)) == 2, "-99999999999999"
+    )
+    seconds = F.coalesce(beyond, F.unix_seconds(ts).cast("string"))
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.unix_micros(times.iso_time(text)).alias("iso_us"), F.unix_micros(times.unix_time(seconds)).alias("unix_us")
+    )
+
+
 @query(
     "stale_nullify",
     """

@@ -575,6 +575,21 @@ def fx_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(converted, "price")
 
 
+@query(
+    "fx_convert_duplicates",
+    PRICED_SQL
+    + f"""
+SELECT o_orderkey, 'USD' AS currency, {usd_sql("price")} AS price
+FROM priced WHERE currency = 'USD' OR rate > 0
+""",
+)
+def fx_convert_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates that landed twice convert no row twice."""
+    rates = nation_rates(spark, sf_dir)
+    converted = to_usd(priced_orders(spark, sf_dir), rates.union(rates), ["price"])
+    return doubles(converted, "price")
+
+
 @query(
     "fx_dropped",
     PRICED_SQL

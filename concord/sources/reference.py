@@ -22,15 +22,21 @@ FX_SUCCESS = "success"
 
 
 def read_rates(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """``currency, rate``; a document that does not report success is an error."""
-    docs = read_json(spark, path, FX_DOC, multi_line)
+    """``currency, rate``; a document that does not report success is an error.
+
+    Of several landed documents the newest file that names a currency gives its rate.
+    """
+    docs = read_json(spark, path, FX_DOC, multi_line).select(
+        "*", F.col("_metadata.file_modification_time").alias("_landed"), F.col("_metadata.file_path").alias("_file")
+    )
     sound = F.coalesce(F.col("result") == FX_SUCCESS, F.lit(False))
     rates = F.when(sound, F.col("conversion_rates")).otherwise(
         F.raise_error(F.lit("the exchange-rate document does not report success")).cast(
             docs.schema["conversion_rates"].dataType
         )
     )
-    return docs.select(F.explode(rates).alias("currency", "rate"))
+    every = docs.select(F.explode(rates).alias("currency", "rate"), "_landed", "_file")
+    return last_per_key(every, F.col("currency"), ["_landed", "_file", "rate"]).select("currency", "rate")
 
 
 # --- ISIN to LEI -----------------------------------------------------------------------

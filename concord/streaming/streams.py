@@ -1,17 +1,21 @@
-"""Structured Streaming forms of the fan-in, dedup, conversion and merge stages."""
+"""Structured Streaming forms of the fan-in, dedup and merge stages.
+
+Conversion has no form of its own: :func:`concord.operators.fx.to_usd` takes streams too.
+"""
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from concord.operators.fx import to_usd
 from concord.operators.golden import merge
-from concord.plans.store import Store
+from concord.plans.store import Store, utc_date
 
 
 def landed_stream(
@@ -44,24 +48,31 @@ def first_seen(stream: DataFrame, keys: Sequence[str], event_time: str, horizon:
     return stream.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
 
 
-def convert_stream(stream: DataFrame, rates: DataFrame, money: Sequence[str], currency: str) -> DataFrame:
-    """Stream joined with the static rates; the same rule as the batch conversion."""
-    return to_usd(stream, rates, money, currency)
-
-
 def merge_batches(
     store: Store,
+    reports: str,
     merge_batch: Callable[[DataFrame], DataFrame] = merge,
-    snapshot_date: str | None = None,
+    snapshot_date: datetime.date | str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` sink: merge a batch's groups and upsert them.
+    """``foreachBatch`` sink: merge *all* of the day's reports on a batch's keys and upsert them.
 
-    A replayed batch writes the same rows over the same keys, so it changes nothing.
+    A key's reports may come in several batches, so a batch is first added to the reports under
+    the folder ``reports`` (one partition per day and batch), and every key that it touches is
+    merged again from all batches up to this one. A replayed batch replaces its own partition and
+    writes the same rows over the same keys, so it changes nothing. Rows without a key are kept
+    with the reports and merged with nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            store.save(merge_batch(batch), snapshot_date)
+        day = str(snapshot_date or utc_date())
+        folder = f"{reports}/day={day}"
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        spark = batch.sparkSession
+        kept = spark.read.schema(T.StructType([*batch.schema, T.StructField("batch", T.LongType())])).parquet(folder)
+        known = kept.filter((F.col("batch") <= batch_id) & F.col(store.key).isNotNull())
+        touched = known.filter(F.col("batch") == batch_id).select(store.key).distinct()
+        if not touched.isEmpty():
+            store.save(merge_batch(known.join(touched, store.key, "left_semi").drop("batch")), day)
 
     return write
 

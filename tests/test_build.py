@@ -153,6 +153,30 @@ def test_store_upserts_and_keeps_what_a_batch_leaves_out(spark, prices):
     assert "PartitionFilters: [isnotnull(key_bucket" in plan
 
 
+def test_a_save_evaluates_its_batch_once_and_needs_dates(spark, prices):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(p):
+        calls.add(1)
+        return p
+
+    rows = spark.createDataFrame([(f"k{i}", "N", i) for i in range(100)], "k string, n string, p int")
+    prices.save(rows.withColumn("p", counted("p")), "2026-01-01")
+    assert calls.value == 100 and prices.latest().count() == 100
+    with pytest.raises(ValueError, match="no snapshot date"):
+        prices.save(rows.withColumn("snapshot_date", F.lit(None).cast("date")))
+
+
+def test_two_rates_for_a_currency_are_an_error(spark):
+    rows = spark.createDataFrame([("EUR", D(9))], "currency string, p decimal(28,10)")
+    rates = spark.createDataFrame([("EUR", D("0.9")), ("EUR", D("0.9"))], "currency string, rate decimal(18,8)")
+    assert fx.to_usd(rows, rates, ["p"]).count() == 1
+    clash = rates.union(spark.createDataFrame([("EUR", D("0.8"))], rates.schema))
+    with pytest.raises(Exception, match="two rates for currency EUR"):
+        fx.to_usd(rows, clash, ["p"]).collect()
+
+
 def test_failed_save_changes_nothing(spark, prices):
     good = spark.createDataFrame([("a", "A", 1)], "k string, n string, p int")
     prices.save(good, "2026-01-01")
@@ -217,9 +241,12 @@ def test_stream_replays_change_nothing(spark, prices, tmp_path):
         (folder / f"{i}.json").write_text(text)
         os.utime(folder / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
     rows = streams.landed_stream(spark, str(folder), "k string, n string, p int", "json", files_per_batch=1)
-    sink = streams.merge_batches(prices, lambda b: b.dropDuplicates(["k"]), "2026-01-05")
+    def newest(reports):  # a key's reports come in two batches; both must be seen
+        return reports.groupBy("k").agg(F.max_by("n", "p").alias("n"), F.sum("p").cast("int").alias("p"))
+
+    sink = streams.merge_batches(prices, str(tmp_path / "reports"), newest, "2026-01-05")
     streams.run_available(rows, str(tmp_path / "state"), each_batch=sink)
-    expected = [("a", "A9", 5, "2026-01-05"), ("b", "B", 2, "2026-01-05")]
+    expected = [("a", "A9", 7, "2026-01-05"), ("b", "B", 2, "2026-01-05")]
     assert rows_of(prices.latest()) == expected
     streams.run_available(rows, str(tmp_path / "state"), each_batch=sink)
     assert rows_of(prices.latest()) == expected
