@@ -36,6 +36,7 @@ from concord.operators.dedup import (
 )
 from concord.operators.validate import validate
 from concord.schema import RAW_SCHEMA
+from concord.sources.gates import before_gap, document_status, keep_if_whole, pages_for_rows
 from concord.sources.landed import exploded, read_json, row_number_of
 
 log = logging.getLogger(__name__)
@@ -47,11 +48,23 @@ Projection = Callable[[Column], Mapping[str, Column | Checked]]
 
 @dataclass(frozen=True)
 class Feed:
-    """``records(spark, path, multi_line)`` gives ``r`` (struct) and ``row_no``."""
+    """``records(spark, path, multi_line)`` gives ``r`` (struct) and ``row_no``.
+
+    ``page`` is the schema of the documents that are counted, under ``folder`` if the feed has
+    several; ``announced`` gives the number of pages that a document announces.
+    """
 
     name: str
     records: Callable[[SparkSession, str, bool], DataFrame]
     fields: Projection
+    page: str = "page_no INT"
+    folder: str = ""
+    announced: Callable[[], Column] | None = None
+
+    def status(self, spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+        """What has landed of the feed (:func:`concord.sources.gates.document_status`)."""
+        docs = read_json(spark, f"{path}/{self.folder}" if self.folder else path, self.page, multi_line)
+        return document_status(docs, self.announced() if self.announced else None)
 
 
 def _first(df: DataFrame, pick, key: Column) -> DataFrame:
@@ -71,6 +84,12 @@ XETRA_PAGE = """
 """
 # Venue and currency of the feed.
 XETRA_MIC, XETRA_CURRENCY = "XETR", "EUR"
+# Fixed value: rows per page.
+XETRA_PAGE_ROWS = 100
+
+
+def xetra_pages() -> Column:
+    return pages_for_rows(F.col("recordsTotal"), XETRA_PAGE_ROWS)
 
 
 def xetra_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -120,7 +139,10 @@ def lseg_value() -> Column:
 
 
 def lseg_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    rows = exploded(read_json(spark, path, LSEG_PAGE, multi_line), lseg_value()["content"])
+    """Records up to the first page that is missing or cannot be read."""
+    docs = read_json(spark, path, LSEG_PAGE, multi_line).withColumn("_feed", F.lit("lseg"))
+    unbroken = before_gap(docs.filter(F.col("page_no").isNotNull()), ["_feed"], "page_no")
+    rows = exploded(unbroken, lseg_value()["content"])
     return _first(rows, first_per_present_key, F.col("r.isin"))
 
 
@@ -211,6 +233,10 @@ def position(row: Column, at: int) -> Column:
     return F.get(row, F.lit(at))
 
 
+def scanner_pages() -> Column:
+    return pages_for_rows(F.col("totalCount"), SCANNER_PAGE_ROWS)
+
+
 def scanner_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     rows = exploded(read_json(spark, path, SCANNER_PAGE, multi_line), F.col("data"))
     symbol, name = json_text(position(F.col("r.d"), 0)), json_text(position(F.col("r.d"), 1))
@@ -347,12 +373,12 @@ def intrinio_fields(now: Column) -> dict[str, Column]:
 
 #: The discovery feeds; the position in the list is the feed's rank.
 DISCOVERY_FEEDS: tuple[Feed, ...] = (
-    Feed("xetra", xetra_records, xetra_fields),
-    Feed("lseg", lseg_records, lseg_fields),
-    Feed("screener", screener_records, screener_fields),
-    Feed("scanner", scanner_records, scanner_fields),
-    Feed("sec", sec_records, sec_fields),
-    Feed("intrinio", intrinio_records, intrinio_fields),
+    Feed("xetra", xetra_records, xetra_fields, XETRA_PAGE, announced=xetra_pages),
+    Feed("lseg", lseg_records, lseg_fields, LSEG_PAGE, announced=lambda: lseg_value()["totalPages"]),
+    Feed("screener", screener_records, screener_fields, SCREENER_PAGE),
+    Feed("scanner", scanner_records, scanner_fields, SCANNER_PAGE, announced=scanner_pages),
+    Feed("sec", sec_records, sec_fields, SEC_PAGE),
+    Feed("intrinio", intrinio_records, intrinio_fields, COMPANIES_PAGE, "companies"),
 )
 
 
@@ -372,17 +398,30 @@ def read_discovery(
     now: Column,
     feeds: Sequence[Feed] = DISCOVERY_FEEDS,
     multi_line: bool = False,
+    keep: str | None = None,
 ) -> DataFrame:
     """Union of all feeds under ``root/<feed name>``, checked.
 
-    A feed that cannot be read contributes no rows and does not stop the others.
+    A feed that cannot be read, or whose first page is missing, contributes no rows and does not
+    stop the others. One that is incomplete (unreadable or missing pages) is used and its faults
+    are logged; only complete feeds are kept, as Parquet under ``keep/<feed name>``.
     """
     union = spark.createDataFrame([], CHECKED_SCHEMA)
     for rank, feed in enumerate(feeds):
+        path = f"{root}/{feed.name}"
         try:
-            rows = checked_feed(spark, feed, rank, f"{root}/{feed.name}", now, multi_line)
+            status = feed.status(spark, path, multi_line)
+            found = status.first()
+            rows = checked_feed(spark, feed, rank, path, now, multi_line)
         except AnalysisException as failure:
             log.error("feed %s skipped: %s", feed.name, failure.getCondition())
             continue
+        if not found["started"]:
+            log.error("feed %s skipped: its first page is missing or unreadable", feed.name)
+            continue
+        if not found["complete"]:
+            log.warning("feed %s is incomplete: %s", feed.name, found.asDict())
+        elif keep is not None:
+            keep_if_whole(rows, status, f"{keep}/{feed.name}")
         union = union.unionByName(rows)
     return union

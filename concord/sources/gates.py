@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concord.sources.landed import BROKEN
+
 
 def page_status(df: DataFrame, feed: Sequence[str], page: str, total: str | Column) -> DataFrame:
     """Per feed: distinct pages seen, pages announced (1 if unknown), complete or not."""
@@ -17,6 +19,38 @@ def page_status(df: DataFrame, feed: Sequence[str], page: str, total: str | Colu
     return status.withColumn("complete", F.col("pages") >= F.col("total_pages"))
 
 
+def document_status(docs: DataFrame, announced: Column | None = None) -> DataFrame:
+    """One row on the landed documents of a feed.
+
+    ``pages`` seen, ``total_pages`` announced (the pages seen if none are), ``unreadable`` documents,
+    ``unnumbered`` ones beside others, whether the ``started`` feed has its first page (0), and
+    ``complete``: all of it is there and readable.
+    """
+    readable = F.col(BROKEN).isNull()
+    total = F.max(announced) if announced is not None else F.lit(None)
+    counts = docs.agg(
+        F.count_distinct("page_no").alias("pages"),
+        total.cast("bigint").alias("total_pages"),
+        F.count_if(~readable).alias("unreadable"),
+        F.count_if(readable & F.col("page_no").isNull()).alias("_bare"),
+        F.count_if(readable).alias("_readable"),
+        F.min("page_no").alias("_first"),
+    )
+    # a feed of one document needs no page number
+    single = (F.col("_bare") == 1) & (F.col("_readable") == 1)
+    seen = F.when(single, 1).otherwise(F.col("pages")).cast("bigint")
+    shown = counts.withColumns(
+        {
+            "pages": seen,
+            "total_pages": F.coalesce("total_pages", seen),
+            "unnumbered": F.when(single, 0).otherwise(F.col("_bare")).cast("bigint"),
+            "started": single | F.coalesce(F.col("_first") == 0, F.lit(False)),
+        }
+    )
+    whole = F.col("started") & (F.col("unreadable") == 0) & (F.col("unnumbered") == 0)
+    return shown.withColumn("complete", whole & (F.col("pages") >= F.col("total_pages"))).drop("_bare", "_readable", "_first")
+
+
 def pages_for_rows(total_rows: Column, page_size: int) -> Column:
     """Announced pages of a feed that announces rows."""
     return F.greatest(F.ceil(total_rows / F.lit(page_size)), F.lit(1))

@@ -11,11 +11,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Column with the text of a document that could not be read, else null.
+BROKEN = "_broken"
+
+
 def read_json(
     spark: SparkSession, path: str, schema: str, multi_line: bool = False, streaming: bool = False
 ) -> DataFrame:
+    """Documents with the columns of ``schema`` and ``_broken``, so that a truncated document is
+    seen by the gates (:func:`concord.sources.gates.document_status`) and not lost."""
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(schema).option("multiLine", multi_line).json(path)
+    reader = reader.schema(f"{schema}, {BROKEN} STRING").option("columnNameOfCorruptRecord", BROKEN)
+    return reader.option("multiLine", multi_line).json(path)
 
 
 def row_number_of(page: Column, position: Column, inner: Column | None = None) -> Column:

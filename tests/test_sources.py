@@ -1,6 +1,7 @@
 """Landed documents of every feed, from made-up files to checked records."""
 
 import json
+import os
 from datetime import datetime, timezone
 from decimal import Decimal as D
 
@@ -235,6 +236,56 @@ def test_one_missing_feed_does_not_stop_the_rest(spark, tmp_path):
     assert [(r["feed"], r["feed_rank"]) for r in rows] == [("sec", 4)]
 
 
+def test_faulty_pages_are_seen(spark, tmp_path):
+    """A truncated page, a gap, a missing first page and a missing page number."""
+
+    def scan(no, *symbols, total=3000):
+        rows = [{"s": x, "d": [x, f"{x} corp", None, "USD", *[None] * 16]} for x in symbols]
+        return json.dumps({"page_no": no, "totalCount": total, "data": rows})
+
+    def search(no, *rows):
+        listed = [{"issuername": f"{r} plc", "tidm": r, "isin": f"GB{i:010d}", "currency": "USD"} for i, r in enumerate(rows, 10 * no)]
+        part = {"name": "priceexplorersearch", "value": {"totalPages": 4, "content": listed}}
+        return json.dumps({"page_no": no, "components": [{"type": "price-explorer", "content": [part]}]})
+
+    def put(name, *lines):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.json").write_text("\n".join(lines))
+
+    put("scanner", scan(0, "AAA"), scan(1, "BBB")[:-9], scan(2, "CCC"))
+    put("lseg", search(0, "ONE"), search(1, "TWO"), search(3, "FOUR"))
+    put("xetra", json.dumps({"page_no": 1, "recordsTotal": 150, "data": [xetra_row("N", "WKN", "DE0000000001", 5)]}))
+    put("screener", json.dumps({"page_no": 0, "data": {"data": [{"s": "S", "n": "S corp"}]}}), json.dumps({"data": {"data": []}}))
+    put("sec", json.dumps({"data": [[5, "Only", "ONL", "NYSE"]]}))
+    status = {
+        f.name: f.status(spark, str(tmp_path / f.name)).first().asDict()
+        for f in feeds.DISCOVERY_FEEDS
+        if (tmp_path / f.name).exists()
+    }
+    assert {n: (r["pages"], r["total_pages"], r["unreadable"], r["unnumbered"]) for n, r in status.items()} == {
+        "scanner": (2, 3, 1, 0),
+        "lseg": (3, 4, 0, 0),
+        "xetra": (1, 2, 0, 0),
+        "screener": (1, 1, 0, 1),
+        "sec": (1, 1, 0, 0),
+    }
+    assert [n for n, r in status.items() if r["complete"]] == ["sec"]
+    rows = feeds.read_discovery(spark, str(tmp_path), now(), keep=str(tmp_path / "kept")).collect()
+    assert sorted((r["feed"], r["symbol"]) for r in rows) == [
+        ("lseg", "ONE"), ("lseg", "TWO"), ("scanner", "AAA"), ("scanner", "CCC"), ("screener", "S"), ("sec", "ONL"),
+    ]
+    assert [p.name for p in (tmp_path / "kept").iterdir()] == ["sec"]
+
+
+def test_newest_rates_document_wins(spark, tmp_path):
+    for i, rate in enumerate(("0.9", "0.8")):
+        path = tmp_path / "rates" / f"{1 - i}.json"
+        path.parent.mkdir(exist_ok=True)
+        path.write_text(json.dumps({"result": "success", "conversion_rates": {"EUR": float(rate)}}))
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    assert [tuple(r) for r in reference.read_rates(spark, str(tmp_path / "rates")).collect()] == [("EUR", D("0.8"))]
+
+
 def test_empty_feeds_abort(spark):
     counts = spark.createDataFrame([("a", 0), ("b", 0)], "feed string, n bigint")
     with pytest.raises(RuntimeError):
