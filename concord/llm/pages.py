@@ -25,13 +25,15 @@ SHARE = 0.6
 # What never holds main text, by element and by word in class, id or role.
 DROPPED_TAGS = frozenset("nav aside footer form button select option menu dialog iframe object svg canvas audio video map head label fieldset".split())
 DROPPED_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising advertorial banner banners breadcrumb breadcrumbs byline comment"
+    "ad ads adv advert adverts advertisement advertising advertorial banner banners breadcrumb breadcrumbs comment"
     " commentlist comments complementary consent contentinfo cookie cookies copyright disclaimer discussion disqus footer"
     " footnav gdpr header hidden infobar legal login masthead menu menus modal nav navbar navigation newsletter notice"
     " notices notification overlay pagination pager popup promo promoted promotion recommended related replies reply"
     " respond responses search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription"
-    " teaser toolbar topbar widget widgets".split()
+    " toolbar topbar widget widgets".split()
 )
+#: Words that make a name speak of other elements, as in ``with-sidebar``.
+ABOUT_OTHERS = frozenset("has with without no".split())
 CONTAINERS = frozenset("html body main article section div td center header details".split())
 #: Elements that part words (inline elements do not).
 BREAKS = CONTAINERS | DROPPED_TAGS | frozenset(
@@ -62,8 +64,9 @@ def _described(attributes: str) -> tuple[str, bool]:
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             drop = True
         elif name != "aria-hidden":
-            words = {w.lower() for w in _PARTS.findall(_CAMEL.sub(" ", value))}
-            drop |= bool(words & DROPPED_WORDS)
+            for one in value.split():
+                words = {w.lower() for w in _PARTS.findall(_CAMEL.sub(" ", one))}
+                drop |= bool(words & DROPPED_WORDS) and not words & ABOUT_OTHERS
             if name == "class":
                 kinds = "".join(sorted("." + re.sub(r"\d+", "#", k.lower()) for k in value.split()))
     return kinds, drop

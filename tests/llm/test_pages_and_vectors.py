@@ -19,6 +19,7 @@ PAGES = [
     ('<body><div class="cookie-notice">We use cookies</div><div class="post-7"><p>Short.</p></div><div class="x"><ul><li><a href=1>' + "very long link text " * 9 + "</a></ul></div>", "Short."),
     ('<div class=post-9><script>var t="<p>no</p>";</script><p>Open paragraph<p>another<form>name <input></form><!-- <p>gone</p> --></div>' + MENU, "Open paragraph another"),
     ("<article><header><h1>Title</h1></header><p>Body text &#233;&nbsp;x</p><aside>ad</aside></article>", "Title Body text é x"),
+    ('<body class="has-sidebar"><div class="wrap with-sidebar"><div class="text"><p class="byline">By A</p><p>Long text of the page</p></div><div class="side sidebar">x</div></div>', "By A Long text of the page"),
     (None, ""),
     ("", ""),
     ("just text < 5 and > 3", "just text < 5 and > 3"),
@@ -26,7 +27,7 @@ PAGES = [
 
 
 def test_main_text(spark):
-    rows = [(i, "http://h.example/p" if i < 3 else (None if i == 4 else f"https://o{i}.example/"), h, "x") for i, (h, _) in enumerate(PAGES)]
+    rows = [(i, "http://h.example/p" if i < 3 else (None if i == 5 else f"https://o{i}.example/"), h, "x") for i, (h, _) in enumerate(PAGES)]
     rows += [(0, "http://h.example/p", PAGES[0][0], "again"), (None, "http://h.example/q", PAGES[1][0], "n")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     got = sorted(((r.page_id, r.text, r.n_chars) for r in pages.main_text(frame).collect()), key=repr)
