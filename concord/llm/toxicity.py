@@ -37,7 +37,7 @@ UNITS = 50_000
 #: Cost of a token that is not toxic.
 DRIFT = 0.25
 #: Labelled rows that the final curve is fitted on (by hash), at most.
-FIT_ROWS = 50_000
+FIT_ROWS = 20_000
 #: A segment expected less often than this by chance in its text is significant.
 E_VALUE = 0.05
 THRESHOLD = 0.7
@@ -97,7 +97,7 @@ def segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> list[tupl
 
 
 def _reach(model: Model) -> set[str]:
-    return {u[:3] for u in model.units}
+    return {u[:4] for u in model.units}
 
 
 def token_scores(words: list[str], model: Model, reach: set[str], own: int | None = None) -> list[tuple[int, float]]:
@@ -105,7 +105,7 @@ def token_scores(words: list[str], model: Model, reach: set[str], own: int | Non
     learned from it; its own part is then taken out."""
     out = []
     for i, w in enumerate(words):
-        if w[:3] in reach:
+        if w[:4] in reach:
             best = 0.0
             for u in (w, *(w[:n] for n in STEMS if n < len(w))):
                 if u in model.units:
@@ -222,8 +222,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
     model = Model(units, toxic, clean, rate, scale, (0.0,) * 5)
     share = min(1.0, 0.9 * fit_rows / (toxic + clean))
     chosen = labelled.where(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = scored(chosen.select(F.col("h").alias("doc_id"), "text", "toxic"), model, own=True).select("toxic", "features")
-    rows = rows.limit(fit_rows).collect()
+    rows = scored(chosen.select(F.col("h").alias("doc_id"), "text", "toxic"), model, own=True)
+    # by hash, so that every task keeps its own first rows; a bare limit would scan task after task
+    rows = rows.orderBy("doc_id").limit(fit_rows).select("toxic", "features").collect()
     if not rows:
         return model
     x, y = np.array([r["features"] for r in rows]), np.array([r["toxic"] for r in rows], float)
