@@ -135,18 +135,24 @@ class Store:
     def latest(self) -> DataFrame:
         return latest(self.identities().drop("key_bucket"), self.snapshots(), self.key)
 
-    def by_key(self, key) -> DataFrame:
-        """Latest row of one key; its bucket prunes the identity scan."""
-        return latest(self._one_identity(key), self._one_history(key), self.key)
+    def by_key(self, key, required: bool = False) -> DataFrame:
+        """Latest row of one key; its bucket prunes the identity scan. ``required`` makes an
+        absent key an error (``LookupError``) instead of an empty frame."""
+        return latest(self._one_identity(key, required), self._one_history(key), self.key)
 
-    def history(self, key, from_date=None, to_date=None) -> DataFrame:
-        return history(self._one_identity(key), self._one_history(key), self.key, None, from_date, to_date)
+    def history(self, key, from_date=None, to_date=None, required: bool = False) -> DataFrame:
+        """All snapshots of one key in the date range; ``required`` as in :meth:`by_key`."""
+        one = self._one_identity(key, required)
+        return history(one, self._one_history(key), self.key, None, from_date, to_date)
 
-    def _one_identity(self, key) -> DataFrame:
+    def _one_identity(self, key, required: bool = False) -> DataFrame:
         kind = self.identity_schema[self.key].dataType
         bucket = F.pmod(F.xxhash64(F.lit(key).cast(kind)), F.lit(self.buckets)).cast("int")
         same = (F.col("key_bucket") == bucket) & (F.col(self.key) == F.lit(key))
-        return self.identities().filter(same).drop("key_bucket")
+        found = self.identities().filter(same).drop("key_bucket")
+        if required and found.isEmpty():
+            raise LookupError(f"no record with key {key}")
+        return found
 
     def _one_history(self, key) -> DataFrame:
         return self.snapshots().filter(F.col(self.key) == F.lit(key))

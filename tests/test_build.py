@@ -145,6 +145,9 @@ def test_store_upserts_and_keeps_what_a_batch_leaves_out(spark, prices):
     assert rows_of(prices.latest()) == [("a", "A3", 4, "2026-01-02"), ("b", "B", 2, "2026-01-01"), ("c", "C", 9, "2026-01-01")]
     assert rows_of(prices.by_key("a")) == [("a", "A3", 4, "2026-01-02")]
     assert prices.by_key("zz").isEmpty()
+    for read in (prices.by_key, prices.history):
+        with pytest.raises(LookupError, match="zz"):
+            read("zz", required=True)
     assert rows_of(prices.history("a")) == [("a", "A3", 1, "2026-01-01"), ("a", "A3", 4, "2026-01-02")]
     assert rows_of(prices.history("a", "2026-01-02")) == rows_of(prices.history("a", to_date="2026-01-02"))[1:]
     assert prices.history("a", "2026-01-03").isEmpty()
