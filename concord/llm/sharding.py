@@ -47,8 +47,8 @@ def interleave(docs: DataFrame, shards: int = 40, stratum: str = "source", seed:
         "text_crc32",
     )
     ordered = numbered(placed, "fraction", "shuffle", "doc_id", "size", label="shard-order")
-    total = ordered.count()
-    shard = F.floor(F.col("pos") * shards / F.lit(total)) if total == 0 else F.expr(f"pos * {shards} div {total}")
+    total = max(1, ordered.count())
+    shard = F.expr(f"pos * {shards} div {total}")
     first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
     return ordered.withColumn("shard", shard.cast("int")).select(
         "doc_id",
