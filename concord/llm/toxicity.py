@@ -41,6 +41,8 @@ FIT_ROWS = 20_000
 #: A segment expected less often than this by chance in its text is significant.
 E_VALUE = 0.05
 THRESHOLD = 0.7
+#: Words whose scores a task remembers.
+REMEMBERED = 500_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -96,29 +98,42 @@ def segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> list[tupl
     return [(a, b, after - before) for a, b, before, after in held]
 
 
-def _reach(model: Model) -> set[str]:
-    return {u[:4] for u in model.units}
+class WordScores(dict):
+    """Scores of words, worked out once per word; at most ``REMEMBERED`` are kept (speed only)."""
 
+    def __init__(self, model: Model) -> None:
+        super().__init__()
+        self.model = model
 
-def token_scores(words: list[str], model: Model, reach: set[str], own: int | None = None) -> list[tuple[int, float]]:
+    def __missing__(self, word: str) -> float:
+        score = max((self.model.units[u][0] for u in _units(word) if u in self.model.units), default=0.0)
+        if len(self) < REMEMBERED:
+            self[word] = score
+        return score
+
+
+def _units(word: str) -> list[str]:
+    return [word, *(word[:n] for n in STEMS if n < len(word))]
+
+
+def token_scores(words: list[str], scores: WordScores, own: int | None = None) -> list[tuple[int, float]]:
     """Positive tokens with their scores. ``own``: the label of this text, if the model has
     learned from it; its own part is then taken out."""
-    out = []
-    for i, w in enumerate(words):
-        if w[:4] in reach:
-            best = 0.0
-            for u in (w, *(w[:n] for n in STEMS if n < len(w))):
-                if u in model.units:
-                    score, t, c = model.units[u]
-                    if own is not None:
-                        t, c = t - (own == 1), c - (own == 0)
-                        score, spread = log_odds(t, c, model.toxic, model.clean)
-                        if score < SIGNIFICANT * math.sqrt(spread):
-                            continue
+    found = [(i, s) for i, s in enumerate(map(scores.__getitem__, words)) if s > 0]
+    if own is None:
+        return found
+    model, left = scores.model, []
+    for i, _ in found:
+        best = 0.0
+        for u in _units(words[i]):
+            if u in model.units:
+                _, t, c = model.units[u]
+                score, variance = log_odds(t - (own == 1), c - (own == 0), model.toxic, model.clean)
+                if score >= SIGNIFICANT * math.sqrt(variance):
                     best = max(best, score)
-            if best > 0:
-                out.append((i, best))
-    return out
+        if best > 0:
+            left.append((i, best))
+    return left
 
 
 def _features(found: list[tuple[int, int, float]], length: int, model: Model) -> list[float]:
@@ -240,13 +255,13 @@ def scored(docs: DataFrame, model: Model, own: bool = False) -> DataFrame:
     schema = "doc_id long, score double, features array<double>" + (", toxic int" if own else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reach = _reach(model)
+        known = WordScores(model)
         for batch in batches:
             labels = batch["toxic"].to_pylist() if own else [None] * batch.num_rows
             out = []
             for text, label in zip(batch["text"].to_pylist(), labels, strict=True):
                 words = _WORD.findall(text.lower())
-                found = segments(token_scores(words, model, reach, label))
+                found = segments(token_scores(words, known, label))
                 out.append(_features(found, len(words), model))
             columns = [
                 batch["doc_id"],
@@ -266,11 +281,11 @@ def score_of(text: Column, model: Model) -> Column:
 
     @F.pandas_udf("double")
     def score(content: pd.Series) -> pd.Series:
-        reach = _reach(model)
+        known = WordScores(model)
         out = []
         for t in content:
             words = _WORD.findall((t or "").lower())
-            found = segments(token_scores(words, model, reach))
+            found = segments(token_scores(words, known))
             out.append(probability(_features(found, len(words), model), model.weights))
         return pd.Series(out, dtype="float64")
 
@@ -281,12 +296,12 @@ def passages(docs: DataFrame, model: Model, e_value: float = E_VALUE) -> DataFra
     """Every significant passage: ``doc_id, first_word, last_word, score, e_value, passage``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reach = _reach(model)
+        known = WordScores(model)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 words = _WORD.findall(text.lower())
-                for a, b, s in segments(token_scores(words, model, reach)):
+                for a, b, s in segments(token_scores(words, known)):
                     e = model.scale * len(words) * math.exp(-min(700.0, model.rate * s))
                     if e < e_value:
                         rows.append((doc_id, a, b, s, e, " ".join(words[a : b + 1])))
