@@ -280,14 +280,15 @@ def score_of(text: Column, model: Model) -> Column:
     """The score as a column, for filters on rows that keep all their columns."""
 
     @F.pandas_udf("double")
-    def score(content: pd.Series) -> pd.Series:
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = WordScores(model)
-        out = []
-        for t in content:
-            words = _WORD.findall((t or "").lower())
-            found = segments(token_scores(words, known))
-            out.append(probability(_features(found, len(words), model), model.weights))
-        return pd.Series(out, dtype="float64")
+        for content in batches:
+            out = []
+            for t in content:
+                words = _WORD.findall((t or "").lower())
+                found = segments(token_scores(words, known))
+                out.append(probability(_features(found, len(words), model), model.weights))
+            yield pd.Series(out, dtype="float64")
 
     return score(text)
 
