@@ -98,28 +98,36 @@ def segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> list[tupl
     return [(a, b, after - before) for a, b, before, after in held]
 
 
+def _units(word: str) -> list[str]:
+    return [word, *(word[:n] for n in STEMS if n < len(word))]
+
+
 class WordScores(dict):
-    """Scores of words, worked out once per word; at most ``REMEMBERED`` are kept (speed only)."""
+    """Scores of words, worked out once per word; at most ``REMEMBERED`` are kept (speed only).
+
+    ``reach`` holds the first four letters of all units; other words score nothing.
+    """
 
     def __init__(self, model: Model) -> None:
         super().__init__()
         self.model = model
+        self.reach = {u[:4] for u in model.units}
 
     def __missing__(self, word: str) -> float:
-        score = max((self.model.units[u][0] for u in _units(word) if u in self.model.units), default=0.0)
+        score = 0.0
+        for u in _units(word):
+            if u in self.model.units:
+                score = max(score, self.model.units[u][0])
         if len(self) < REMEMBERED:
             self[word] = score
         return score
 
 
-def _units(word: str) -> list[str]:
-    return [word, *(word[:n] for n in STEMS if n < len(word))]
-
-
 def token_scores(words: list[str], scores: WordScores, own: int | None = None) -> list[tuple[int, float]]:
     """Positive tokens with their scores. ``own``: the label of this text, if the model has
     learned from it; its own part is then taken out."""
-    found = [(i, s) for i, s in enumerate(map(scores.__getitem__, words)) if s > 0]
+    reach = scores.reach
+    found = [(i, s) for i, w in enumerate(words) if w[:4] in reach and (s := scores[w]) > 0]
     if own is None:
         return found
     model, left = scores.model, []
