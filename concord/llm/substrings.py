@@ -157,6 +157,17 @@ def _parts(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(bucket[a]), a, b
 
 
+def _stepped(ascending: np.ndarray) -> bytes:
+    """Ascending numbers as compressed steps, byte by byte: the upper bytes are mostly zero."""
+    steps = np.diff(ascending, prepend=np.uint64(0))
+    return _packed(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T))
+
+
+def _summed(stepped: bytes) -> np.ndarray:
+    planes = _unpacked(stepped).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
 def keys_of(units: DataFrame, buckets: int, match: int, gram: int) -> DataFrame:
     """``bucket, unit, keys``: each unit's distinct keys, with a mark (lowest bit) for those that
     two of its documents have."""
@@ -174,8 +185,7 @@ def keys_of(units: DataFrame, buckets: int, match: int, gram: int) -> DataFrame:
                 bucket = _bucket(key[first], buckets)
                 order = np.argsort(bucket, kind="stable")
                 marked, bucket = marked[order], bucket[order]
-                slim = marked.view(np.uint8).reshape(-1, 8)[:, : KEY_BYTES + 1]
-                yield _batch(schema, [(b, unit, np.ascontiguousarray(slim[a:e]).tobytes()) for b, a, e in _parts(bucket)])
+                yield _batch(schema, [(b, unit, _stepped(marked[a:e])) for b, a, e in _parts(bucket)])
 
     return units.select("unit", "offsets", "data").mapInArrow(run, schema)
 
@@ -186,11 +196,9 @@ def shared_keys(keys: DataFrame) -> DataFrame:
 
     def run(group: pa.Table) -> pa.Table:
         blobs = group["keys"].to_pylist()
-        slim = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, KEY_BYTES + 1)
-        full = np.zeros((len(slim), 8), np.uint8)
-        full[:, : KEY_BYTES + 1] = slim
-        marked = full.view("<u8").ravel()
-        unit = np.repeat(np.arange(len(blobs)), [len(b) // (KEY_BYTES + 1) for b in blobs])
+        parts = [_summed(b) for b in blobs]
+        marked = np.concatenate(parts)
+        unit = np.repeat(np.arange(len(blobs)), [len(p) for p in parts])
         key = marked >> np.uint64(1)
         values, at, times = np.unique(key, return_inverse=True, return_counts=True)
         several = times > 1
