@@ -148,7 +148,7 @@ def own_vote(found: list[tuple[str, str, int]], share: float = SHARE) -> str | N
     return max(good, key=lambda p: (p.count(">"), p), default=None)
 
 
-PARSED = "page_id long, url string, host string, vote string, paths array<string>, texts array<string>"
+PARSED = "page_id long, digest long, url string, host string, vote string, paths array<string>, texts array<string>"
 
 
 def parse(pages: DataFrame) -> DataFrame:
@@ -164,15 +164,15 @@ def parse(pages: DataFrame) -> DataFrame:
                 contents.append([t for _, t, _ in found])
             strings = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch["page_id"], batch["url"], batch["host"], pa.array(votes, pa.string()), pa.array(paths, strings), pa.array(contents, strings)],
-                names=["page_id", "url", "host", "vote", "paths", "texts"],
+                [batch["page_id"], batch["digest"], batch["url"], batch["host"], pa.array(votes, pa.string()), pa.array(paths, strings), pa.array(contents, strings)],
+                names=["page_id", "digest", "url", "host", "vote", "paths", "texts"],
             )
 
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), host.alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     )
-    return rows.mapInArrow(run, PARSED)
+    return rows.withColumn("digest", F.xxhash64("html", "url")).mapInArrow(run, PARSED)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -182,18 +182,22 @@ def main_text(pages: DataFrame) -> DataFrame:
     are shuffled, so a host with a third of the pages is one row per path; a page asks for the
     votes of its own few paths. Ties go to the deeper path, then to the first in order.
     """
-    parsed = stage(parse(pages).withColumn("row", F.monotonically_increasing_id()), "pages-parsed")
-    parsed = parsed.withColumn("own", F.coalesce("vote", F.lit("")))
-    votes = parsed.where("vote IS NOT NULL").groupBy("host", F.col("vote").alias("path")).agg(F.count(F.lit(1)).alias("votes"))
+    # first pass: votes and paths, one narrow row per page id and content
+    first = parse(pages).select("page_id", "digest", "host", "vote", F.array_distinct("paths").alias("paths"))
+    seen = stage(first, "pages-votes").where("vote IS NOT NULL")
+    votes = seen.groupBy("host", F.col("vote").alias("path")).agg(F.count(F.lit(1)).alias("votes"))
     steps = F.split("vote", ">")
     above = F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), ">"))
     # a page can be extracted by any container it has: its blocks' own paths and those above its vote
     within = F.array_distinct(F.concat("paths", above))
-    asked = parsed.where("vote IS NOT NULL").select("row", "host", F.explode(within).alias("path"))
+    asked = seen.select("page_id", "digest", "host", F.explode(within).alias("path"))
     rank = F.struct("votes", F.size(F.split("path", ">")).alias("depth"), F.col("path"))
-    chosen = asked.join(votes, ["host", "path"]).groupBy("row").agg(F.max(rank)["path"].alias("path"))
-    wanted = F.coalesce("path", "own")
-    joined = parsed.join(chosen, "row", "left").withColumn("wanted", wanted)
+    best = asked.join(votes, ["host", "path"]).groupBy("page_id", "digest").agg(F.max(rank)["path"].alias("wanted"))
+    chosen = best.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), "wanted")
+    # second pass: the texts of the winning container; they are parsed again rather than kept
+    parsed = parse(pages)
+    same = F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+    joined = parsed.join(chosen, same, "left").withColumn("wanted", F.coalesce("wanted", "vote", F.lit("")))
     pairs = F.filter(
         F.arrays_zip("paths", "texts"),
         lambda b: (b["paths"] == F.col("wanted")) | F.startswith(b["paths"], F.concat("wanted", F.lit(">"))),
