@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.llm.blocks import components, dealt, join_labels, runs
@@ -53,24 +53,19 @@ def majority(hashes: list[int]) -> int:
     return int(np.packbits(2 * votes > len(rows), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, second_seed: int | None = None) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, node, fp`` (long). Texts without words, null ones included, have fingerprint zero.
 
-    With ``second_seed`` there is also ``fp2``, made of other hashes of the same shingles.
-    ``node`` stands for the whole print.
+    ``node`` stands for the print.
     """
-    seeds = [42] if second_seed is None else [42, second_seed]
-    names = ["fp", "fp2"][: len(seeds)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content = batch["text"].to_pylist()
-            columns = [pa.array([majority(text_hashes(t, shingle_words, s)) for t in content], pa.int64()) for s in seeds]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names=["doc_id", *names])
+            fps = [majority(text_hashes(t, shingle_words)) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
     rows = texts(docs).select(F.col("doc_id").cast("long"), "text")
-    prints = rows.mapInArrow(run, ", ".join(f"{n} long" for n in ["doc_id", *names]))
-    return prints.withColumn("node", F.col("fp") if second_seed is None else F.xxhash64("fp", "fp2"))
+    return rows.mapInArrow(run, "doc_id long, fp long").withColumn("node", F.col("fp"))
 
 
 def pivot_values(n: int = PIVOTS) -> list[int]:
@@ -124,20 +119,17 @@ def links(
     table_of_pivots: DataFrame,
     radius: int = RADIUS,
     parts: int | None = None,
-    both: int | None = None,
     chunk: int = CHUNK,
 ) -> DataFrame:
     """Links ``a, b`` of nodes that join every two prints within ``radius``, directly or over others.
 
-    With ``both`` the two fingerprints of a pair may differ in that many bits together. A cell
-    yields a star per class of its members, so at most one link per member. ``parts`` above
+    A cell yields a star per class of its members, so at most one link per member. ``parts`` above
     the least number, ``radius + 1``, gives more and finer buckets for larger tables.
     """
     keys = part_keys(F.col("fp"), radius, parts or radius + 1)
     numbered = F.explode(F.array(*(F.struct(F.lit(i).alias("part"), k.alias("value")) for i, k in enumerate(keys))))
-    second = F.col("fp2") if both is not None else F.lit(0).cast("long").alias("fp2")
-    members = table_of_pivots.select(numbered.alias("k"), "node", "fp", second, "distances")
-    members = members.select("k.part", "k.value", "node", "fp", "fp2", "distances", F.col("node").alias("spread"))
+    members = table_of_pivots.select(numbered.alias("k"), "node", "fp", "distances")
+    members = members.select("k.part", "k.value", "node", "fp", "distances", F.col("node").alias("spread"))
     cells = dealt(members, ["part", "value"], chunk)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,16 +137,12 @@ def links(
             n = cell.num_rows
             if n < 2:
                 continue
-            node, fp, fp2 = (cell[c].to_numpy() for c in ("node", "fp", "fp2"))
-            fp, fp2 = fp.view(np.uint64), fp2.view(np.uint64)
+            node, fp = cell["node"].to_numpy(), cell["fp"].to_numpy().view(np.uint64)
             lists = cell["distances"].combine_chunks()
             far = lists.flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.int16)
             across = cell["low"][0] != cell["high"][0]
             label = np.arange(n)
             for a, b in close_pairs(fp, far, cell["chunk"].to_numpy(), across, radius):
-                if both is not None:
-                    bits = np.bitwise_count(fp[a] ^ fp[b]) + np.bitwise_count(fp2[a] ^ fp2[b])
-                    a, b = a[bits <= both], b[bits <= both]
                 join_labels(label, a, b)
             joined = np.flatnonzero(label != np.arange(n))
             if len(joined):
@@ -163,7 +151,7 @@ def links(
     return cells.mapInArrow(run, "a long, b long")
 
 
-def classes(prints: DataFrame, radius: int = RADIUS, both: int | None = None) -> DataFrame:
+def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``doc_id, fp, component_id``: the smallest ``doc_id`` reachable over links.
 
     Equal prints are one class from the start, so copies are never compared. Rows with
@@ -172,7 +160,7 @@ def classes(prints: DataFrame, radius: int = RADIUS, both: int | None = None) ->
     """
     prints = stage(prints, "simhash-prints")
     far = stage(pivot_table(prints), "simhash-pivots")
-    found = components(stage(links(far, radius, both=both), "simhash-links"), "simhash-stars")
+    found = components(stage(links(far, radius), "simhash-links"), "simhash-stars")
     named = prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     rooted = named.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -180,21 +168,11 @@ def classes(prints: DataFrame, radius: int = RADIUS, both: int | None = None) ->
     return prints.join(of, "node").select("doc_id", "fp", "component_id")
 
 
-#: Of documents rather than contracts: five words, and both fingerprints together as close as
-#: texts are that share 0.8 of their shingles (cosine 0.89, an angle of 0.15 of the bits).
-KEPT_SHINGLE, KEPT_RADIUS, KEPT_BOTH, KEPT_SEED = 5, 8, 19, 4242
-
-
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class of near-duplicates, the one with the smallest ``doc_id``.
+    """The pipeline's stage: ``nearcopies.first_of_each``, which decides by exact similarity of shingles."""
+    from concord.llm import nearcopies  # it uses the shingles of this module
 
-    Rows with a null ``doc_id`` cannot be told apart and pass. Of rows with equal id and text one stays.
-    """
-    prints = fingerprints(docs.where("doc_id IS NOT NULL"), KEPT_SHINGLE, KEPT_SEED)
-    kept = classes(prints, KEPT_RADIUS, KEPT_BOTH).where("doc_id = component_id").select("doc_id").distinct()
-    own = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
-    known = docs.join(kept, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(own)).where("_nth = 1")
-    return known.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    return nearcopies.first_of_each(docs)
 
 
 @query("op10_simhash")
