@@ -60,7 +60,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.keeps_space = keeps_space
