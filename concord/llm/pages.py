@@ -1,9 +1,10 @@
 """Main text of web pages by consensus on container paths per host.
 
 Every page is parsed once into text blocks with the path of containers they stand in (tags with
-generalised classes). A page votes for the deepest container that holds most of its running
-text; the votes are counted per host and path. Each page is then extracted again from its
-containers by the path that its host favours most among those it has.
+generalised classes). A page votes for the deepest container that holds nearly all of its running
+text, and so for every path in it and against its other paths; the votes are counted per host and
+path. Each page is then extracted again without the paths that most pages of its host which have
+them leave out. Paths that only this page has stay as it votes itself.
 """
 
 from __future__ import annotations
@@ -13,14 +14,14 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.llm.common import query, table
 from concord.session import stage
 
 #: Share of a page's running text that the container it votes for holds at least.
-SHARE = 0.6
+SHARE = 0.95
 
 # What never holds main text, by element and by word in class, id or role.
 DROPPED_TAGS = frozenset("nav aside footer form button select option menu dialog iframe object svg canvas audio video map head label fieldset".split())
@@ -135,8 +136,14 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
     return out
 
 
-def own_vote(found: list[tuple[str, str, int]], share: float = SHARE) -> str | None:
-    """The deepest container path that holds at least ``share`` of the text outside links."""
+def own_vote(found: list[tuple[str, str, int]], share: float = SHARE) -> str:
+    """The deepest container path that holds at least ``share`` of the text outside links.
+
+    Where all text is in links, links count. A container inside an article stands for the
+    article, whose parts need no names. Without a common container the whole page is meant ('').
+    """
+    if not any(n for *_, n in found):
+        found = [(p, t, len(t)) for p, t, _ in found]
     held: dict[str, int] = {}
     for path, _, n in found:
         steps = path.split(">")
@@ -145,7 +152,9 @@ def own_vote(found: list[tuple[str, str, int]], share: float = SHARE) -> str | N
             held[prefix] = held.get(prefix, 0) + n
     total = sum(n for *_, n in found)
     good = [p for p, n in held.items() if n >= share * total]
-    return max(good, key=lambda p: (p.count(">"), p), default=None)
+    steps = max(good, key=lambda p: (p.count(">"), p), default="").split(">")
+    articles = [k for k, step in enumerate(steps) if step.split(".")[0] == "article"]
+    return ">".join(steps[: articles[-1] + 1] if articles else steps)
 
 
 PARSED = "page_id long, digest long, url string, host string, vote string, paths array<string>, texts array<string>"
@@ -175,32 +184,34 @@ def parse(pages: DataFrame) -> DataFrame:
     return rows.withColumn("digest", F.xxhash64("html", "url")).mapInArrow(run, PARSED)
 
 
+def _within(path: Column, container: Column) -> Column:
+    return (container == "") | (path == container) | F.startswith(path, F.concat(container, F.lit(">")))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page.
 
     Rows with equal or null ids are pages of their own. Votes of a host are counted before they
     are shuffled, so a host with a third of the pages is one row per path; a page asks for the
-    votes of its own few paths. Ties go to the deeper path, then to the first in order.
+    votes on its own few paths. A path stays in a tie. A page of which the host would leave
+    nothing is extracted by its own vote.
     """
     # first pass: votes and paths, one narrow row per page id and content
     first = parse(pages).select("page_id", "digest", "host", "vote", F.array_distinct("paths").alias("paths"))
-    seen = stage(first, "pages-votes").where("vote IS NOT NULL")
-    votes = seen.groupBy("host", F.col("vote").alias("path")).agg(F.count(F.lit(1)).alias("votes"))
-    steps = F.split("vote", ">")
-    above = F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), ">"))
-    # a page can be extracted by any container it has: its blocks' own paths and those above its vote
-    within = F.array_distinct(F.concat("paths", above))
-    asked = seen.select("page_id", "digest", "host", F.explode(within).alias("path"))
-    rank = F.struct("votes", F.size(F.split("path", ">")).alias("depth"), F.col("path"))
-    best = asked.join(votes, ["host", "path"]).groupBy("page_id", "digest").agg(F.max(rank)["path"].alias("wanted"))
-    chosen = best.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), "wanted")
-    # second pass: the texts of the winning container; they are parsed again rather than kept
+    asked = stage(first, "pages-votes").select("page_id", "digest", "host", "vote", F.explode("paths").alias("path"))
+    for_it = _within(F.col("path"), F.col("vote")).cast("long")
+    votes = asked.groupBy("host", "path").agg(F.sum(for_it).alias("ins"), F.count(F.lit(1)).alias("pages"))
+    outside = votes.where("2 * ins < pages").select("host", "path")
+    left_out = asked.join(outside, ["host", "path"], "left_semi").groupBy("page_id", "digest").agg(F.collect_set("path").alias("outside"))
+    chosen = left_out.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), "outside")
+    # second pass: the texts in the other containers; they are parsed again rather than kept
     parsed = parse(pages)
     same = F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
-    joined = parsed.join(chosen, same, "left").withColumn("wanted", F.coalesce("wanted", "vote", F.lit("")))
+    joined = parsed.join(chosen, same, "left").withColumn("outside", F.coalesce("outside", F.array().cast("array<string>")))
+    nothing = F.size(F.array_except("paths", "outside")) == 0
     pairs = F.filter(
         F.arrays_zip("paths", "texts"),
-        lambda b: (b["paths"] == F.col("wanted")) | F.startswith(b["paths"], F.concat("wanted", F.lit(">"))),
+        lambda b: F.when(nothing, _within(b["paths"], F.col("vote"))).otherwise(~F.array_contains("outside", b["paths"])),
     )
     text = F.array_join(F.transform(pairs, lambda b: b["texts"]), " ")
     return joined.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
