@@ -15,7 +15,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -30,10 +30,11 @@ from concord.session import stage
 STEMS = (4, 5, 6, 7)
 #: Pseudo-documents of the prior, and its least share per unit.
 PRIOR, LEAST = 100.0, 0.25
-#: Standard errors above zero that a unit's log-odds must have.
-SIGNIFICANT = 3.0
-#: Capacity of the model: the most significant units it keeps.
-UNITS = 50_000
+#: Standard errors above zero that a unit's log-odds must have at least, and the share of the
+#: model's units that may be there by chance; the more units are tested, the higher the level.
+SIGNIFICANT, BY_CHANCE = 3.0, 0.05
+#: Units that a task counts before it passes the counts on (memory only).
+COUNTED = 1_000_000
 #: Cost of a token that is not toxic.
 DRIFT = 0.25
 #: Labelled rows that the final curve is fitted on (by hash), at most.
@@ -55,6 +56,7 @@ class Model:
     rate: float  # of the extreme-value law
     scale: float
     weights: tuple[float, ...]
+    level: float = SIGNIFICANT  # standard errors that a unit of this model has at least
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -137,7 +139,7 @@ def token_scores(words: list[str], scores: WordScores, own: int | None = None) -
             if u in model.units:
                 _, t, c = model.units[u]
                 score, variance = log_odds(t - (own == 1), c - (own == 0), model.toxic, model.clean)
-                if score >= SIGNIFICANT * math.sqrt(variance):
+                if score >= model.level * math.sqrt(variance):
                     best = max(best, score)
         if best > 0:
             left.append((i, best))
@@ -154,34 +156,46 @@ def _features(found: list[tuple[int, int, float]], length: int, model: Model) ->
 
 
 def unit_counts(labelled: DataFrame) -> DataFrame:
-    """``unit, t, c``: toxic and clean texts with each word, summed up over word beginnings.
+    """``unit, t, c``: toxic and clean texts that have a word or word beginning.
 
-    Every distinct text counts once, so copies do not make its words look toxic. Words are
-    counted per task before they are shuffled; beginnings are formed from the counts.
+    Every distinct text counts once for a unit, whatever the number of its words that share the
+    beginning, so neither copies nor endings make a unit look toxic. Counts are added up per
+    task before they are shuffled.
     """
 
+    def counted(counts: tuple[Counter, Counter]) -> pa.RecordBatch:
+        units = list(counts[0] | counts[1])
+        t, c = ([counts[k][u] for u in units] for k in (1, 0))
+        return pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array(t, pa.int64()), pa.array(c, pa.int64())], names=["unit", "t", "c"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
-            counts: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
-                counts[toxic].update(set(_WORD.findall(text.lower())))
-            words = list(counts[0] | counts[1])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(words, pa.string()),
-                    pa.array([counts[1][w] for w in words], pa.int64()),
-                    pa.array([counts[0][w] for w in words], pa.int64()),
-                ],
-                names=["word", "t", "c"],
-            )
-
-    words = labelled.select("text", "toxic").mapInArrow(run, "word string, t long, c long")
-    words = words.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    stems = [F.when(F.length("word") > n, F.left("word", F.lit(n))) for n in STEMS]
-    units = words.select(F.explode(F.array_compact(F.array("word", *stems))).alias("unit"), "t", "c")
+                words = set(_WORD.findall(text.lower()))
+                counts[toxic].update({u for w in words for u in _units(w)})
+                if len(counts[0]) + len(counts[1]) > COUNTED:
+                    yield counted(counts)
+                    counts = (Counter(), Counter())
+        yield counted(counts)
+
+    units = labelled.select("text", "toxic").mapInArrow(run, "unit string, t long, c long")
     return units.groupBy("unit").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
 
 
+def level_of(rated: DataFrame) -> float:
+    """The least ``z`` from which on at most ``BY_CHANCE`` of the units can be there by chance,
+    given how many ``rated`` units there are (Benjamini and Hochberg, in steps of 0.01)."""
+    step = F.when(F.col("z") >= SIGNIFICANT, F.floor(F.least("z", F.lit(40.0)) * 100))
+    found = {r[0]: r[1] for r in rated.groupBy(step.alias("step")).agg(F.count(F.lit(1))).collect()}
+    tested, held, level = sum(found.values()), 0, math.inf
+    for k in sorted((k for k in found if k is not None), reverse=True):
+        held += found[k]
+        if tested * 0.5 * math.erfc(k / 100 / math.sqrt(2)) <= BY_CHANCE * held:
+            level = k / 100
+    return level
+
+
 def _law(units: dict[str, tuple[float, int, int]], clean_tokens: float) -> tuple[float, float]:
     """Rate and scale of the extreme-value law of the best segment in clean text.
 
@@ -224,8 +238,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
 
     Counts cover all of them. Null labels and labels without a document teach nothing; a
     document labelled twice is toxic if one of its labels is. Without labels every text
-    scores alike. To the driver come the significant units, the most significant ``UNITS`` if
-    there are more, and the scored features of at most ``fit_rows`` rows, chosen by hash.
+    scores alike. To the driver come the significant units, and the scored features of at most
+    ``fit_rows`` rows, chosen by hash.
     """
     marks = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = texts(docs).where(~held_out("doc_id")).join(marks, "doc_id")
@@ -239,10 +253,12 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
         return Model({}, toxic, clean, 1.0, 1.0, (math.log((toxic + 0.5) / (clean + 0.5)), 0.0, 0.0, 0.0, 0.0))
     score, variance = log_odds(F.col("t"), F.col("c"), toxic, clean, F.log)
     rated = unit_counts(labelled).where("t >= 2").withColumns({"score": score, "z": score / F.sqrt(variance)})
-    best = rated.where(F.col("z") >= SIGNIFICANT).orderBy(F.desc("z"), "unit").limit(UNITS).collect()
+    rated = stage(rated, "toxic-units")
+    level = level_of(rated)
+    best = rated.where(F.col("z") >= level).orderBy(F.desc("z"), "unit").collect()
     units = {r["unit"]: (r["score"], int(r["t"]), int(r["c"])) for r in best}
     rate, scale = _law(units, max(1.0, tokens * clean / (toxic + clean)))
-    model = Model(units, toxic, clean, rate, scale, (0.0,) * 5)
+    model = Model(units, toxic, clean, rate, scale, (0.0,) * 5, level)
     share = min(1.0, 0.9 * fit_rows / (toxic + clean))
     chosen = labelled.where(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)))
     rows = scored(chosen.select(F.col("h").alias("doc_id"), "text", "toxic"), model, own=True)
@@ -251,7 +267,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
     if not rows:
         return model
     x, y = np.array([r["features"] for r in rows]), np.array([r["toxic"] for r in rows], float)
-    return Model(units, toxic, clean, rate, scale, tuple(_logistic(x, y).tolist()))
+    return replace(model, weights=tuple(_logistic(x, y).tolist()))
 
 
 def probability(features: list[float], weights: tuple[float, ...]) -> float:
