@@ -114,14 +114,8 @@ ident AS (
 """
 
 
-@query(
-    "snapshot_upsert",
-    UPSERT_SQL
-    + "SELECT customer, status, strftime(d, '%Y-%m-%d') AS snapshot_date, price FROM ident JOIN snap USING (customer)",
-)
-def snapshot_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping batches saved in turn, the second one twice; read back whole."""
-    orders = table(spark, sf_dir, "orders").select(
+def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("customer"),
         F.to_date(F.trunc("o_orderdate", "year")).alias("snapshot_date"),
         F.col("o_totalprice").alias("price"),
@@ -129,12 +123,60 @@ def snapshot_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderdate",
         "o_orderkey",
     )
-    store = order_store(spark)
-    first, second = orders.filter("status = 'F'"), orders.filter("status <> 'F'")
-    for batch in (first, second, second):
+
+
+def saved_orders(spark: SparkSession, sf_dir: str) -> Store:
+    """Two overlapping batches saved in turn: finished orders, then the others."""
+    orders, store = dated_orders(spark, sf_dir), order_store(spark)
+    for batch in (orders.filter("status = 'F'"), orders.filter("status <> 'F'")):
         store.save(batch, order=("o_orderdate", "o_orderkey"))
-    whole = history(store.identities().drop("key_bucket"), store.snapshots(), "customer")
-    return shown(whole)
+    return store
+
+
+@query(
+    "snapshot_upsert",
+    UPSERT_SQL
+    + "SELECT customer, status, strftime(d, '%Y-%m-%d') AS snapshot_date, price FROM ident JOIN snap USING (customer)",
+)
+def snapshot_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping batches saved in turn, the second one twice; read back whole."""
+    store = saved_orders(spark, sf_dir)
+    store.save(dated_orders(spark, sf_dir).filter("status <> 'F'"), order=("o_orderdate", "o_orderkey"))
+    view = store.view()
+    return shown(view.identities().join(view.snapshots(), "customer"))
+
+
+@query(
+    "stored_latest",
+    UPSERT_SQL
+    + """SELECT customer, status, strftime(max(d), '%Y-%m-%d') AS snapshot_date, arg_max(price, d) AS price
+FROM ident JOIN snap USING (customer) GROUP BY customer, status""",
+)
+def stored_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store's current rows after two saves: one scan."""
+    return shown(saved_orders(spark, sf_dir).latest())
+
+
+@query(
+    "stored_by_key",
+    UPSERT_SQL
+    + f"""SELECT customer, status, strftime(max(d), '%Y-%m-%d') AS snapshot_date, arg_max(price, d) AS price
+FROM ident JOIN snap USING (customer) WHERE customer = {KEY} GROUP BY customer, status""",
+)
+def stored_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key of the saved orders, from its bucket."""
+    return shown(saved_orders(spark, sf_dir).by_key(KEY, required=True))
+
+
+@query(
+    "stored_history",
+    UPSERT_SQL
+    + f"""SELECT customer, status, strftime(d, '%Y-%m-%d') AS snapshot_date, price
+FROM ident JOIN snap USING (customer) WHERE customer = {KEY} AND d BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'""",
+)
+def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key's saved snapshots of four years, from its bucket of those dates."""
+    return shown(saved_orders(spark, sf_dir).history(KEY, "1996-01-01", "1999-12-31"))
 
 
 # --- Cache with time-to-live -------------------------------------------------------------------------------

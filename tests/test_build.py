@@ -1,5 +1,6 @@
 """The whole job on made-up feeds, and the store behind it."""
 
+import datetime
 import json
 import os
 from decimal import Decimal as D
@@ -152,8 +153,72 @@ def test_store_upserts_and_keeps_what_a_batch_leaves_out(spark, prices):
     assert rows_of(prices.history("a", "2026-01-02")) == rows_of(prices.history("a", to_date="2026-01-02"))[1:]
     assert prices.history("a", "2026-01-03").isEmpty()
     assert prices.count_snapshots() == 2
-    plan = prices._one_identity("a")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(key_bucket" in plan
+    prices.save(batch(("a", "A4", 7)), "2025-12-31")  # an older date renames, the newest facts stay
+    assert rows_of(prices.by_key("a")) == [("a", "A4", 4, "2026-01-02")]
+
+
+def test_reads_open_only_their_folders(spark, prices):
+    rows = [(f"k{i:03d}", f"n{i}", i, datetime.date(2026, 1, 1 + i % 5)) for i in range(200)]
+    prices.save(spark.createDataFrame(rows, "k string, n string, p int, snapshot_date date"))
+    own = prices.bucket_of("k007")
+
+    def folders(df):
+        return {tuple(f.split("/")[-4:-1]) for f in df.inputFiles()}
+
+    assert {f[-1] for f in folders(prices.by_key("k007"))} == {f"key_bucket={own}"}
+    history = prices.view().snapshots("2026-01-02", "2026-01-04", [own])
+    assert {f[-2:] for f in folders(history)} == {(f"snapshot_date=2026-01-0{d}", f"key_bucket={own}") for d in (2, 3, 4)}
+    assert rows_of(prices.history("k007")) == [("k007", "n7", 7, "2026-01-03")]
+    plan = prices.latest()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and prices.latest().count() == 200
+    assert [r[0] for r in prices.dates().collect()] == [datetime.date(2026, 1, d) for d in range(1, 6)]
+
+
+def test_both_tables_change_together(spark, prices, monkeypatch):
+    def batch(*rows):
+        return spark.createDataFrame(rows, "k string, n string, p int")
+
+    prices.save(batch(("a", "A", 1), ("b", "B", 2)), "2026-01-01")
+    before = prices.view()
+    whole = Store._write
+
+    def broken(self, table, *rest):
+        if table == "current":
+            raise OSError("no space left")
+        whole(self, table, *rest)
+
+    monkeypatch.setattr(Store, "_write", broken)
+    with pytest.raises(OSError, match="no space"):
+        prices.save(batch(("a", "A2", 5), ("c", "C", 3)), "2026-01-02")
+    monkeypatch.setattr(Store, "_write", whole)
+    assert rows_of(prices.latest()) == [("a", "A", 1, "2026-01-01"), ("b", "B", 2, "2026-01-01")]
+    assert prices.view().dates() == ["2026-01-01"] and prices.versions() == [1]
+    prices.save(batch(("a", "A2", 5), ("c", "C", 3)), "2026-01-02")
+    assert rows_of(prices.latest()) == [("a", "A2", 5, "2026-01-02"), ("b", "B", 2, "2026-01-01"), ("c", "C", 3, "2026-01-02")]
+    assert rows_of(before.latest()) == [("a", "A", 1, "2026-01-01"), ("b", "B", 2, "2026-01-01")]  # a reader keeps its pair
+    assert before.snapshots().count() == 2 and prices.view(1).snapshots().count() == 2
+
+
+def test_a_second_writer_is_told(spark, prices, monkeypatch):
+    rows = spark.createDataFrame([("a", "A", 1)], "k string, n string, p int")
+    empty = prices.view()
+    prices.save(rows, "2026-01-01")
+    monkeypatch.setattr(Store, "view", lambda self, version=None: empty)
+    with pytest.raises(FileExistsError, match="another writer"):
+        prices.save(rows.withColumn("p", F.lit(2)), "2026-01-01")
+    monkeypatch.undo()
+    assert rows_of(prices.latest()) == [("a", "A", 1, "2026-01-01")]
+
+
+def test_vacuum_keeps_what_is_named(spark, prices):
+    def batch(*rows):
+        return spark.createDataFrame(rows, "k string, n string, p int")
+
+    for i in range(4):
+        prices.save(batch(("a", "A", i), ("b", "B", 9)) if i == 0 else batch(("a", "A", i)), "2026-01-01")
+    want = rows_of(prices.latest()), prices.snapshots().count()
+    assert prices.vacuum(keep=1) and prices.versions() == [4]
+    assert (rows_of(prices.latest()), prices.snapshots().count()) == want and prices.vacuum(keep=1) == []
 
 
 def test_a_save_evaluates_its_batch_once_and_needs_dates(spark, prices):
