@@ -16,6 +16,7 @@ import datetime
 import json
 import uuid
 from collections.abc import Collection, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -237,8 +238,13 @@ class Store:
             "current": sorted({f"key_bucket={b}" for _, b in touched}),
         }
         old = {t: before._read(t, [f for f in parts[t] if f in before.parts[t]], getattr(self, f"{s}_schema")) for t, s in (("snapshots", "history"), ("current", "current"))}
-        self._write("snapshots", run, self._merged_snapshots(old["snapshots"], batch, tie), "snapshot_date", "key_bucket")
-        self._write("current", run, self._merged_current(old["current"], batch, tie), "key_bucket")
+        jobs = [
+            ("snapshots", run, self._merged_snapshots(old["snapshots"], batch, tie), "snapshot_date", "key_bucket"),
+            ("current", run, self._merged_current(old["current"], batch, tie), "key_bucket"),
+        ]
+        with ThreadPoolExecutor(len(jobs)) as pool:  # both write new folders, so neither waits for the other
+            for written in [pool.submit(self._write, *job) for job in jobs]:
+                written.result()
         after = {t: before.parts[t] | dict.fromkeys(parts[t], int(run)) for t in parts}
         publish_text(self.spark, f"{self.root}/{MANIFESTS}/{version:012d}.json", json.dumps(after))
 
