@@ -78,26 +78,25 @@ def segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> list[tupl
     positions given have these positive scores and every other one has ``-drift``.
 
     A segment to the left is merged with a new one when the running total before it is lower and
-    the total at its end is not higher than the new total; each is pushed and merged once.
+    the total at its end is not higher than the new total. Each held segment knows the nearest one to
+    its left with a lower total before it, so no step is taken twice: work is linear in the positions.
     """
-    held: list[tuple[int, int, float, float]] = []  # first, last, total before, total after
+    held: list[tuple[int, int, float, float, int]] = []  # first, last, total before, total after, nearest lower
     total, at = 0.0, 0
     for place, score in scores:
         total -= drift * (place - at)
         first, before = place, total
         total += score
         at = place + 1
-        after = total
-        while held:
-            k = len(held) - 1
-            while k >= 0 and held[k][2] >= before:
-                k -= 1
-            if k < 0 or held[k][3] >= after:
-                break
-            first, before = held[k][0], held[k][2]
+        k = len(held) - 1
+        while k >= 0 and held[k][2] >= before:
+            k = held[k][4]
+        while k >= 0 and held[k][3] < total:
+            first, before, lower = held[k][0], held[k][2], held[k][4]
             del held[k:]
-        held.append((first, place, before, after))
-    return [(a, b, after - before) for a, b, before, after in held]
+            k = lower
+        held.append((first, place, before, total, k))
+    return [(a, b, after - before) for a, b, before, after, _ in held]
 
 
 def _units(word: str) -> list[str]:
@@ -242,6 +241,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
     ``fit_rows`` rows, chosen by hash.
     """
     marks = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marks = stage(marks, "toxic-marks")  # its size is known to the join, which moves texts only if it must
     known = texts(docs).where(~held_out("doc_id")).join(marks, "doc_id")
     by_text = known.groupBy(F.xxhash64("text").alias("h"), "text").agg(F.max("toxic").cast("int").alias("toxic"))
     labelled = stage(by_text, "toxic-labelled")

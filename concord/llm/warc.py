@@ -16,8 +16,8 @@ Spark 4.1 they stay with the loaded frame, so that a later query of the same fra
 same query, would miss rows. Set it only for a frame that is loaded for one query.
 
 Options for reading: ``payload`` (``false``: do not return payloads), ``verify`` (``true``: compare payloads
-with their digests, an error on difference), ``partitionBytes``, ``filters`` (JSON), ``pushdown``. For
-writing: ``maxBytes``, ``splitBytes``.
+with their digests, an error on difference), ``partitionBytes``, ``parallelism`` (partitions become smaller to be so
+many), ``filters`` (JSON), ``pushdown``. For writing: ``maxBytes``, ``splitBytes``.
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ _ARROW = pa.schema(
     + [("content_length", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.string()), ("headers", pa.map_(pa.string(), pa.string()))]
     + [("payload_bytes", pa.int64()), ("payload", pa.binary()), ("file", pa.string()), ("offset", pa.int64())]
 )
-MAX_BYTES, SPLIT_BYTES, PARTITION_BYTES = 256 << 20, 32 << 20, 128 << 20
+MAX_BYTES, SPLIT_BYTES, PARTITION_BYTES, LEAST_BYTES = 256 << 20, 8 << 20, 128 << 20, 4 << 20
 #: Rows and bytes of payload after which a batch is handed on.
 BATCH_ROWS, BATCH_BYTES = 1_000, 16 << 20
 #: Bytes read at a time, and bytes of headers above which a record is taken as damaged.
@@ -390,6 +390,7 @@ class WarcReader(ds.DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.path = options["path"]
         self.partition_bytes = int(options.get("partitionbytes", PARTITION_BYTES))
+        self.parallelism = int(options.get("parallelism", 1))
         tests = [tuple(t) for t in json.loads(options.get("filters", "[]"))]
         self.wanted = Wanted(tests, options.get("payload", "true") == "true", options.get("verify", "false") == "true")
         self.pushdown = options.get("pushdown", "false") == "true"
@@ -418,7 +419,9 @@ class WarcReader(ds.DataSourceReader):
         return (name, kinds[type(f)], f.value) if type(f) in kinds else None
 
     def partitions(self) -> list[Files]:
-        return planned(listed(self.path), self.partition_bytes) or [Files([])]
+        files = listed(self.path)
+        even = sum(size for _, size, _ in files) // max(1, self.parallelism)
+        return planned(files, min(self.partition_bytes, max(LEAST_BYTES, even))) or [Files([])]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
@@ -578,7 +581,8 @@ def read_warc(spark: SparkSession, path: str, filters: list[tuple] = (), **optio
     tests = [(HEADER_OF.get(name, name), how, value) for name, how, value in filters]
     for name, how, value in tests:
         _holds({name: "0"}, name, how, value)  # an unknown comparison is an error here, not in a task
-    return spark.read.format("warc").options(filters=json.dumps(tests), **options).load(path)
+    known = {"filters": json.dumps(tests), "parallelism": str(spark.sparkContext.defaultParallelism)}
+    return spark.read.format("warc").options(**(known | options)).load(path)
 
 
 _SQL = """
