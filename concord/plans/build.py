@@ -126,7 +126,7 @@ def build(inputs: Inputs, now: Column | None = None) -> DataFrame:
 
 def read_inputs(spark: SparkSession, root: str, now: Column, **options) -> DataFrame:
     """Checked discovery rows under ``root``, staged; raises if all feeds are empty."""
-    raw = stage(discovery.read_discovery(spark, root, now, **options), "discovery")
+    raw = discovery.read_discovery(spark, root, now, **options)
     names = [f.name for f in options.get("feeds", discovery.DISCOVERY_FEEDS)]
     registry = spark.createDataFrame([(n,) for n in names], "feed string")
     require_rows(feed_counts(raw, registry))

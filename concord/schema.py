@@ -80,6 +80,10 @@ RECORD_FIELDS = (*IDENTITY_FIELDS, *FINANCIAL_FIELDS)
 ORDER_FIELDS = ("feed_rank", "row_no")
 
 
+#: Place of a record in its feed: page, place in the page, place within that record's own list.
+POSITION = T.StructType([T.StructField(n, T.LongType()) for n in ("page", "position", "inner")])
+
+
 def field_type(name: str) -> T.DataType:
     if name == "mics":
         return T.ArrayType(T.StringType())
@@ -92,7 +96,7 @@ RAW_SCHEMA = T.StructType(
     [
         T.StructField("feed", T.StringType()),
         T.StructField("feed_rank", T.IntegerType()),
-        T.StructField("row_no", T.LongType()),
+        T.StructField("row_no", POSITION),
         *RECORD_SCHEMA.fields,
     ]
 )

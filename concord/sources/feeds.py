@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,8 +39,9 @@ from concord.operators.dedup import (
 )
 from concord.operators.validate import validate
 from concord.schema import RAW_SCHEMA
-from concord.sources.gates import before_gap, document_status, keep_if_whole, pages_for_rows
-from concord.sources.landed import exploded, read_json, row_number_of
+from concord.session import stage
+from concord.sources.gates import before_gap, count_documents, document_status, keep_if_whole, pages_for_rows, single_page
+from concord.sources.landed import BROKEN, exploded, place, read_json
 
 log = logging.getLogger(__name__)
 
@@ -46,29 +50,56 @@ CHECKED_SCHEMA = T.StructType([*RAW_SCHEMA, T.StructField("errors", T.ArrayType(
 Projection = Callable[[Column], Mapping[str, Column | Checked]]
 
 
+Part = tuple[str, str]  # folder and schema of documents
+
+
 @dataclass(frozen=True)
 class Feed:
-    """``records(spark, path, multi_line)`` gives ``r`` (struct) and ``row_no``.
+    """``rows(docs)`` takes the documents of each part (one frame, or one per folder of ``parts``) and
+    gives ``r`` (struct) and ``row_no``; ``pick`` and ``key`` say which of equal records stay.
 
-    ``page`` is the schema of the documents that are counted, under ``folder`` if the feed has
-    several; ``announced`` gives the number of pages that a document announces.
+    ``page`` is the schema of the documents whose pages are counted; ``announced`` gives the number of
+    pages that one announces. ``unbroken``: pages after a missing or unreadable one do not count.
     """
 
     name: str
-    records: Callable[[SparkSession, str, bool], DataFrame]
+    page: str
+    rows: Callable[..., DataFrame]
+    pick: Callable[[DataFrame, Column, Sequence[str]], DataFrame]
+    key: Callable[[], Column]
     fields: Projection
-    page: str = "page_no INT"
-    folder: str = ""
     announced: Callable[[], Column] | None = None
-
-    def status(self, spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-        """What has landed of the feed (:func:`concord.sources.gates.document_status`)."""
-        docs = read_json(spark, f"{path}/{self.folder}" if self.folder else path, self.page, multi_line)
-        return document_status(docs, self.announced() if self.announced else None)
-
-
-def _first(df: DataFrame, pick, key: Column) -> DataFrame:
-    return pick(df, key, ["row_no"])
+    unbroken: bool = False
+    #: Folders of a feed whose records are put together from several kinds of documents; the first
+    #: has the pages.
+    parts: tuple[Part, ...] = ()
+    #: Joins what belongs to a record only after equal ones are gone.
+    complete: Callable[..., DataFrame] | None = None
+
+    def documents(self, spark: SparkSession, path: str, multi_line: bool = False, streaming: bool = False) -> list[DataFrame]:
+        parts = [(f"{path}/{folder}", schema) for folder, schema in self.parts] or [(path, self.page)]
+        return [read_json(spark, at, schema, multi_line, streaming) for at, schema in parts]
+
+    def status(self, docs: Sequence[DataFrame]) -> DataFrame:
+        """What has landed of the feed (:func:`concord.sources.gates.document_status`), over all its
+        folders: an unreadable document anywhere makes it incomplete."""
+        found = document_status(docs[0], self.announced() if self.announced else None)
+        for part in docs[1:]:
+            broken = count_documents(part, F.col(BROKEN).isNotNull(), part.columns[0]).scalar()
+            found = found.withColumn("unreadable", F.col("unreadable") + broken)
+        return found.withColumn("complete", F.col("complete") & (F.col("unreadable") == 0))
+
+    def all_rows(self, docs: Sequence[DataFrame]) -> DataFrame:
+        docs = [single_page(docs[0]) if self.unbroken else docs[0], *docs[1:]]
+        if self.unbroken:
+            known = docs[0].filter(F.col("page_no").isNotNull()).withColumn("_feed", F.lit(self.name))
+            docs[0] = before_gap(known, ["_feed"], "page_no")
+        return self.rows(*docs)
+
+    def records(self, docs: Sequence[DataFrame]) -> DataFrame:
+        """The feed's records, the first of equal ones."""
+        unique = self.pick(self.all_rows(docs), self.key(), ["row_no"])
+        return self.complete(unique, *docs) if self.complete else unique
 
 
 # --- Xetra -----------------------------------------------------------------------
@@ -92,9 +123,8 @@ def xetra_pages() -> Column:
     return pages_for_rows(F.col("recordsTotal"), XETRA_PAGE_ROWS)
 
 
-def xetra_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    rows = exploded(read_json(spark, path, XETRA_PAGE, multi_line), F.col("data"))
-    return _first(rows, first_per_key_or_blank, F.col("r.isin"))
+def xetra_rows(docs: DataFrame) -> DataFrame:
+    return exploded(docs, F.col("data"))
 
 
 def xetra_fields(now: Column) -> dict[str, Column]:
@@ -138,12 +168,8 @@ def lseg_value() -> Column:
     return F.get(F.filter(part["content"], lambda i: i["name"] == LSEG_ITEM), F.lit(0))["value"]
 
 
-def lseg_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Records up to the first page that is missing or cannot be read."""
-    docs = read_json(spark, path, LSEG_PAGE, multi_line).withColumn("_feed", F.lit("lseg"))
-    unbroken = before_gap(docs.filter(F.col("page_no").isNotNull()), ["_feed"], "page_no")
-    rows = exploded(unbroken, lseg_value()["content"])
-    return _first(rows, first_per_present_key, F.col("r.isin"))
+def lseg_rows(docs: DataFrame) -> DataFrame:
+    return exploded(docs, lseg_value()["content"])
 
 
 def major_unit(v: Column, in_pence: Column) -> Column:
@@ -180,9 +206,8 @@ SCREENER_PAGE = """
 SCREENER_CURRENCY = "USD"
 
 
-def screener_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    rows = exploded(read_json(spark, path, SCREENER_PAGE, multi_line), F.col("data.data"))
-    return _first(rows, first_per_key, key_or_alternative(F.col("r.isin"), F.col("r.s")))
+def screener_rows(docs: DataFrame) -> DataFrame:
+    return exploded(docs, F.col("data.data"))
 
 
 def screener_fields(now: Column) -> dict[str, Column | Checked]:
@@ -237,11 +262,14 @@ def scanner_pages() -> Column:
     return pages_for_rows(F.col("totalCount"), SCANNER_PAGE_ROWS)
 
 
-def scanner_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    rows = exploded(read_json(spark, path, SCANNER_PAGE, multi_line), F.col("data"))
-    symbol, name = json_text(position(F.col("r.d"), 0)), json_text(position(F.col("r.d"), 1))
-    sound = rows.filter((F.size("r.d") >= SCANNER_WIDTH) & (symbol != "") & (name != ""))
-    return _first(sound, first_per_present_key, symbol)
+def scanner_symbol() -> Column:
+    return json_text(position(F.col("r.d"), 0))
+
+
+def scanner_rows(docs: DataFrame) -> DataFrame:
+    rows = exploded(docs, F.col("data"))
+    name = json_text(position(F.col("r.d"), 1))
+    return rows.filter((F.size("r.d") >= SCANNER_WIDTH) & (scanner_symbol() != "") & (name != ""))
 
 
 def scanner_fields(now: Column) -> dict[str, Column | Checked]:
@@ -271,14 +299,13 @@ def exchange_mics(exchange: Column) -> Column:
     return F.when(mic.isNotNull(), F.array(mic)).otherwise(F.array().cast("array<string>"))
 
 
-def sec_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    rows = exploded(read_json(spark, path, SEC_PAGE, multi_line), F.col("data"))
+def sec_rows(docs: DataFrame) -> DataFrame:
+    rows = exploded(docs, F.col("data"))
     cells = [json_text(position(F.col("r"), i)) for i in range(4)]
     names = ("cik", "name", "symbol", "exchange")
     named = rows.select(F.struct(*[c.alias(n) for c, n in zip(cells, names)]).alias("r"), "row_no")
     full = [F.coalesce(F.col(f"r.{n}") != "", F.lit(False)) for n in names]
-    sound = named.filter(full[0] & full[1] & full[2] & full[3] & (F.col("r.cik") != "0"))
-    return _first(sound, first_per_key, F.col("r.cik"))
+    return named.filter(full[0] & full[1] & full[2] & full[3] & (F.col("r.cik") != "0"))
 
 
 def sec_fields(now: Column) -> dict[str, Column]:
@@ -311,41 +338,48 @@ QUOTE_DOC = """
 
 
 def valid_companies(pages: DataFrame) -> DataFrame:
-    """``company_ticker, company_no`` of companies with a ticker and a name."""
+    """``company_ticker, company_no`` of companies with a ticker and a name, once each."""
     rows = exploded(pages, F.col("companies"))
     sound = rows.filter((F.col("r.ticker") != "") & (F.col("r.name") != ""))
-    return sound.select(F.col("r.ticker").alias("company_ticker"), F.col("row_no").alias("company_no"))
+    named = sound.select(F.col("r.ticker").alias("company_ticker"), F.col("row_no").alias("company_no"))
+    return named.groupBy("company_ticker").agg(F.min("company_no").alias("company_no"))
+
+
+def one_document(docs: DataFrame, key: str, newest: Column, content: Column) -> DataFrame:
+    """One document per key, whatever landed twice: the newest, of equal ones any by content."""
+    order = F.struct(newest.alias("newest"), F.xxhash64(F.to_json(content)).alias("content"))
+    kept = docs.filter(F.col(key).isNotNull()).groupBy(key)
+    return kept.agg(F.max_by(F.struct(*[c for c in docs.columns if c != key]), order).alias("d")).select(key, "d.*")
 
 
 def securities_of(companies: DataFrame, documents: DataFrame) -> DataFrame:
     """Securities with a share-class id, carrying the company named in their own
-    document. A company without a document contributes none."""
-    joined = companies.join(documents, "company_ticker", "inner")
+    document. A company without a document contributes none, one with several a single one."""
+    whole = F.struct("company", "securities")
+    single = one_document(documents.select("company_ticker", "company", "securities"), "company_ticker", F.lit(0), whole)
+    joined = companies.join(single, "company_ticker", "inner")
     each = joined.select("company_no", "company", F.posexplode("securities").alias("_at", "s"))
     sound = each.filter(F.coalesce(F.col("s.share_class_figi") != "", F.lit(False)))
     return sound.select(
-        (F.col("company_no") + F.col("_at")).alias("row_no"),
-        F.struct("company.name", "company.lei", "company.cik", "s.*").alias("security"),
+        place(F.col("company_no.page"), F.col("company_no.position"), F.col("_at")).alias("row_no"),
+        F.struct("company.name", "company.lei", "company.cik", "s.*").alias("r"),
     )
 
 
 def with_quotes(securities: DataFrame, quotes: DataFrame) -> DataFrame:
-    """Left join: a security without a quote keeps a null one."""
-    table = quotes.select(F.col("share_class_figi").alias("_id"), "quote")
-    joined = securities.join(table, F.col("security.share_class_figi") == F.col("_id"), "left")
-    return joined.select(F.struct("security.*", "quote").alias("r"), "row_no")
+    """Left join with one quote per id, the newest: a security without a quote keeps a null one."""
+    single = one_document(quotes.select("share_class_figi", "quote"), "share_class_figi", F.col("quote.last_time"), F.col("quote"))
+    table = single.select(F.col("share_class_figi").alias("_id"), "quote")
+    joined = securities.join(table, F.col("r.share_class_figi") == F.col("_id"), "left")
+    return joined.select(F.struct("r.*", "quote").alias("r"), "row_no")
 
 
-def intrinio_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """``path`` holds the folders ``companies``, ``securities`` and ``quotes``."""
+def intrinio_rows(companies: DataFrame, securities: DataFrame, quotes: DataFrame) -> DataFrame:
+    return securities_of(valid_companies(companies), securities)
 
-    def landed(part: str, schema: str) -> DataFrame:
-        return read_json(spark, f"{path}/{part}", schema, multi_line)
 
-    companies = valid_companies(landed("companies", COMPANIES_PAGE))
-    securities = securities_of(companies, landed("securities", SECURITIES_DOC))
-    unique = _first(securities, first_per_present_key, F.col("security.share_class_figi"))
-    return with_quotes(unique, landed("quotes", QUOTE_DOC))
+def intrinio_complete(unique: DataFrame, companies: DataFrame, securities: DataFrame, quotes: DataFrame) -> DataFrame:
+    return with_quotes(unique, quotes)
 
 
 def intrinio_fields(now: Column) -> dict[str, Column]:
@@ -373,23 +407,54 @@ def intrinio_fields(now: Column) -> dict[str, Column]:
 
 #: The discovery feeds; the position in the list is the feed's rank.
 DISCOVERY_FEEDS: tuple[Feed, ...] = (
-    Feed("xetra", xetra_records, xetra_fields, XETRA_PAGE, announced=xetra_pages),
-    Feed("lseg", lseg_records, lseg_fields, LSEG_PAGE, announced=lambda: lseg_value()["totalPages"]),
-    Feed("screener", screener_records, screener_fields, SCREENER_PAGE),
-    Feed("scanner", scanner_records, scanner_fields, SCANNER_PAGE, announced=scanner_pages),
-    Feed("sec", sec_records, sec_fields, SEC_PAGE),
-    Feed("intrinio", intrinio_records, intrinio_fields, COMPANIES_PAGE, "companies"),
-)
+    Feed("xetra", XETRA_PAGE, xetra_rows, first_per_key_or_blank, lambda: F.col("r.isin"), xetra_fields, announced=xetra_pages),
+    Feed(
+        "lseg", LSEG_PAGE, lseg_rows, first_per_present_key, lambda: F.col("r.isin"), lseg_fields,
+        announced=lambda: lseg_value()["totalPages"], unbroken=True,
+    ),
+    Feed("screener", SCREENER_PAGE, screener_rows, first_per_key, lambda: key_or_alternative(F.col("r.isin"), F.col("r.s")), screener_fields),
+    Feed("scanner", SCANNER_PAGE, scanner_rows, first_per_present_key, scanner_symbol, scanner_fields, announced=scanner_pages),
+    Feed("sec", SEC_PAGE, sec_rows, first_per_key, lambda: F.col("r.cik"), sec_fields),
+    Feed(
+        "intrinio", COMPANIES_PAGE, intrinio_rows, first_per_present_key, lambda: F.col("r.share_class_figi"), intrinio_fields,
+        parts=(("companies", COMPANIES_PAGE), ("securities", SECURITIES_DOC), ("quotes", QUOTE_DOC)), complete=intrinio_complete,
+    ),
+)
+
+
+def checked_records(feed: Feed, rank: int, records: DataFrame, now: Column) -> DataFrame:
+    """Validated rows with their ``errors``, good and bad alike; columns besides ``r`` stay."""
+    tagged = records.withColumns({"feed": F.lit(feed.name), "feed_rank": F.lit(rank)})
+    return validate(tagged, feed.fields(now), counters=f"checked {feed.name}").drop("r")
 
 
 def checked_feed(
     spark: SparkSession, feed: Feed, rank: int, path: str, now: Column, multi_line: bool = False
 ) -> DataFrame:
-    """Validated rows of one feed with their ``errors``, good and bad alike."""
-    records = feed.records(spark, path, multi_line)
-    tagged = records.withColumns({"feed": F.lit(feed.name), "feed_rank": F.lit(rank)})
-    checked = validate(tagged, feed.fields(now), counters=f"checked {feed.name}")
-    return checked.select(*RAW_SCHEMA.names, "errors")
+    """Validated rows of one feed as it has landed."""
+    records = feed.records(feed.documents(spark, path, multi_line))
+    return checked_records(feed, rank, records, now).select(*RAW_SCHEMA.names, "errors")
+
+
+def _read_feed(
+    spark: SparkSession, feed: Feed, rank: int, path: str, now: Column, multi_line: bool, keep: str | None
+) -> DataFrame | None:
+    """One feed's rows, staged; none if it cannot be read or has not begun."""
+    try:
+        status = feed.status(feed.documents(spark, path, multi_line))
+        found = status.first()
+        if not found["started"]:
+            log.error("feed %s skipped: its first page is missing or unreadable", feed.name)
+            return None
+        rows = stage(checked_feed(spark, feed, rank, path, now, multi_line), f"feed-{feed.name}")
+        if not found["complete"]:
+            log.warning("feed %s is incomplete: %s", feed.name, found.asDict())
+        elif keep is not None:
+            keep_if_whole(rows, status, f"{keep}/{feed.name}")
+        return rows
+    except (PySparkException, Py4JJavaError) as failure:  # what reading or parsing threw, on the driver or in a task
+        log.error("feed %s skipped: %s", feed.name, str(failure).splitlines()[0])
+        return None
 
 
 def read_discovery(
@@ -400,28 +465,18 @@ def read_discovery(
     multi_line: bool = False,
     keep: str | None = None,
 ) -> DataFrame:
-    """Union of all feeds under ``root/<feed name>``, checked.
+    """Union of all feeds under ``root/<feed name>``, checked and staged.
 
-    A feed that cannot be read, or whose first page is missing, contributes no rows and does not
-    stop the others. One that is incomplete (unreadable or missing pages) is used and its faults
-    are logged; only complete feeds are kept, as Parquet under ``keep/<feed name>``.
+    Each feed is a job of its own and all run side by side. A feed that fails, be it while its rows are
+    read, or whose first page is missing, contributes no rows and does not stop the others. One that
+    is incomplete (unreadable or missing pages) is used and its faults are logged; only complete feeds
+    are kept, as Parquet under ``keep/<feed name>``.
     """
-    union = spark.createDataFrame([], CHECKED_SCHEMA)
-    for rank, feed in enumerate(feeds):
-        path = f"{root}/{feed.name}"
-        try:
-            status = feed.status(spark, path, multi_line)
-            found = status.first()
-            rows = checked_feed(spark, feed, rank, path, now, multi_line)
-        except AnalysisException as failure:
-            log.error("feed %s skipped: %s", feed.name, failure.getCondition())
-            continue
-        if not found["started"]:
-            log.error("feed %s skipped: its first page is missing or unreadable", feed.name)
-            continue
-        if not found["complete"]:
-            log.warning("feed %s is incomplete: %s", feed.name, found.asDict())
-        elif keep is not None:
-            keep_if_whole(rows, status, f"{keep}/{feed.name}")
-        union = union.unionByName(rows)
-    return union
+
+    def one(ranked: tuple[int, Feed]) -> DataFrame | None:
+        rank, feed = ranked
+        return _read_feed(spark, feed, rank, f"{root}/{feed.name}", now, multi_line, keep)
+
+    with ThreadPoolExecutor(max(1, len(feeds))) as pool:
+        staged = [rows for rows in pool.map(one, enumerate(feeds)) if rows is not None]
+    return reduce(DataFrame.unionByName, staged, spark.createDataFrame([], CHECKED_SCHEMA))

@@ -51,6 +51,19 @@ def document_status(docs: DataFrame, announced: Column | None = None) -> DataFra
     return shown.withColumn("complete", whole & (F.col("pages") >= F.col("total_pages"))).drop("_bare", "_readable", "_first")
 
 
+def count_documents(docs: DataFrame, flag: Column, other: str) -> DataFrame:
+    """Documents for which a flag on ``_broken`` holds. Spark refuses to read that column alone, so a
+    second one is read with it."""
+    return docs.agg(F.greatest(F.count_if(flag), -F.count(other)).alias("n"))
+
+
+def single_page(docs: DataFrame) -> DataFrame:
+    """A single readable document without a page number is page 0, as :func:`document_status` has it."""
+    readable = count_documents(docs, F.col(BROKEN).isNull(), "page_no").scalar()
+    bare = F.col(BROKEN).isNull() & F.col("page_no").isNull() & (readable == 1)
+    return docs.withColumn("page_no", F.when(bare, 0).otherwise(F.col("page_no")))
+
+
 def pages_for_rows(total_rows: Column, page_size: int) -> Column:
     """Announced pages of a feed that announces rows."""
     return F.greatest(F.ceil(total_rows / F.lit(page_size)), F.lit(1))

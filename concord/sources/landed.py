@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concord.schema import POSITION
 
 #: Column with the text of a document that could not be read, else null.
 BROKEN = "_broken"
@@ -25,21 +26,18 @@ def read_json(
     return reader.option("multiLine", multi_line).json(path)
 
 
-def row_number_of(page: Column, position: Column, inner: Column | None = None) -> Column:
-    """Place of a record in its feed, from page and position alone.
-
-    Up to 2^24 positions per page and 2^14 inner positions.
-    """
-    at = F.shiftleft(F.coalesce(page, F.lit(0)).cast("bigint"), 38)
-    at = at + F.shiftleft(position.cast("bigint"), 14)
-    return at if inner is None else at + inner.cast("bigint")
+def place(page: Column, position: Column, inner: Column | None = None) -> Column:
+    """Place of a record in its feed (``POSITION``), ordered as it reads: page, then position, then
+    the place in a list of the record. A document without a page number is page 0."""
+    parts = (F.coalesce(page, F.lit(0)), position, F.lit(0) if inner is None else inner)
+    return F.struct(*[c.cast("bigint").alias(n) for c, n in zip(parts, POSITION.names, strict=True)])
 
 
 def exploded(pages: DataFrame, records: Column) -> DataFrame:
     """One row per record of each page, ``r`` and its ``row_no``; nulls are skipped."""
     page = F.col("page_no")
     rows = pages.select(page, F.posexplode(records).alias("_at", "r")).filter(F.col("r").isNotNull())
-    return rows.select("r", row_number_of(page, F.col("_at")).alias("row_no"))
+    return rows.select("r", place(page, F.col("_at")).alias("row_no"))
 
 
 def merge_maps_last_wins(maps: Column) -> Column:

@@ -12,7 +12,7 @@ from concord.functions.times import is_stale, unix_time, unless_stale
 from concord.operators.dedup import last_per_key
 from concord.operators.validate import validate
 from concord.schema import RAW_SCHEMA, RATE
-from concord.sources.landed import merge_maps_last_wins, read_json
+from concord.sources.landed import merge_maps_last_wins, place, read_json
 
 # --- FX rates ------------------------------------------------------------------------
 
@@ -251,7 +251,7 @@ def enrichment_rows(found: DataFrame, fields: dict, feed: str, rank: int) -> Dat
     that fail are dropped, the group stays."""
     raw = {**fields, "share_class_figi": F.col("share_class_figi")}
     tagged = found.withColumns(
-        {"feed": F.lit(feed), "feed_rank": F.lit(rank), "row_no": F.lit(0).cast("bigint")}
+        {"feed": F.lit(feed), "feed_rank": F.lit(rank), "row_no": place(F.lit(0), F.lit(0))}
     )
     checked = validate(tagged, raw, counters=f"checked {feed}")
     return checked.filter(F.size("errors") == 0).select(*RAW_SCHEMA.names)

@@ -277,15 +277,15 @@ def test_dollar_amounts(spark):
 def test_validation_tells_null_from_rejection(spark):
     row = {f: None for f in RAW_SCHEMA.names}
     rows = [
-        row | {"row_no": 1, "name": "u.s. Steel-Co", "symbol": " x  y.b ", "analyst_rating": "Strong_Sell", "mics": []},
-        row | {"row_no": 2, "name": "A", "symbol": "B", "last_price": D(1)},
-        row | {"row_no": 3, "name": "...", "symbol": "B"},
-        row | {"row_no": 4, "name": "A", "symbol": "B", "currency": "GBp", "market_cap": D(-1)},
-        row | {"row_no": 5, "name": "A", "symbol": "B", "isin": "US1", "cik": "..", "mics": ["XNYS", "bad mic"]},
-        row | {"row_no": 6, "name": "A", "symbol": "B", "share_class_figi": FIGI.lower(), "cik": "7", "ebitda": D(-3), "currency": "eur"},
+        row | {"row_no": (0, 1, 0), "name": "u.s. Steel-Co", "symbol": " x  y.b ", "analyst_rating": "Strong_Sell", "mics": []},
+        row | {"row_no": (0, 2, 0), "name": "A", "symbol": "B", "last_price": D(1)},
+        row | {"row_no": (0, 3, 0), "name": "...", "symbol": "B"},
+        row | {"row_no": (0, 4, 0), "name": "A", "symbol": "B", "currency": "GBp", "market_cap": D(-1)},
+        row | {"row_no": (0, 5, 0), "name": "A", "symbol": "B", "isin": "US1", "cik": "..", "mics": ["XNYS", "bad mic"]},
+        row | {"row_no": (0, 6, 0), "name": "A", "symbol": "B", "share_class_figi": FIGI.lower(), "cik": "7", "ebitda": D(-3), "currency": "eur"},
     ]
     df = validate(spark.createDataFrame([[r[f] for f in RAW_SCHEMA.names] for r in rows], RAW_SCHEMA))
-    got = {r["row_no"]: r for r in df.collect()}
+    got = {r["row_no"]["position"]: r for r in df.collect()}
     assert {k: r["errors"] for k, r in got.items()} == {
         1: [],
         2: ["currency"],
@@ -298,7 +298,7 @@ def test_validation_tells_null_from_rejection(spark):
     assert (got[6]["cik"], got[6]["currency"], got[6]["share_class_figi"]) == ("0000000007", "EUR", FIGI)
     assert accepted(df).count() == 2 and quarantined(df).count() == 4
     assert {r["field"]: r["n"] for r in error_counts(df).collect()} == {"currency": 2, "name": 1, "market_cap": 1, "isin": 1, "cik": 1, "mics": 1}
-    assert [r["row_no"] for r in revalidated(df.drop("errors")).collect()] == [6]
+    assert [r["row_no"]["position"] for r in revalidated(df.drop("errors")).collect()] == [6]
 
 
 def test_stream_replays_change_nothing(spark, prices, tmp_path):

@@ -1,5 +1,6 @@
 """Landed documents of every feed, from made-up files to checked records."""
 
+import dataclasses
 import json
 import os
 from datetime import datetime, timezone
@@ -258,7 +259,7 @@ def test_faulty_pages_are_seen(spark, tmp_path):
     put("screener", json.dumps({"page_no": 0, "data": {"data": [{"s": "S", "n": "S corp"}]}}), json.dumps({"data": {"data": []}}))
     put("sec", json.dumps({"data": [[5, "Only", "ONL", "NYSE"]]}))
     status = {
-        f.name: f.status(spark, str(tmp_path / f.name)).first().asDict()
+        f.name: f.status(f.documents(spark, str(tmp_path / f.name))).first().asDict()
         for f in feeds.DISCOVERY_FEEDS
         if (tmp_path / f.name).exists()
     }
@@ -277,6 +278,76 @@ def test_faulty_pages_are_seen(spark, tmp_path):
     assert [p.name for p in (tmp_path / "kept").iterdir()] == ["sec"]
 
 
+def lseg_page(rows, **more):
+    part = {"name": "priceexplorersearch", "value": {"totalPages": 1, "content": rows}}
+    return {"components": [{"type": "price-explorer", "content": [part]}], **more}
+
+
+def test_a_single_document_needs_no_page_number(spark, tmp_path):
+    rows = [{"issuername": "One plc", "tidm": "ONE", "isin": "GB0000000017", "currency": "USD"}]
+    got, good = checked(spark, "lseg", land(tmp_path / "lseg", lseg_page(rows)))
+    assert set(good) == {"ONE"}
+    two = land(tmp_path / "two", lseg_page(rows), lseg_page(rows, page_no=0))
+    feed = next(f for f in feeds.DISCOVERY_FEEDS if f.name == "lseg")
+    assert feed.status(feed.documents(spark, two)).first()["unnumbered"] == 1
+    assert len(checked(spark, "lseg", two)[0]) == 1
+
+
+def intrinio(root, securities, quotes):
+    land(root / "companies", {"page_no": 0, "companies": [{"ticker": "AA", "name": "Aa"}, {"ticker": "BB", "name": "Bb"}, {"ticker": "AA", "name": "Again"}]})
+    land(root / "securities", *securities)
+    land(root / "quotes", *quotes)
+    return str(root)
+
+
+def securities_document(ticker, n, currency="USD", symbol="S"):
+    listed = [{"ticker": f"{symbol}{i}", "share_class_figi": f"BBG{ticker}{i:07d}", "currency": currency} for i in range(n)]
+    return {"company_ticker": ticker, "company": {"ticker": ticker, "name": f"{ticker} corp"}, "securities": listed}
+
+
+def test_positions_have_no_bounds(spark, tmp_path):
+    n = 16_500  # more than once fitted beside the next company's
+    path = intrinio(tmp_path / "i", [securities_document("AA", n), securities_document("BB", 2, symbol="T")], [])
+    rows, _ = checked(spark, "intrinio", path)
+    places = [tuple(r["row_no"]) for r in rows]
+    assert len(rows) == n + 2 and len(set(places)) == n + 2 and places == sorted(places)
+    assert places[n - 1 :] == [(0, 0, n - 1), (0, 1, 0), (0, 1, 1)]
+
+
+def test_repeated_documents_multiply_nothing(spark, tmp_path):
+    quote = {"share_class_figi": "BBGAA0000000", "quote": {"last": 5, "last_time": "2026-03-10T08:00:00Z"}}
+    newer = {"share_class_figi": "BBGAA0000000", "quote": {"last": 7, "last_time": FRESH}}
+    path = intrinio(tmp_path / "i", [securities_document("AA", 2)] * 3, [newer, quote, newer, {"share_class_figi": None, "quote": None}])
+    rows, good = checked(spark, "intrinio", path)
+    assert len(rows) == 2 and good["S0"]["last_price"] == 7 and good["S1"]["last_price"] is None
+
+
+@pytest.mark.parametrize("part", ["securities", "quotes"])
+def test_every_folder_is_gated(spark, tmp_path, part):
+    path = intrinio(tmp_path / "in" / "intrinio", [securities_document("AA", 1)], [{"share_class_figi": "BBGAA0000000", "quote": {"last": 5, "last_time": FRESH}}])
+    with (tmp_path / "in" / "intrinio" / part / "part.json").open("a") as f:
+        f.write('\n{"company_ticker": "BB", "share_cl')
+    feed = feeds.DISCOVERY_FEEDS[-1]
+    status = feed.status(feed.documents(spark, path)).first()
+    assert (status["unreadable"], status["started"], status["complete"]) == (1, True, False)
+    rows = feeds.read_discovery(spark, str(tmp_path / "in"), now(), keep=str(tmp_path / "kept"))
+    assert rows.count() == 1 and not (tmp_path / "kept").exists()
+
+
+def test_a_feed_that_fails_while_it_is_read_stops_no_other(spark, tmp_path, caplog):
+    land(tmp_path / "sec", {"data": [[5, "Only", "ONL", "NYSE"]]})
+    land(tmp_path / "screener", {"data": {"data": [{"s": "S", "n": "S corp"}]}})
+    sound = {f.name: f for f in feeds.DISCOVERY_FEEDS}
+
+    def failing(at):
+        return {"name": F.raise_error(F.lit("a task broke")).cast("string"), "symbol": F.col("r.s")}
+
+    broken = dataclasses.replace(sound["screener"], fields=failing)
+    rows = feeds.read_discovery(spark, str(tmp_path), now(), [broken, sound["sec"]]).collect()
+    assert [r["feed"] for r in rows] == ["sec"]
+    assert "feed screener skipped" in caplog.text and "a task broke" in caplog.text
+
+
 def test_newest_rates_document_wins(spark, tmp_path):
     for i, rate in enumerate(("0.9", "0.8")):
         path = tmp_path / "rates" / f"{1 - i}.json"
