@@ -27,13 +27,13 @@ SCORE_CUTOFF = 70.0
 SAME_ROOT_SCORE = 100.0
 
 
-def leaders_of(values, threshold: float, known=()) -> list[str]:
-    """First-come leaders: a value that matches no earlier leader becomes one."""
-    leaders = list(known)
-    for value in values:
-        if leader_index(value, leaders, threshold) is None:
-            leaders.append(value)
-    return leaders
+def leaders_of(values, threshold: float) -> list[int]:
+    """Places of the first-come leaders: a value that matches no earlier leader becomes one."""
+    places: list[int] = []
+    for place, value in enumerate(values):
+        if leader_index(value, [values[k] for k in places], threshold) is None:
+            places.append(place)
+    return places
 
 
 def leader_index(value: str, leaders, threshold: float) -> int | None:

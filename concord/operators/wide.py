@@ -2,8 +2,8 @@
 
 No group is ever collected. Equal values are counted before the shuffle, so copies of a
 hot key's values collapse where they lie; medians are picked from sorted ranges
-(:mod:`concord.operators.ranks`); name clusters are built in rounds of a bounded number
-of leaders. Results equal those of the array rules.
+(:mod:`concord.operators.ranks`); name clusters come from a similarity join
+(:mod:`concord.operators.clusters`). Results equal those of the array rules.
 """
 
 from __future__ import annotations
@@ -11,22 +11,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from concord.functions.fuzzy import NAME_THRESHOLD, leader_index, leaders_of
-from concord.functions.text import is_blank
 from concord.operators import ranks, votes
+from concord.operators.clusters import fuzzy_wide
 from concord.operators.golden import MIN_CONSISTENT, PriceRange, Rule, Strategy
 from concord.session import stage
 
-#: Spellings per group that the first clustering round looks at for new leaders; later
-#: rounds look at twice as many each, up to the bound.
-LEADERS_PER_ROUND = 64
-MAX_LEADERS_PER_ROUND = 1_000
-
 
 def mode_wide(df: DataFrame, group: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
     """Mode with ties to the first seen (then to the smaller value), as column ``mode`` (and ``sources``)."""
@@ -82,70 +74,6 @@ def union_wide(df: DataFrame, group: Sequence[str], value: str, order: Sequence[
     return first.groupBy(*group).agg(F.transform(ordered, lambda s: s["_item"]).alias("merged"))
 
 
-def fuzzy_wide(
-    df: DataFrame,
-    group: Sequence[str],
-    value: str,
-    order: Sequence[str],
-    threshold: float = NAME_THRESHOLD,
-    per_round: int = LEADERS_PER_ROUND,
-) -> DataFrame:
-    """Leader-clustered vote as column ``chosen`` (and ``sources``).
-
-    Each round takes the earliest undecided spellings of a group (a bounded number),
-    finds the leaders among them, and offers those leaders to all undecided spellings of
-    the group in parallel. A spelling joins the first leader it matches, exactly as if
-    all were visited one by one.
-    """
-    group = list(group)
-    spelled = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).alias("_text"))
-        .agg(F.count(F.lit(1)).alias("_votes"), F.min(F.struct(*order)).alias("_seen"))
-    )
-    pending = stage(spelled, "spellings")
-    totals = pending.groupBy(*group).agg(F.sum("_votes").alias("sources"))
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def new_leaders(heads: pd.Series) -> pd.Series:
-        return pd.Series([leaders_of(h, threshold) for h in heads])
-
-    @F.pandas_udf(T.IntegerType())
-    def joins(text: pd.Series, leaders: pd.Series) -> pd.Series:
-        found = [leader_index(t, l, threshold) for t, l in zip(text, leaders)]
-        return pd.Series(found, dtype="Int32")
-
-    spot = F.row_number().over(Window.partitionBy(*group).orderBy("_seen", "_text"))
-    worded = ~is_blank(F.col("_text"))
-    clusters = []
-    while not pending.isEmpty():
-        heads = (
-            pending.withColumn("_spot", spot)
-            .filter(F.col("_spot") <= per_round)
-            .groupBy(*group)
-            .agg(F.sort_array(F.collect_list(F.struct("_spot", "_text"))).alias("_heads"))
-        )
-        texts = F.transform("_heads", lambda h: h["_text"])
-        leaders = heads.select(*group, new_leaders(texts).alias("_leaders"))
-        tried = pending.join(stage(leaders, "leaders"), group, "inner")
-        tried = stage(tried.withColumn("_at", joins("_text", "_leaders")), "clustered")
-        hit = tried.filter(F.col("_at").isNotNull())
-        clusters.append(
-            hit.groupBy(*group, F.get("_leaders", F.col("_at")).alias("_leader")).agg(
-                F.sum(F.when(worded, F.col("_votes") * F.col("_votes")).otherwise(F.col("_votes"))).alias("_weight"),
-                F.min("_seen").alias("_first"),
-            )
-        )
-        pending = tried.filter(F.col("_at").isNull()).drop("_leaders", "_at")
-        per_round = max(per_round, min(2 * per_round, MAX_LEADERS_PER_ROUND))
-    if not clusters:
-        return totals.withColumn("chosen", F.lit(None).cast("string"))
-    every = reduce(DataFrame.unionByName, clusters)
-    best = F.min(F.struct((-F.col("_weight")).alias("w"), "_first", "_leader"))
-    chosen = every.groupBy(*group).agg(best["_leader"].alias("chosen"))
-    return chosen.join(totals, group, "inner")
-
-
 def _long(df: DataFrame, key: str, fields: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per non-null cell: ``key, field, order..., value``."""
     cells = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields]))

@@ -499,12 +499,31 @@ SELECT p_brand, first(leader ORDER BY w DESC, o) AS name, sum(n)::BIGINT AS sour
 """,
 )
 def fuzzy_name_vote_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Name vote of whole brands, clustered in rounds."""
+    """Name vote of whole brands."""
     parts = table(spark, sf_dir, "part")
     voted = wide.fuzzy_wide(parts, ["p_brand"], "p_name", ["p_partkey"])
     return voted.select("p_brand", F.col("chosen").alias("name"), "sources")
 
 
+def all_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kind, key, name`` of every customer, supplier and part."""
+
+    def named(kind: str, key: str, name: str) -> DataFrame:
+        return table(spark, sf_dir, kind).select(F.lit(kind).alias("kind"), F.col(key).alias("key"), F.col(name).alias("name"))
+
+    both = named("customer", "c_custkey", "c_name").unionByName(named("supplier", "s_suppkey", "s_name"))
+    return both.unionByName(named("part", "p_partkey", "p_name"))
+
+
+@query("fuzzy_names_one_group")
+def fuzzy_names_one_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name vote over all names as one group. The leader rule has no SQL form; a test visits the
+    names one by one instead."""
+    names = all_names(spark, sf_dir).withColumn("everyone", F.lit(1))
+    voted = wide.fuzzy_wide(names, ["everyone"], "name", ["kind", "key"])
+    return voted.select(F.col("chosen").alias("name"), "sources")
+
+
 @query(
     "golden_wide",
     """

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import types as T
 
 from concord.functions.fuzzy import heaviest_leader
-from concord.operators import golden, ranks, wide
+from concord.functions.similarity import token_set_ratio
+from concord.operators import clusters, golden, ranks, wide
 from concord.operators.golden import FUZZY, MODE, PAIR, SINGLE, TIGHT_PAIR, UNION, PriceRange
 from concord.schema import AMOUNT
 
@@ -199,13 +200,54 @@ def test_merge_is_the_same_at_every_group_size(spark, limit):
         assert r["w"] == expected_median([x["w"] for x in mine], PAIR)
 
 
-def test_clustering_rounds_do_not_change_the_vote(spark):
+def made_up_names(rng, n):
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "inc", "corp", "of", "the", "a", "international", "holdings"]
+    out = []
+    for _ in range(n):
+        chosen = [rng.choice(words) for _ in range(rng.randint(1, 5))]
+        text = list(" ".join(chosen))
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):  # slips of the pen, within and between words
+            at = rng.randrange(len(text) + 1)
+            text[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "e", " ", "é"])
+        out.append("".join(text))
+    return out + ["", " ", "  ", "", "x\u00a0y", "y x", "a\x1cb", "b a"]
+
+
+def test_clusters_equal_the_leader_rule(spark):
     rng = random.Random(9)
-    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa"]
-    texts = [" ".join(rng.sample(words, rng.randint(1, 4))) for _ in range(300)]
-    df = spark.createDataFrame([("g", i, t) for i, t in enumerate(texts)], "g string, o int, t string")
-    picked = wide.fuzzy_wide(df, ["g"], "t", ["o"], per_round=3).first()
-    assert (picked["chosen"], picked["sources"]) == (heaviest_leader(texts, 90), 300)
+    rows = [(g, i, t) for g, n in (("g", 700), (None, 60), ("h", 1)) for i, t in enumerate(made_up_names(rng, n))]
+    df = spark.createDataFrame(rows + [("z", 1, None)], "g string, o int, t string")
+    want = {g: [t for h, _, t in rows if h == g] for g in ("g", None, "h")}
+    for heads in (1, 64):
+        got = {r["g"]: (r["chosen"], r["sources"]) for r in clusters.fuzzy_wide(df, ["g"], "t", ["o"], heads=heads).collect()}
+        assert got == {g: (heaviest_leader(texts, 90), len(texts)) for g, texts in want.items()}
+
+
+def test_all_names_in_one_group(spark):
+    from concord.queries import REGISTRY
+    from concord.queries.merging import all_names
+
+    sf = "/root/testdata/sf0.001"
+    names = [r["name"] for r in all_names(spark, sf).orderBy("kind", "key").collect()]
+    got = REGISTRY["fuzzy_names_one_group"].build(spark, sf).first()
+    assert (got["name"], got["sources"]) == (heaviest_leader(names, 90), len(names))
+
+
+@pytest.mark.parametrize("threshold", [70, 80, 90, 97])
+def test_no_match_is_missed(spark, threshold):
+    texts = sorted(set(made_up_names(random.Random(threshold), 250)))
+    df = spark.createDataFrame([("g", i, t) for i, t in enumerate(texts)], "g string, id long, text string")
+    nodes = df.withColumn("p", clusters._parts("text")).select("g", "id", "text", "p.*")
+    pairs = {(r["a"], r["b"]) for r in clusters.candidates(nodes, threshold).select("a", "b").collect()}
+    want = {(i, j) for j, t in enumerate(texts) for i in range(j) if token_set_ratio(texts[i], t) >= threshold}
+    assert want <= pairs and len(want) > 20
+    assert len(pairs) < len(texts) ** 2 / (4 if threshold >= 90 else 2)
+
+
+def test_leaders_are_peeled_in_order(spark):
+    edges = [(i, i + 1) for i in range(9)] + [(20, 21), (20, 22), (21, 22), (30, 32), (31, 32)]
+    led = clusters.peeled(spark.createDataFrame(edges, "early long, late long")).collect()
+    assert {r["late"]: r["leader"] for r in led} == {1: 0, 3: 2, 5: 4, 7: 6, 9: 8, 21: 20, 22: 20, 32: 30}
 
 
 def test_name_vote_weighs_copies_by_their_square():
