@@ -76,9 +76,9 @@ class Feed:
     #: Joins what belongs to a record only after equal ones are gone.
     complete: Callable[..., DataFrame] | None = None
 
-    def documents(self, spark: SparkSession, path: str, multi_line: bool = False, streaming: bool = False) -> list[DataFrame]:
+    def documents(self, spark: SparkSession, path: str, multi_line: bool = False, **streaming) -> list[DataFrame]:
         parts = [(f"{path}/{folder}", schema) for folder, schema in self.parts] or [(path, self.page)]
-        return [read_json(spark, at, schema, multi_line, streaming) for at, schema in parts]
+        return [read_json(spark, at, schema, multi_line, **streaming) for at, schema in parts]
 
     def status(self, docs: Sequence[DataFrame]) -> DataFrame:
         """What has landed of the feed (:func:`concord.sources.gates.document_status`), over all its

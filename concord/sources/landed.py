@@ -17,12 +17,19 @@ BROKEN = "_broken"
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: str, multi_line: bool = False, streaming: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    multi_line: bool = False,
+    streaming: bool = False,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """Documents with the columns of ``schema`` and ``_broken``, so that a truncated document is
     seen by the gates (:func:`concord.sources.gates.document_status`) and not lost."""
     reader = spark.readStream if streaming else spark.read
     reader = reader.schema(f"{schema}, {BROKEN} STRING").option("columnNameOfCorruptRecord", BROKEN)
+    if streaming and files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.option("multiLine", multi_line).json(path)
 
 

@@ -53,26 +53,34 @@ def merge_batches(
     reports: str,
     merge_batch: Callable[[DataFrame], DataFrame] = merge,
     snapshot_date: datetime.date | str | None = None,
+    buckets: int = 64,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` sink: merge *all* of the day's reports on a batch's keys and upsert them.
 
     A key's reports may come in several batches, so a batch is first added to the reports under
-    the folder ``reports`` (one partition per day and batch), and every key that it touches is
-    merged again from all batches up to this one. A replayed batch replaces its own partition and
-    writes the same rows over the same keys, so it changes nothing. Rows without a key are kept
-    with the reports and merged with nothing.
+    the folder ``reports`` (by day, batch and bucket of the key), and every key that it touches is
+    merged again from all batches up to this one. Only the folders of the buckets it touches are
+    opened, so the work follows the batch's keys and not the day's reports. A replayed batch replaces
+    its own folder and writes the same rows over the same keys, so it changes nothing. Rows without
+    a key are kept with the reports and merged with nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         day = str(snapshot_date or utc_date())
         folder = f"{reports}/day={day}"
-        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        bucket = F.pmod(F.xxhash64(store.key), F.lit(buckets)).cast("int")
+        placed = batch.withColumn("key_bucket", bucket)
+        placed.write.mode("overwrite").partitionBy("key_bucket").parquet(f"{folder}/batch={batch_id}")
         spark = batch.sparkSession
-        kept = spark.read.schema(T.StructType([*batch.schema, T.StructField("batch", T.LongType())])).parquet(folder)
-        known = kept.filter((F.col("batch") <= batch_id) & F.col(store.key).isNotNull())
-        touched = known.filter(F.col("batch") == batch_id).select(store.key).distinct()
-        if not touched.isEmpty():
-            store.save(merge_batch(known.join(touched, store.key, "left_semi").drop("batch")), day)
+        added = [T.StructField("batch", T.LongType()), T.StructField("key_bucket", T.IntegerType())]
+        reader = spark.read.schema(T.StructType([*batch.schema, *added])).option("basePath", folder)
+        own = reader.parquet(f"{folder}/batch={batch_id}").filter(F.col(store.key).isNotNull())
+        touched = own.select(store.key).distinct()
+        opened = sorted(r[0] for r in own.select("key_bucket").distinct().collect())  # at most ``buckets``
+        if opened:
+            kept = reader.parquet(f"{folder}/batch=*/key_bucket={{{','.join(map(str, opened))}}}")
+            known = kept.filter((F.col("batch") <= batch_id) & F.col(store.key).isNotNull())
+            store.save(merge_batch(known.join(touched, store.key, "left_semi").drop("batch", "key_bucket")), day)
 
     return write
 
