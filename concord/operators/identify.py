@@ -76,17 +76,25 @@ def responses_to_lookup(
     return queries.join(records, keys, "inner").drop(*keys)
 
 
+def unique_lookup(lookup: DataFrame) -> DataFrame:
+    """One answer per key: one with an id before one without, then the largest. Repeated keys would
+    multiply the rows that ask for them."""
+    answer = F.max(F.struct("found_figi", "found_name", "found_symbol")).alias("a")
+    return lookup.groupBy("id_type", "id_value").agg(answer).select("id_type", "id_value", "a.*")
+
+
 def identify(
     df: DataFrame, lookup: DataFrame, counters: str | Observation | None = None
 ) -> DataFrame:
     """Rows with the id, and the lookup's name and symbol where it has them.
 
-    ``lookup``: ``id_type, id_value, found_name, found_symbol, found_figi``. Rows without
+    ``lookup``: ``id_type, id_value, found_name, found_symbol, found_figi``, one answer of each key
+    (:func:`unique_lookup`). Rows without
     an id are dropped; ``counters`` observes how many were identified and how many not.
     The lookup grows with the data, so the join is left to the optimizer; adaptive skew
     splitting handles a hot query key.
     """
-    joined = with_query_key(df).join(lookup, ["id_type", "id_value"], "left")
+    joined = with_query_key(df).join(unique_lookup(lookup), ["id_type", "id_value"], "left")
     found = F.col("found_figi").isNotNull()
     if counters is not None:
         joined = joined.observe(

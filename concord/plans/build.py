@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from concord.operators.enrich import append_rows, find_quotes, lei_rows
 from concord.operators.fx import to_usd
 from concord.operators.golden import identifiers, merge
-from concord.operators.identify import identify, no_lookup
+from concord.operators.identify import identify, no_lookup, queries_of
 from concord.operators.validate import accepted, revalidated
+from concord.plans.lookup import CachedLookup
 from concord.plans.store import Store
 from concord.schema import CANONICAL_SCHEMA, FINANCIAL_FIELDS, IDENTITY_FIELDS
 from concord.session import stage
@@ -54,11 +55,12 @@ def lei_feed(isin_lei: DataFrame) -> EnrichmentFeed:
 
 @dataclass(frozen=True)
 class Inputs:
-    """Frames the build reads. Leaving an optional one out contributes no rows."""
+    """Frames the build reads. Leaving an optional one out contributes no rows. ``lookup`` is a frame of
+    answers, or a cache that asks for what it does not know."""
 
     raw: DataFrame
     rates: DataFrame
-    lookup: DataFrame | None = None
+    lookup: DataFrame | CachedLookup | None = None
     enrichment: Sequence[EnrichmentFeed] = ()
 
 
@@ -97,10 +99,14 @@ def from_payloads(rows: DataFrame) -> DataFrame:
     )
 
 
-def identified_rows(inputs: Inputs) -> DataFrame:
+def identified_rows(inputs: Inputs, now: Column) -> DataFrame:
     """Validated rows in dollars with their global id; both steps observe their counts."""
     dollars = to_usd(accepted(inputs.raw), inputs.rates, counters="converted")
-    lookup = no_lookup(dollars) if inputs.lookup is None else inputs.lookup
+    if isinstance(inputs.lookup, CachedLookup):
+        dollars = stage(dollars, "dollars")
+        lookup = inputs.lookup.resolve(queries_of(dollars), now)
+    else:
+        lookup = no_lookup(dollars) if inputs.lookup is None else inputs.lookup
     return identify(dollars, lookup, counters="identified")
 
 
@@ -116,7 +122,7 @@ def enrichment_of(ids: DataFrame, inputs: Inputs, now: Column) -> list[DataFrame
 def build(inputs: Inputs, now: Column | None = None) -> DataFrame:
     """Canonical rows. The identified rows feed several passes, so they are staged once."""
     now = F.current_timestamp() if now is None else now
-    rows = stage(identified_rows(inputs), "identified")
+    rows = stage(identified_rows(inputs, now), "identified")
     extra = []
     if inputs.enrichment:
         ids = stage(identifiers(rows), "identifiers")

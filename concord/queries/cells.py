@@ -106,40 +106,43 @@ def ratio_sql(a: str, b: str) -> str:
     return f"200.0 * {common_sql(a, b)} / (length({a}) + length({b}))"
 
 
-# Names are single words of similar length, for which the weighted ratio is the plain one.
+# Without their sign the names are single words of equal length, for which the weighted ratio is
+# the plain one. Suppliers take turns, so every customer is scored.
 
 
 @query(
     "candidate_score",
     f"""
 WITH pairs AS (
-  SELECT s_suppkey, 'ab' || chr(97 + s_nationkey % 5) || chr((97 + s_suppkey % 7)::INT) AS symbol,
+  SELECT c_custkey, 'ab' || chr(97 + s_nationkey % 5) || chr((97 + s_suppkey % 7)::INT) AS symbol,
          'ab' || chr(97 + c_nationkey % 5) || chr((97 + c_custkey % 7)::INT) AS expected,
-         'supplier' || s_nationkey AS name, 'supplyer' || c_nationkey AS expected_name
-  FROM supplier JOIN customer ON s_suppkey = c_custkey
+         lower(replace(s_name, '#', '')) AS name, lower(replace(c_name, '#', '')) AS expected_name
+  FROM customer JOIN supplier ON s_suppkey = (c_custkey - 1) % (SELECT count(*) FROM supplier) + 1
 ),
 scored AS (
-  SELECT s_suppkey, CASE WHEN symbol = expected THEN 100.0 ELSE {ratio_sql("symbol", "expected")} END AS by_symbol,
+  SELECT c_custkey, CASE WHEN symbol = expected THEN 100.0 ELSE {ratio_sql("symbol", "expected")} END AS by_symbol,
          {ratio_sql("name", "expected_name")} AS by_name FROM pairs
 )
-SELECT s_suppkey, CASE WHEN by_symbol >= 70 AND by_name >= 70 THEN by_symbol + by_name ELSE 0 END::DOUBLE AS score FROM scored
+SELECT c_custkey, CASE WHEN by_symbol >= 70 AND by_name >= 70 THEN by_symbol + by_name ELSE 0 END::DOUBLE AS score FROM scored
 """,
 )
 def candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Symbol and name scores of each supplier against the customer with its number."""
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    joined = table(spark, sf_dir, "supplier").join(customers, F.col("s_suppkey") == F.col("c_custkey"))
+    """Symbol and name scores of every customer against one of the suppliers."""
+    suppliers = table(spark, sf_dir, "supplier")
+    turn = (F.col("c_custkey") - 1) % suppliers.agg(F.count(F.lit(1))).scalar() + 1
+    customers = table(spark, sf_dir, "customer").withColumn("turn", turn)
+    joined = customers.join(suppliers, F.col("s_suppkey") == F.col("turn"))
 
     def ticker(nation: str, key: str) -> Column:
         return F.concat(F.lit("AB"), F.char(65 + F.col(nation) % 5), F.char(65 + F.col(key) % 7))
 
     score = candidate_score(
         ticker("s_nationkey", "s_suppkey"),
-        F.concat(F.lit("Supplier"), "s_nationkey", F.lit("! ")),
+        F.concat(F.replace("s_name", F.lit("#"), F.lit("")), F.lit("! ")),
         ticker("c_nationkey", "c_custkey"),
-        F.concat(F.lit("Supplyer"), "c_nationkey"),
+        F.replace("c_name", F.lit("#"), F.lit("")),
     )
-    return joined.select("s_suppkey", score.alias("score"))
+    return joined.select("c_custkey", score.alias("score"))
 
 
 @query(

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.operators import fx
-from concord.operators.identify import identify
+from concord.operators.identify import identify, no_lookup
 from concord.operators.validate import accepted, error_counts, quarantined, revalidated, validate
 from concord.plans import build, report
+from concord.plans.lookup import CachedLookup
 from concord.plans.store import Store, ttl_seconds
 from concord.schema import AMOUNT, CANONICAL_SCHEMA, RAW_SCHEMA
 from concord.sources import reference
@@ -95,6 +96,35 @@ def test_build_without_enrichment_or_lookup(inputs):
     assert build.build(bare, now()).count() == 0
 
 
+def test_only_unknown_keys_are_asked_for(spark, inputs, canonical, tmp_path):
+    asked = []
+
+    def ask(queries):
+        asked.append(sorted((r["id_type"], r["id_value"]) for r in queries.collect()))
+        return queries.join(inputs.lookup.union(inputs.lookup), ["id_type", "id_value"]).drop("security_type")
+
+    cached = CachedLookup(spark, str(tmp_path / "ids"), ask, ttl=3600)
+    with_cache = build.Inputs(inputs.raw, inputs.rates, cached, inputs.enrichment)
+    for _ in range(2):
+        assert sorted(map(str, build.build(with_cache, now()).collect())) == sorted(map(str, canonical.collect()))
+    assert asked == [[("ID_ISIN", "US0000000019"), ("TICKER", "ACME"), ("TICKER", "LOST"), ("TICKER", "OTHR")], [("TICKER", "LOST")]]
+    assert cached.entries().count() == 3
+    build.build(with_cache, F.lit("2026-03-10 14:00:00").cast("timestamp")).collect()
+    assert len(asked[2]) == 4  # two hours later all have expired
+
+
+def test_nothing_found_is_not_kept(spark, tmp_path):
+    queries = spark.createDataFrame([("TICKER", "A", "Common Stock")], "id_type string, id_value string, security_type string")
+    down = CachedLookup(spark, str(tmp_path / "ids"), lambda q: no_lookup(q))
+    assert down.resolve(queries, now()).count() == 0 and down.entries().isEmpty()
+
+
+def test_repeated_lookup_keys_multiply_nothing(spark):
+    lookup = spark.createDataFrame([("TICKER", "A", "n", "s", None), ("TICKER", "A", "n", "s", FIGI), ("TICKER", "A", "n", "s", FIGI)], "id_type string, id_value string, found_name string, found_symbol string, found_figi string")
+    rows = spark.createDataFrame([(None, None, "A", "name", None)], "isin string, cusip string, symbol string, name string, share_class_figi string")
+    assert [r["share_class_figi"] for r in identify(rows, lookup).collect()] == [FIGI]
+
+
 def test_stage_counters(spark, inputs):
     converted, identified = Observation("c"), Observation("i")
     usd = fx.to_usd(accepted(inputs.raw), inputs.rates, counters=converted)
