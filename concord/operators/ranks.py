@@ -47,7 +47,8 @@ def pick_ranks(
     else:
         known = values.filter(F.col(value).isNotNull())
         counts = known.groupBy(*group, value).agg(F.sum(copies).alias("copies"))
-    ordered = counts.repartitionByRange(*group, value).sortWithinPartitions(*group, value)
+    # staged, because dealing by ranges reads its input twice
+    ordered = stage(counts, "rank-values").repartitionByRange(*group, value).sortWithinPartitions(*group, value)
     counts = stage(ordered.withColumn("_part", F.spark_partition_id()), "rank-counts")
 
     sums = counts.groupBy("_part", *group).agg(F.sum("copies").alias("inside"))

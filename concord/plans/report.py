@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from concord.functions.display import display_date, display_usd
 from concord.operators.ranks import upper_median
+from concord.session import stage
 
 # Cap tiers (name, lower bound inclusive, upper bound exclusive), the
 # tolerance of the cap check, and the identity fields whose coverage is reported.
@@ -24,10 +25,10 @@ COVERAGE_FIELDS = ("isin", "cusip", "cik", "lei")
 ALWAYS_PRESENT = ("name", "symbol", "share class figi")
 
 
-def latest_slice(snapshots: DataFrame) -> DataFrame:
+def latest_slice(snapshots: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Rows of the newest date. The date is a scalar subquery, so partitions of other
-    dates are pruned when the query runs."""
-    newest = snapshots.agg(F.max("snapshot_date")).scalar()
+    dates are pruned when the query runs. ``dates`` (``snapshot_date``) saves looking for it."""
+    newest = (snapshots if dates is None else dates).agg(F.max("snapshot_date")).scalar()
     return snapshots.filter(F.col("snapshot_date") == newest)
 
 
@@ -121,39 +122,61 @@ RECORD_COLUMNS = {
 CAP_FIGURES = {"aggregate": "total", "largest": "largest", "median": "median"}
 
 
-def key_figures(
-    identities: DataFrame,
-    snapshots: DataFrame,
-    columns: Mapping[str, str] = RECORD_COLUMNS,
-) -> DataFrame:
-    """One row with the headline figures.
+def slice_figures(now: DataFrame, columns: Mapping[str, str] = RECORD_COLUMNS) -> DataFrame:
+    """Totals, distinct values and coherence of a slice in one scan.
 
-    Sums and ratios of the latest slice come from one pass; the other figures are scalar
-    subqueries beside it.
+    A row is repeated for each of its venues; only its first copy counts in the sums.
     """
-    now = latest_slice(snapshots)
     c = columns
+    each = now.select(
+        *dict.fromkeys(c[n] for n in ("sector", "industry", "cap", "price", "low", "high", "shares")),
+        F.posexplode_outer(c["mics"]).alias("_at", "_venue"),
+    )
+    first = F.coalesce(F.col("_at"), F.lit(0)) == 0
     cap, price = F.col(c["cap"]).cast("double"), F.col(c["price"]).cast("double")
     low, high = F.col(c["low"]).cast("double"), F.col(c["high"]).cast("double")
     shares = F.col(c["shares"]).cast("double")
-    sums = now.agg(
-        F.coalesce(F.sum(c["cap"]).cast("double"), F.lit(0.0)).alias("total"),
+
+    def share(flag: Column, *needed: str) -> Column:
+        full = first
+        for n in needed:
+            full = full & F.col(c[n]).isNotNull()
+        return percent(F.when(full, flag))
+
+    return each.agg(
+        F.coalesce(F.sum(F.when(first, F.col(c["cap"]))).cast("double"), F.lit(0.0)).alias("total"),
         F.coalesce(F.max(c["cap"]).cast("double"), F.lit(0.0)).alias("largest"),
-        ratio_percent(now, in_range(price, low, high), [c["price"], c["low"], c["high"]]).alias("in_range_pct"),
-        ratio_percent(now, cap_agrees(cap, price, shares), [c["cap"], c["price"], c["shares"]]).alias("cap_agrees_pct"),
+        share(in_range(price, low, high), "price", "low", "high").alias("in_range_pct"),
+        share(cap_agrees(cap, price, shares), "cap", "price", "shares").alias("cap_agrees_pct"),
+        F.count_distinct(c["sector"]).alias("sectors"),
+        F.count_distinct(c["industry"]).alias("industries"),
+        F.count_distinct("_venue").alias("venues"),
     )
-    dates = snapshots.agg(F.count_distinct("snapshot_date")).scalar()
-    since = snapshots.agg(display_date(F.min("snapshot_date"))).scalar()
-    figures = sums.select(
+
+
+def key_figures(
+    identities: DataFrame,
+    snapshots: DataFrame,
+    columns: Mapping[str, str] = RECORD_COLUMNS,
+    dates: DataFrame | None = None,
+) -> DataFrame:
+    """One row with the headline figures.
+
+    The newest slice is read once for all figures and once for the median. ``dates``
+    (:meth:`concord.plans.store.Store.dates`) gives the dates without a look at the snapshots.
+    """
+    days = stage(snapshots.select("snapshot_date").distinct(), "report-dates") if dates is None else dates
+    now = latest_slice(snapshots, days)
+    figures = slice_figures(now, columns).select(
         identities.agg(F.count(F.lit(1))).scalar().alias("equities"),
-        now.agg(F.count_distinct(c["sector"])).scalar().alias("sectors"),
-        now.agg(F.count_distinct(c["industry"])).scalar().alias("industries"),
-        distinct_elements(now, c["mics"]).scalar().alias("venues"),
-        dates.alias("snapshot_dates"),
-        since.alias("history_since"),
+        "sectors",
+        "industries",
+        "venues",
+        days.agg(F.count_distinct("snapshot_date")).scalar().alias("snapshot_dates"),
+        days.agg(display_date(F.min("snapshot_date"))).scalar().alias("history_since"),
         "total",
         "largest",
-        cap_median(now, c["cap"]).scalar().alias("median"),
+        cap_median(now, columns["cap"]).scalar().alias("median"),
         "in_range_pct",
         "cap_agrees_pct",
     )

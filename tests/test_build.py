@@ -149,6 +149,7 @@ def test_seed_and_retrieve(spark, inputs, canonical, tmp_path):
     assert sorted(map(str, latest.collect())) == sorted(map(str, build.flattened(canonical).collect()))
     figures = report.key_figures(store.identities(), store.snapshots()).first()
     assert (figures["equities"], figures["venues"], figures["aggregate_cap"]) == (2, 2, "$1,000")
+    assert report.key_figures(store.identities(), store.snapshots(), dates=store.dates()).first() == figures
     covered = {r["field"]: r["populated"] for r in report.coverage_table(store.identities()).collect()}
     assert covered == {"name": 100, "symbol": 100, "share class figi": 100, "isin": 50, "cusip": 0, "cik": 100, "lei": 50}
 
