@@ -41,6 +41,14 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def free_name(df: DataFrame, name: str = "_row") -> str:
+    """``name``, with underscores before it until no column of ``df`` has it (whatever the case)."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def utf8(c: Column | str) -> Column:
     column = F.col(c) if isinstance(c, str) else c
     return column.cast("binary")

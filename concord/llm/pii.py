@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concord.llm import boosting
-from concord.llm.common import query, table, texts
+from concord.llm.common import free_name, query, table, texts
 from concord.session import stage
 
 # Kinds in their listed order and the patterns that define them. A local part, a
@@ -252,17 +252,18 @@ def redact(docs: DataFrame) -> DataFrame:
     edits = merged.select("doc_id", "digest", piece.alias("piece")).groupBy("doc_id", "digest").agg(
         F.array_sort(F.collect_list("piece")).alias("edits")
     )
-    edits = edits.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("edits").alias("_edits"))
+    own_id, own_digest, own_edits = (free_name(docs, n) for n in ("_id", "_digest", "_edits"))
+    edits = edits.select(F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest), F.col("edits").alias(own_edits))
     text = F.col("text")
     parts = F.transform(
-        "_edits",
+        own_edits,
         lambda x: F.concat(
             F.substring(text, x["before"] + 1, x["start"] - x["before"]), F.lit("["), F.upper(x["kind"]), F.lit("]")
         ),
     )
-    tail = F.substring(text, F.element_at("_edits", -1)["end"] + 1, F.length(text))
-    changed = F.when(F.col("_edits").isNull(), text).otherwise(F.concat(F.array_join(parts, ""), tail))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_digest"))
+    tail = F.substring(text, F.element_at(own_edits, -1)["end"] + 1, F.length(text))
+    changed = F.when(F.col(own_edits).isNull(), text).otherwise(F.concat(F.array_join(parts, ""), tail))
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(own_digest))
     out = docs.join(edits, same, "left").withColumn("text", changed)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
