@@ -39,6 +39,8 @@ from concord.session import stage
 
 #: Spellings of a group that are decided before the similarity join.
 HEADS = 64
+#: Matches that one task decides at once (16 bytes each); more are peeled in rounds until so few are left.
+IN_ONE_TASK = 500_000
 #: Below this threshold the bound on common pairs of letters says nothing.
 LEAST_THRESHOLD = 67.0
 SLACK = 1e-6  # for the floating point of the score
@@ -161,22 +163,37 @@ def led_by_heads(nodes: DataFrame, threshold: float, heads: int) -> DataFrame:
     return tried.withColumn("leader", F.get("leaders", at)["id"]).drop("leaders")
 
 
-def peeled(edges: DataFrame) -> DataFrame:
+def _followers(edges: pd.DataFrame) -> pd.DataFrame:
+    """Nodes with an earlier leader, visited in order."""
+    found: dict[int, None] = {}
+    for late, early in edges.sort_values("late")[["late", "early"]].itertuples(index=False):
+        if early not in found:
+            found[late] = None
+    return pd.DataFrame({"n": pd.Series(list(found), dtype="int64")})
+
+
+def peeled(edges: DataFrame, in_one_task: int = IN_ONE_TASK) -> DataFrame:
     """``late, leader``: for every node that has an earlier leader, the first of them. ``edges`` (``early, late``)
     is staged; a node that no earlier leader matches is a leader.
 
     In each round nodes without an earlier undecided neighbour are leaders and their later neighbours are
-    not; what is left gets smaller. The rounds follow the longest chain of decisions, not the nodes.
+    not; what is left gets smaller. When at most ``in_one_task`` edges are left, they are decided in one task, so
+    a long chain of decisions takes no rounds of its own.
     """
     live = edges
     followers = None
-    while not live.isEmpty():
-        waiting = live.select(F.col("late").alias("n")).distinct()
-        heads = live.select(F.col("early").alias("n")).distinct().join(waiting, "n", "left_anti")
-        gone = live.join(heads, live["early"] == heads["n"], "left_semi").select(F.col("late").alias("n")).distinct()
-        gone = stage(gone, "cluster-followers")
-        rest = live.join(gone, live["late"] == gone["n"], "left_anti").join(gone, F.col("early") == gone["n"], "left_anti")
-        live = stage(rest, "cluster-edges")
+    left = live.count()
+    while left:
+        if left <= in_one_task:
+            gone, left = stage(live.groupBy().applyInPandas(_followers, "n long"), "cluster-followers"), 0
+        else:
+            waiting = live.select(F.col("late").alias("n")).distinct()
+            heads = live.select(F.col("early").alias("n")).distinct().join(waiting, "n", "left_anti")
+            gone = live.join(heads, live["early"] == heads["n"], "left_semi").select(F.col("late").alias("n")).distinct()
+            gone = stage(gone, "cluster-followers")
+            rest = live.join(gone, live["late"] == gone["n"], "left_anti").join(gone, F.col("early") == gone["n"], "left_anti")
+            live = stage(rest, "cluster-edges")
+            left = live.count()
         followers = gone if followers is None else stage(followers.union(gone), "cluster-followers")
     if followers is None:
         return edges.select("late", F.col("early").alias("leader"))

@@ -53,7 +53,7 @@ def merge_batches(
     reports: str,
     merge_batch: Callable[[DataFrame], DataFrame] = merge,
     snapshot_date: datetime.date | str | None = None,
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` sink: merge *all* of the day's reports on a batch's keys and upsert them.
 
@@ -62,13 +62,15 @@ def merge_batches(
     merged again from all batches up to this one. Only the folders of the buckets it touches are
     opened, so the work follows the batch's keys and not the day's reports. A replayed batch replaces
     its own folder and writes the same rows over the same keys, so it changes nothing. Rows without
-    a key are kept with the reports and merged with nothing.
+    a key are kept with the reports and merged with nothing. There are as many buckets as the store has,
+    if not told otherwise.
     """
+    dealt = buckets or store.buckets
 
     def write(batch: DataFrame, batch_id: int) -> None:
         day = str(snapshot_date or utc_date())
         folder = f"{reports}/day={day}"
-        bucket = F.pmod(F.xxhash64(store.key), F.lit(buckets)).cast("int")
+        bucket = F.pmod(F.xxhash64(store.key), F.lit(dealt)).cast("int")
         placed = batch.withColumn("key_bucket", bucket)
         placed.write.mode("overwrite").partitionBy("key_bucket").parquet(f"{folder}/batch={batch_id}")
         spark = batch.sparkSession
@@ -76,7 +78,7 @@ def merge_batches(
         reader = spark.read.schema(T.StructType([*batch.schema, *added])).option("basePath", folder)
         own = reader.parquet(f"{folder}/batch={batch_id}").filter(F.col(store.key).isNotNull())
         touched = own.select(store.key).distinct()
-        opened = sorted(r[0] for r in own.select("key_bucket").distinct().collect())  # at most ``buckets``
+        opened = sorted(r[0] for r in own.select("key_bucket").distinct().collect())  # at most all buckets
         if opened:
             kept = reader.parquet(f"{folder}/batch=*/key_bucket={{{','.join(map(str, opened))}}}")
             known = kept.filter((F.col("batch") <= batch_id) & F.col(store.key).isNotNull())

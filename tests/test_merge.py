@@ -246,8 +246,10 @@ def test_no_match_is_missed(spark, threshold):
 
 def test_leaders_are_peeled_in_order(spark):
     edges = [(i, i + 1) for i in range(9)] + [(20, 21), (20, 22), (21, 22), (30, 32), (31, 32)]
-    led = clusters.peeled(spark.createDataFrame(edges, "early long, late long")).collect()
-    assert {r["late"]: r["leader"] for r in led} == {1: 0, 3: 2, 5: 4, 7: 6, 9: 8, 21: 20, 22: 20, 32: 30}
+    frame = spark.createDataFrame(edges, "early long, late long")
+    for most in (0, 8, 100):
+        led = clusters.peeled(frame, most).collect()
+        assert {r["late"]: r["leader"] for r in led} == {1: 0, 3: 2, 5: 4, 7: 6, 9: 8, 21: 20, 22: 20, 32: 30}
 
 
 def test_name_vote_weighs_copies_by_their_square():

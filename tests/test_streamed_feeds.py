@@ -86,7 +86,7 @@ def test_a_batch_opens_only_the_buckets_of_its_keys(spark, prices, tmp_path, mon
         save(self, batch, day)
 
     monkeypatch.setattr(Store, "save", seen)
-    sink = streams.merge_batches(prices, str(tmp_path / "r"), lambda df: df.groupBy("k").agg(F.max("n").alias("n"), F.sum("p").cast("int").alias("p")), "2026-01-05")
+    sink = streams.merge_batches(prices, str(tmp_path / "r"), lambda df: df.groupBy("k").agg(F.max("n").alias("n"), F.sum("p").cast("int").alias("p")), "2026-01-05", buckets=64)
     many = spark.createDataFrame([(f"k{i}", "N", 1) for i in range(200)], "k string, n string, p int")
     one = spark.createDataFrame([("k7", "N", 5), (None, "N", 1)], many.schema)
     for i, batch in enumerate((many, one, one)):
