@@ -12,15 +12,19 @@ from pyspark.sql import functions as F
 from concord.session import stage
 
 
-def dealt(members: DataFrame, keys: list[str], most: int) -> DataFrame:
+def dealt(members: DataFrame, keys: list[str], most: int, weight: str | None = None, most_weight: int = 1) -> DataFrame:
     """``members`` dealt into cells ``(*keys, low, high)``; ``chunk`` is the member's own part.
 
     A bucket of up to ``most`` members is one cell (0, 0). A larger one is divided into chunks of
     about that size; cell (i, j) holds chunks i and j, so every pair of members meets in
     exactly one cell (pairs within a chunk in cell (i, i)) and no task sees more than two chunks.
-    ``members`` is read twice and needs a column ``spread`` that tells members apart.
+    With a column ``weight`` a chunk has about ``most_weight`` of it at most. ``members`` is read twice and needs
+    a column ``spread`` that tells members apart.
     """
-    sizes = members.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("chunks"))
+    parts = F.count(F.lit(1)) / most
+    if weight is not None:
+        parts = F.greatest(parts, F.sum(weight) / most_weight)
+    sizes = members.groupBy(*keys).agg(F.ceil(parts).cast("int").alias("chunks"))
     alike = [members[k] == sizes[k] for k in keys]
     own = members.join(sizes, alike).select(members["*"], "chunks")
     own = own.withColumn("chunk", F.pmod(F.xxhash64("spread"), F.col("chunks")).cast("int"))
