@@ -77,9 +77,9 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
 
     Alternating large and small stars: each round points the neighbours of a node at the
     smallest of them, which needs a logarithmic number of rounds. Minima are combined before
-    they are shuffled; a node with very many neighbours is one hot key of a join, which
-    adaptive execution splits. Each round is written to the shared folder; only a count and a
-    checksum come to the driver.
+    they are shuffled and written before they are joined: no aggregate then stands between the join and its
+    shuffle, so a node with very many neighbours is split by adaptive execution, or not shuffled at all where
+    the minima are few. Each round is written to the shared folder; only a count and a checksum come to the driver.
     """
     turned = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = stage(turned.where("u <> v").distinct(), label)
@@ -90,7 +90,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     seen = mark(edges)
     while seen[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+        least = stage(both.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")), f"{label}-least")
         large = (
             both.join(least, F.col("u") == F.col("w"))
             .where("v > u")
@@ -98,7 +98,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
             .distinct()
         )
         large = stage(large, label)
-        least = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+        least = stage(large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")), f"{label}-least")
         small = large.join(least, F.col("u") == F.col("w")).select(
             F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         )
