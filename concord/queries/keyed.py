@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from concord.operators import dedup, enrich
 from concord.queries.base import amount, doubles, query, table
+from concord.queries.cells import ratio_sql
 from concord.sources import gates
 from concord.sources.feeds import exchange_mics
 
@@ -196,67 +197,86 @@ def company_security_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- Candidate search ----------------------------------------------------------------------------------------
 
-# Each customer searches for its orders: by ISIN (balance from 5000) among urgent orders,
-# by CUSIP (from 2000) among the rest, by name among all of them.
+# Each customer searches for its orders: by ISIN (balance from 5000) among urgent orders, by CUSIP
+# (from 2000) among the rest, by name among finished ones, by symbol among all of them. Names are
+# single words of nearly one length, for which the weighted ratio is the plain one.
+
+LETTERS = ("0123456789", "ABCDEFGHIJ")
+
+
+def ticker(key: str) -> Column:
+    """A symbol of letters only, told apart by the number."""
+    return F.concat(F.lit("LISTED"), F.translate(F.col(key).cast("string"), *LETTERS))
+
+
+def padded(word: str, number: Column) -> Column:
+    return F.concat(F.lit(word), F.lpad(number.cast("string"), 9, "0"))
 
 
 def searching_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, balance = F.col("c_custkey"), F.col("c_acctbal")
-    status = F.when(F.col("c_nationkey") % 3 == 0, "F").when(F.col("c_nationkey") % 3 == 1, "O").otherwise("P")
     return table(spark, sf_dir, "customer").select(
         key.alias("share_class_figi"),
-        F.concat(F.lit("S"), key).alias("symbol"),
-        status.alias("name"),
+        ticker("c_custkey").alias("symbol"),
+        F.replace("c_name", F.lit("#"), F.lit("")).alias("name"),
         F.when(balance >= 5000, F.concat(F.lit("I"), key)).alias("isin"),
         F.when(balance >= 2000, F.concat(F.lit("C"), key)).alias("cusip"),
     )
 
 
+def order_symbol() -> Column:
+    """The customer's ticker at a venue of the order's own; every third has a letter more, so another root."""
+    order = F.col("o_orderkey")
+    return F.concat(ticker("o_custkey"), F.when(order % 3 == 1, "Q").otherwise(""), F.lit("."), order)
+
+
 def order_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed search results: an order answers its customer's identifier and symbol."""
-    key, priority = F.col("o_custkey"), F.col("o_orderpriority")
-    urgent = priority.isin("1-URGENT", "2-HIGH")
-    term = F.explode(F.array(F.when(urgent, F.concat(F.lit("I"), key)).otherwise(F.concat(F.lit("C"), key)), F.concat(F.lit("S"), key)))
-    rows = table(spark, sf_dir, "orders").select(
-        term.alias("term"),
-        F.col("o_orderkey").alias("pos"),
-        F.concat(F.col("o_orderkey").cast("string"), F.lit(":"), amount("o_totalprice").cast("int")).alias("candidate"),
-        F.when(priority != "3-MEDIUM", F.col("o_orderstatus")).alias("longname"),
-        F.substring("o_orderpriority", 3, 1).alias("shortname"),
+    """Landed search results: an order answers one of its customer's identifiers, its name and its symbol."""
+    key, order, priority = F.col("o_custkey"), F.col("o_orderkey"), F.col("o_orderpriority")
+    identifier = F.when(priority.isin("1-URGENT", "2-HIGH"), F.concat(F.lit("I"), key)).otherwise(F.concat(F.lit("C"), key))
+    named = F.when(F.col("o_orderstatus") == "F", padded("Customer", key))
+    answered = F.array_compact(F.array(identifier, named, ticker("o_custkey")))
+    other = F.when(order % 5 == 0, F.reverse(padded("Customer", key))).otherwise(padded("Customer", key + order % 7 * 1111))
+    return table(spark, sf_dir, "orders").select(
+        F.explode(answered).alias("term"),
+        order.alias("pos"),
+        order_symbol().alias("candidate"),
+        F.when(priority != "3-MEDIUM", other).alias("longname"),
+        padded("Custom", key).alias("shortname"),
         F.when(priority == "5-LOW", "ETF").otherwise("EQUITY").alias("quote_type"),
     )
-    return rows
-
-
-def exact_score(symbol: Column, name: Column, expected_symbol: Column, expected_name: Column) -> Column:
-    """Stand-in score that SQL can follow: value of the order plus a name match."""
-    value = F.floor(F.substring_index(symbol, ":", -1).cast("int") / F.lit(5000))
-    return value + F.when(name == expected_name, 100).otherwise(0)
 
 
-CASCADE_SQL = """
+CASCADE_SQL = f"""
 WITH cust AS (
-  SELECT c_custkey AS k, CASE c_nationkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE 'P' END AS name,
-         c_acctbal >= 5000 AS has_isin, c_acctbal >= 2000 AS has_cusip FROM customer
+  SELECT c_custkey AS k, 'LISTED' || translate(c_custkey::VARCHAR, '{LETTERS[0]}', '{LETTERS[1]}') AS symbol,
+         replace(c_name, '#', '') AS name, c_acctbal >= 5000 AS has_isin, c_acctbal >= 2000 AS has_cusip FROM customer
 ),
 ord AS (
-  SELECT o_custkey AS k, o_orderkey AS pos, floor(o_totalprice)::INT // 5000 AS v, o_orderpriority IN ('1-URGENT', '2-HIGH') AS urgent,
-         CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_orderstatus END AS longname, substring(o_orderpriority, 3, 1) AS shortname,
-         o_orderstatus, o_orderpriority, o_totalprice
-  FROM orders WHERE o_orderpriority <> '5-LOW'
+  SELECT k, o_orderkey AS pos, o_orderpriority IN ('1-URGENT', '2-HIGH') AS urgent, o_orderstatus = 'F' AS named, has_isin, has_cusip,
+         lower(symbol) AS symbol, lower(name) AS name, o_orderkey % 3 <> 1 AS same_root, lower(symbol) || 'q ' || o_orderkey AS found,
+         lower(CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL WHEN o_orderkey % 5 = 0 THEN reverse(name)
+                    ELSE 'Customer' || lpad((k + o_orderkey % 7 * 1111)::VARCHAR, 9, '0') END) AS longname,
+         'custom' || lpad(k::VARCHAR, 9, '0') AS shortname
+  FROM cust JOIN orders ON o_custkey = k WHERE o_orderpriority <> '5-LOW'
+),
+by_symbol AS (
+  SELECT *, CASE WHEN same_root THEN 100.0::DOUBLE ELSE {ratio_sql("found", "symbol")} END AS s FROM ord
+),
+by_name AS (
+  SELECT *, 0 AS pass, CASE WHEN longname = name THEN 100.0::DOUBLE ELSE {ratio_sql("longname", "name")} END AS n FROM by_symbol WHERE longname IS NOT NULL
+  UNION ALL SELECT *, 1, {ratio_sql("shortname", "name")} FROM by_symbol
 ),
-hits AS (
-  SELECT 1 AS level, cust.k, name, pos, v, longname, shortname FROM cust JOIN ord ON cust.k = ord.k WHERE has_isin AND urgent
-  UNION ALL SELECT 2, cust.k, name, pos, v, longname, shortname FROM cust JOIN ord ON cust.k = ord.k WHERE has_cusip AND NOT urgent
-  UNION ALL SELECT 4, cust.k, name, pos, v, longname, shortname FROM cust JOIN ord ON cust.k = ord.k
+scored AS (SELECT *, CASE WHEN s >= 70 AND n >= 70 THEN s + n ELSE 0 END AS score FROM by_name),
+levels AS (
+  SELECT *, unnest([CASE WHEN has_isin AND urgent THEN 1 WHEN has_cusip AND NOT urgent THEN 2 END, CASE WHEN named THEN 3 END, 4]) AS level
+  FROM scored
 ),
-counted AS (SELECT *, count(*) OVER (PARTITION BY k, level) AS n FROM hits),
-scored AS (
-  SELECT level, 0 AS pass, k, pos, n, v + CASE WHEN longname = name THEN 100 ELSE 0 END AS score FROM counted WHERE longname IS NOT NULL
-  UNION ALL SELECT level, 1, k, pos, n, v + CASE WHEN shortname = name THEN 100 ELSE 0 END FROM counted
+counted AS (
+  SELECT *, count(DISTINCT pos) OVER (PARTITION BY k, level) AS hits FROM levels WHERE level IS NOT NULL
 ),
 accepted AS (
-  SELECT * FROM scored WHERE score >= CASE WHEN level <= 2 AND n = 1 THEN 120 ELSE 160 END
+  SELECT * FROM counted WHERE score >= CASE WHEN level <= 2 AND hits = 1 THEN 120 ELSE 160 END
 ),
 best AS (
   SELECT *, min(level * 10 + pass) OVER (PARTITION BY k) AS first_step FROM accepted
@@ -271,17 +291,18 @@ ranked AS (
 @query(
     "rank_candidates",
     CASCADE_SQL
-    + "SELECT k AS customer, level, pos AS order_key, score::BIGINT AS score, rank::BIGINT AS rank FROM ranked",
+    + "SELECT k AS customer, level, pos AS order_key, score, rank::BIGINT AS rank FROM ranked",
 )
 def rank_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted candidates of the first level that has any, by symbol and name."""
     keyed = enrich.with_lookup(searching_customers(spark, sf_dir))
-    ranked = enrich.rank_candidates(enrich.search_hits(keyed, order_search(spark, sf_dir)), exact_score)
+    ranked = enrich.rank_candidates(enrich.search_hits(keyed, order_search(spark, sf_dir)))
     back = ranked.join(keyed.select("lookup", "share_class_figi"), "lookup")
     return back.select(
         F.col("share_class_figi").alias("customer"),
         "level",
-        F.substring_index("candidate", ":", 1).cast("bigint").alias("order_key"),
-        F.col("score").cast("bigint").alias("score"),
+        F.substring_index("candidate", ".", -1).cast("bigint").alias("order_key"),
+        "score",
         F.col("rank").cast("bigint").alias("rank"),
     )
 
@@ -296,15 +317,14 @@ WHERE o_orderstatus <> 'P' GROUP BY k
 )
 def candidate_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First valid quote of the accepted level; later levels are not reconsidered."""
-    orders = table(spark, sf_dir, "orders")
-    quotes = orders.select(
-        F.concat(F.col("o_orderkey").cast("string"), F.lit(":"), amount("o_totalprice").cast("int")).alias("quote_symbol"),
+    quotes = table(spark, sf_dir, "orders").select(
+        order_symbol().alias("quote_symbol"),
         F.when(F.col("o_orderstatus") == "P", "ETF").otherwise("EQUITY").alias("quote_type"),
         F.col("o_orderpriority").alias("long_name"),
         F.lit(None).cast("string").alias("short_name"),
         "o_orderkey",
     )
-    found = enrich.find_quotes(searching_customers(spark, sf_dir), order_search(spark, sf_dir), quotes, exact_score)
+    found = enrich.find_quotes(searching_customers(spark, sf_dir), order_search(spark, sf_dir), quotes)
     return found.select(F.col("share_class_figi").alias("customer"), F.col("o_orderkey").alias("order_key"))
 
 
