@@ -149,8 +149,8 @@ def candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     "symbol_score_same_root",
     f"""
 WITH s AS (
-  SELECT s_suppkey, 'tk' || chr(97 + s_nationkey % 3) AS root, 'tk' || chr((97 + s_suppkey % 3)::INT) AS expected,
-         'tk' || chr(97 + s_nationkey % 3) || ' ' || s_nationkey % 10 AS listed, s_suppkey % 10 || 'tk' || chr((97 + s_suppkey % 3)::INT) AS other FROM supplier
+  SELECT s_suppkey, 'ticker' || chr(97 + s_nationkey % 3) AS root, 'ticker' || chr((97 + s_suppkey % 3)::INT) AS expected,
+         'ticker' || chr(97 + s_nationkey % 3) || ' ' || s_nationkey % 10 AS listed, s_suppkey % 10 || 'ticker' || chr((97 + s_suppkey % 3)::INT) AS other FROM supplier
 ),
 scored AS (SELECT s_suppkey, CASE WHEN root = expected THEN 100.0::DOUBLE ELSE {ratio_sql("listed", "other")} END AS score FROM s)
 SELECT s_suppkey, CASE WHEN score >= 70 THEN score ELSE 0 END AS score FROM scored
@@ -159,8 +159,8 @@ SELECT s_suppkey, CASE WHEN score >= 70 THEN score ELSE 0 END AS score FROM scor
 def symbol_score_same_root(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exchange variants of one ticker score full marks on their shared root, others their likeness."""
     nation, key = F.col("s_nationkey"), F.col("s_suppkey")
-    listed = F.concat(F.lit("TK"), F.char(65 + nation % 3), F.lit("."), nation % 10)
-    expected = F.concat(key % 10, F.lit("tk"), F.char(97 + key % 3))
+    listed = F.concat(F.lit("TICKER"), F.char(65 + nation % 3), F.lit("."), nation % 10)
+    expected = F.concat(key % 10, F.lit("ticker"), F.char(97 + key % 3))
     return table(spark, sf_dir, "supplier").select("s_suppkey", symbol_score(listed, expected).alias("score"))
 
 
