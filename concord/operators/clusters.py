@@ -18,6 +18,12 @@ spellings without a subset relation reaches the threshold only if
 
 Subsets share all tokens of the smaller one and fall under the first case.
 
+Numbered names of one word (``Customer#000000001``) have the same few pairs of letters, so the second case would
+compare nearly all of them. A text of one token shares no token with any but its supersets, so its score is the plain
+ratio of the joined tokens: texts of lengths ``m`` and ``n`` match exactly if both come down to one string by so many
+deletions that the ratio allows for these lengths. Where these are few (``MOST_CUTS`` strings), such texts meet in
+the strings their deletions leave, of which a string of given length has few sources, and all that meet match.
+
 A cluster of very many spellings would make as many matches as it has pairs. So the first ``HEADS`` spellings of a
 group are decided at once and their leaders take all their followers before matches are looked for; what
 remains of a group has, as a rule, small clusters only.
@@ -27,6 +33,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from itertools import combinations
+from math import comb
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -34,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.functions.fuzzy import NAME_THRESHOLD, leader_index, leaders_of
-from concord.functions.similarity import token_set_ratio
+from concord.functions.similarity import FULL_SCORE, token_set_ratio
 from concord.session import stage
 
 #: Spellings of a group that are decided before the similarity join.
@@ -43,6 +51,8 @@ HEADS = 64
 IN_ONE_TASK = 500_000
 #: Below this threshold the bound on common pairs of letters says nothing.
 LEAST_THRESHOLD = 67.0
+#: Strings that deletions may leave of one text, for texts of one other length.
+MOST_CUTS = 200
 SLACK = 1e-6  # for the floating point of the score
 
 
@@ -99,13 +109,86 @@ def _first(listed: Column, n: Column) -> Column:
     return F.transform(F.slice(listed, 1, n), lambda x: x["item"])
 
 
+def allowed_cuts(size: int, other: int, threshold: float) -> int | None:
+    """Deletions from a text of length ``size`` that leave enough in common with one of length ``other``;
+    None if no text of that length can match."""
+    total = size + other
+    common = next((k for k in range(int(total * threshold / 200), min(size, other) + 1) if FULL_SCORE * 2 * k / total >= threshold), None)
+    return None if common is None else size - common
+
+
+def by_cuts(size: int, other: int, threshold: float) -> bool | None:
+    """Whether texts of these lengths are matched by the strings their deletions leave; None if none match."""
+    own, its = allowed_cuts(size, other, threshold), allowed_cuts(other, size, threshold)
+    return None if own is None else comb(size, own) <= MOST_CUTS and comb(other, its) <= MOST_CUTS
+
+
+_CUTS = T.ArrayType(
+    T.StructType([T.StructField("low", T.IntegerType()), T.StructField("high", T.IntegerType()), T.StructField("left", T.StringType())])
+)
+
+
+def _cuts(threshold: float):
+    @F.pandas_udf(_CUTS)
+    def cuts(texts: pd.Series, others: pd.Series) -> pd.Series:
+        found = []
+        for text, lengths in zip(texts, others, strict=True):
+            size, own, left = len(text), [], {}
+            for other in lengths:
+                if by_cuts(size, other, threshold):
+                    n = allowed_cuts(size, other, threshold)
+                    if n not in left:
+                        left[n] = {"".join(kept) for kept in combinations(text, size - n)}
+                    own += [(min(size, other), max(size, other), kept) for kept in left[n]]
+            found.append(own)
+        return pd.Series(found)
+
+    return cuts
+
+
+def _needs_grams(threshold: float):
+    @F.pandas_udf(T.BooleanType())
+    def needs(sizes: pd.Series, others: pd.Series) -> pd.Series:
+        kinds = {(s, n): by_cuts(s, n, threshold) is False for s, lengths in zip(sizes, others, strict=True) for n in lengths}
+        return pd.Series([any(kinds[s, n] for n in lengths) for s, lengths in zip(sizes, others, strict=True)], dtype=bool)
+
+    return needs
+
+
+def with_partners(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with ``single`` (one token) and ``others``: the lengths in the group of texts that make a pair with
+    a text of one token (any for such a text, those of one token for the rest)."""
+    single = F.size("tokens") == 1
+    sizes = nodes.groupBy("g").agg(F.collect_set("size").alias("sizes"), F.collect_set(F.when(single, F.col("size"))).alias("singles"))
+    sizes = sizes.select(F.col("g").alias("of"), "sizes", "singles")
+    met = nodes.withColumn("single", single).join(sizes, F.col("g").eqNullSafe(F.col("of")))
+    return met.withColumn("others", F.when(F.col("single"), F.col("sizes")).otherwise(F.col("singles"))).drop("of", "sizes", "singles")
+
+
+def matched_by_cuts(partners: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``g, a, b, a_text, b_text`` that match, one of them of one token (some twice)."""
+    cuts = partners.withColumn("cut", F.explode(_cuts(threshold)(F.array_join("tokens", " "), "others")))
+    left = cuts.select("g", "cut.*", "id", "text", "size", "single")
+    names = ("id", "text", "size", "single")
+    right = left.select("g", "low", "high", "left", *[F.col(c).alias(f"b_{c}") for c in names])
+    fit = (F.col("low") == F.col("high")) | (F.col("size") != F.col("b_size"))
+    met = left.join(right, ["g", "low", "high", "left"]).filter((F.col("id") < F.col("b_id")) & fit & (F.col("single") | F.col("b_single")))
+    return met.select("g", F.col("id").alias("a"), F.col("b_id").alias("b"), F.col("text").alias("a_text"), "b_text")
+
+
 def candidates(nodes: DataFrame, threshold: float) -> DataFrame:
     """Pairs ``g, a, b, a_text, b_text`` that may match, all of those that do among them (some twice)."""
+    partners = with_partners(nodes)
+    return compared(partners, threshold).unionByName(matched_by_cuts(partners, threshold))
+
+
+def compared(partners: DataFrame, threshold: float) -> DataFrame:
+    """The candidates that are to be scored: what :func:`matched_by_cuts` does not decide."""
     r = 1 - threshold / 100
-    base = nodes.select("g", "id", "text", "tokens", "grams", "size")
+    base = partners.select("g", "id", "text", "tokens", "grams", "size")
 
     # shared tokens: one of the first tokens of a is a token of b
-    listed = by_rarity(nodes.select("g", "id", F.explode("tokens").alias("item")).withColumn("letters", F.length("item")))
+    listed = by_rarity(base.select("g", "id", F.explode("tokens").alias("item")).withColumn("letters", F.length("item")))
     most = F.col("size") * (2 * r / (1 + r)) + SLACK
     upto = F.transform("listed", lambda x, i: F.aggregate(F.slice("listed", F.lit(1), i + 1), F.lit(0), lambda s, y: s + y["letters"] + 1))
     needed = F.least(F.size("listed"), F.size(F.filter(upto, lambda s: s <= most)) + 1)
@@ -116,7 +199,8 @@ def candidates(nodes: DataFrame, threshold: float) -> DataFrame:
     by_token = met.select("g", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *_texts())
 
     # common pairs of letters: one of the first pairs of both
-    listed = by_rarity(nodes.select("g", "id", F.explode("grams").alias("item")).withColumn("letters", F.lit(2)))
+    open_ = partners.filter(~F.col("single") | _needs_grams(threshold)("size", "others"))
+    listed = by_rarity(open_.select("g", "id", F.explode("grams").alias("item")).withColumn("letters", F.lit(2)))
     least = F.ceil(F.col("size") * (2 / (1 + r)) * (0.5 - 1.5 * r) + 1 - SLACK).cast("int")
     heads = listed.join(base.select("id", "text", "size", "grams"), "id")
     heads = heads.withColumn("head", _first(F.col("listed"), F.greatest(F.size("listed") - least + 1, F.lit(1))))
@@ -176,24 +260,31 @@ def peeled(edges: DataFrame, in_one_task: int = IN_ONE_TASK) -> DataFrame:
     """``late, leader``: for every node that has an earlier leader, the first of them. ``edges`` (``early, late``)
     is staged; a node that no earlier leader matches is a leader.
 
-    In each round nodes without an earlier undecided neighbour are leaders and their later neighbours are
-    not; what is left gets smaller. When at most ``in_one_task`` edges are left, they are decided in one task, so
-    a long chain of decisions takes no rounds of its own.
+    A round decides the first nodes, as many as have ``in_one_task`` edges among them, in one task, and their leaders
+    take all their later neighbours; so a long chain of decisions takes no rounds of its own. Where one node alone
+    has very many earlier neighbours, the round goes by the nodes without an earlier undecided one: they are leaders and
+    their later neighbours are not.
     """
     live = edges
     followers = None
     left = live.count()
     while left:
-        if left <= in_one_task:
-            gone, left = stage(live.groupBy().applyInPandas(_followers, "n long"), "cluster-followers"), 0
+        share = min(1.0, in_one_task / left)
+        cut = live.agg(F.percentile_approx("late", share)).first()[0] if share < 1 else live.agg(F.max("late")).first()[0]
+        early = live.filter(F.col("late") <= cut)
+        if left <= in_one_task or early.count() <= 2 * in_one_task:
+            first = stage(early.groupBy().applyInPandas(_followers, "n long"), "cluster-followers")
+            led = live.filter((F.col("late") > cut) & (F.col("early") <= cut)).join(first, F.col("early") == F.col("n"), "left_anti")
+            gone = first.union(led.select(F.col("late").alias("n")).distinct())
         else:
             waiting = live.select(F.col("late").alias("n")).distinct()
             heads = live.select(F.col("early").alias("n")).distinct().join(waiting, "n", "left_anti")
             gone = live.join(heads, live["early"] == heads["n"], "left_semi").select(F.col("late").alias("n")).distinct()
-            gone = stage(gone, "cluster-followers")
-            rest = live.join(gone, live["late"] == gone["n"], "left_anti").join(gone, F.col("early") == gone["n"], "left_anti")
-            live = stage(rest, "cluster-edges")
-            left = live.count()
+            cut = -1
+        gone = stage(gone, "cluster-followers")
+        rest = live.filter(F.col("early") > cut).join(gone, live["late"] == gone["n"], "left_anti")
+        live = stage(rest.join(gone, F.col("early") == gone["n"], "left_anti"), "cluster-edges")
+        left = live.count()
         followers = gone if followers is None else stage(followers.union(gone), "cluster-followers")
     if followers is None:
         return edges.select("late", F.col("early").alias("leader"))
@@ -226,7 +317,9 @@ def fuzzy_wide(
     nodes = stage(nodes.select("g", "n.id", "n.text", "n.p.*", "weight", "votes"), "cluster-nodes")
     headed = stage(led_by_heads(nodes, threshold, heads), "cluster-headed")
     rest = headed.filter(F.col("leader").isNull() & (F.size("tokens") > 0)).drop("leader")
-    near = candidates(rest, threshold).filter(_matches(threshold)("a_text", "b_text"))
+    partners = stage(with_partners(rest), "cluster-partners")
+    near = compared(partners, threshold).filter(_matches(threshold)("a_text", "b_text")).select("a", "b")
+    near = near.unionByName(matched_by_cuts(partners, threshold).select("a", "b"))
     edges = stage(near.select(F.col("a").alias("early"), F.col("b").alias("late")).distinct(), "cluster-edges")
     led = peeled(edges).withColumnRenamed("leader", "later")
     joined = headed.join(led, headed["id"] == led["late"], "left").withColumn("leader", F.coalesce("leader", "later", "id"))

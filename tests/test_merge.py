@@ -244,6 +244,15 @@ def test_no_match_is_missed(spark, threshold):
     assert len(pairs) < len(texts) ** 2 / (4 if threshold >= 90 else 2)
 
 
+def test_numbered_names_meet_only_where_they_match(spark):
+    texts = [f"Customer#{i:09d}" for i in (*range(0, 900, 3), 1000, 12345, 21345)] + ["Customer#0000012", "Customer# 000000012", "Customer#0000000123"]
+    df = spark.createDataFrame([("g", i, t) for i, t in enumerate(texts)], "g string, id long, text string")
+    nodes = df.withColumn("p", clusters._parts("text")).select("g", "id", "text", "p.*")
+    pairs = {(r["a"], r["b"]) for r in clusters.candidates(nodes, 90).collect()}
+    want = {(i, j) for j, t in enumerate(texts) for i in range(j) if token_set_ratio(texts[i], t) >= 90}
+    assert want <= pairs and len(pairs - want) < 10 and len(want) < len(texts) ** 2 / 4
+
+
 def test_leaders_are_peeled_in_order(spark):
     edges = [(i, i + 1) for i in range(9)] + [(20, 21), (20, 22), (21, 22), (30, 32), (31, 32)]
     frame = spark.createDataFrame(edges, "early long, late long")
