@@ -31,29 +31,31 @@ BLOCK_IDS = 1 << 16
 #: is one id of 64 bits.
 SELECTORS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 
+#: Lengths of runs, each after the length of the two (overlapping) runs that make it up.
+RUNS = ((2, 1), (3, 2), (4, 2), (5, 4), (6, 4), (7, 4), (8, 4), (10, 8), (12, 8), (15, 8), (20, 15), (30, 15), (60, 30))
+
 BLOCKS = "file int, block int, first_id long, n_ids long, doc_ids array<long>, offsets binary, words binary"
 
 
 def pack_words(ids: np.ndarray) -> np.ndarray:
     """Simple-8b words of unsigned ids, each word taking as many ids as it can.
 
-    Where the next id is too wide for a selector is found for all positions at once; only the
-    chain from word to word is followed one by one.
+    The widest id of every run of a selector's length is found for all positions at once, from the widest of
+    shorter runs; only the chain from word to word is followed one by one.
     """
     ids = ids.astype(np.uint64)
     n = len(ids)
-    at = np.arange(n)
-    takes = np.zeros(n, np.int64)
+    kind = np.zeros(n + 60, np.uint8)  # how many selectors are too narrow for the id; nothing follows the end
+    for _, bits in SELECTORS:
+        kind[:n] += ids >> np.uint64(bits) != 0
+    widest = {1: kind}
+    for count, part in RUNS:
+        widest[count] = np.maximum(widest[part][: n + 61 - count], widest[part][count - part :])
+    takes = np.zeros(n, np.uint8)
     selector = np.zeros(n, np.uint8)
-    widest = int(ids.max()) if n else 0
     for number in range(len(SELECTORS), 0, -1):  # later rounds take more ids and win
-        count, bits = SELECTORS[number - 1]
-        if widest >> bits == 0 and count == 1:
-            takes[:], selector[:] = 1, number
-            continue
-        wide = np.flatnonzero(ids >> np.uint64(bits))
-        stop = np.append(wide, n + count)[np.searchsorted(wide, at)] if len(wide) else np.full(n, n + count)
-        fits = stop - at >= count
+        count, _ = SELECTORS[number - 1]
+        fits = widest[count][:n] < number
         takes[fits], selector[fits] = count, number
     chain, p, step = [], 0, takes.tolist()
     while p < n:

@@ -51,6 +51,19 @@ def key(r):
 # --- op2, op3 -----------------------------------------------------------------------------
 
 
+def test_words_take_as_many_ids_as_fit():
+    draw = np.random.default_rng(3)
+    assert len(token_files.RUNS) == len({c for c, _ in token_files.SELECTORS}) - 1
+    for n in (0, 1, 59, 61, 400):
+        ids = np.array([int(draw.integers(0, 1 << 62)) >> max(0, 62 - int(b)) for b in draw.integers(0, 70, n)], np.uint64) << np.uint64(1)
+        want, at = 0, 0
+        while at < n:
+            fits = [c for c, bits in token_files.SELECTORS if all(int(i) >> bits == 0 for i in ids[at : at + c])]
+            want, at = want + (1 if fits else 2), at + (fits[0] if fits else 1)
+        words = token_files.pack_words(ids)
+        assert len(words) == want and (token_files.unpack_words(words, n) == ids).all()
+
+
 def test_pieces_are_the_tokenizers_ids(docs):
     path = packing.tokenizer_path("byte_bpe_50k.json")
     plain = Tokenizer.from_file(path)
