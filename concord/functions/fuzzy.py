@@ -7,6 +7,7 @@ callers pass nulls for every row that can be decided without a score.
 from __future__ import annotations
 
 from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -90,11 +91,24 @@ def settled_or_voted(array: str, voted: str) -> str:
     return f"CASE WHEN size(array_distinct({array})) <= 1 THEN get({array}, 0) ELSE {voted} END"
 
 
+# A candidate comes up at several levels of a search, one near the other.
+
+
+@lru_cache(maxsize=200_000)
+def _folded_ratio(actual: str, expected: str) -> float:
+    return ratio(folded(actual), folded(expected))
+
+
+@lru_cache(maxsize=200_000)
+def _folded_weighted(actual: str, expected: str) -> float:
+    return weighted_ratio(folded(actual), folded(expected))
+
+
 @F.pandas_udf(T.DoubleType())
 def _symbol_ratio(actual: pd.Series, expected: pd.Series) -> pd.Series:
     pairs = zip(actual, expected)
     scores = [
-        None if a is None or e is None else ratio(folded(a), folded(e)) for a, e in pairs
+        None if a is None or e is None else _folded_ratio(a, e) for a, e in pairs
     ]
     return pd.Series(scores, dtype="float64")
 
@@ -103,8 +117,7 @@ def _symbol_ratio(actual: pd.Series, expected: pd.Series) -> pd.Series:
 def _name_ratio(actual: pd.Series, expected: pd.Series) -> pd.Series:
     pairs = zip(actual, expected)
     scores = [
-        None if a is None or e is None else weighted_ratio(folded(a), folded(e))
-        for a, e in pairs
+        None if a is None or e is None else _folded_weighted(a, e) for a, e in pairs
     ]
     return pd.Series(scores, dtype="float64")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ BLANK_CHARACTERS = (
 )
 BLANKS = r"[\p{IsWhite_Space}\x{1C}-\x{1F}]"
 NON_BLANK = r"[^\p{IsWhite_Space}\x{1C}-\x{1F}]"
+LINE_BREAKS = "\n\r\x85\u2028\u2029"
 NON_WORD = r"[^\w\p{L}\p{N}]++"
 # The dot comes first, so a scan stops at dots only.
 ABBREVIATION_DOT = (
@@ -51,7 +55,9 @@ def symbol_text(c: Column) -> Column:
 def root_symbol(c: Column) -> Column:
     """Ticker root: before the first dot, digits stripped from both ends."""
     head = F.substring_index(F.upper(c), ".", 1)
-    return F.regexp_replace(head, "^[0-9]+|[0-9]+$", "")
+    # a pattern's end may lie before a last line break, so only texts without one are trimmed
+    broken = reduce(or_, (F.endswith(head, F.lit(b)) for b in LINE_BREAKS))
+    return F.when(broken, F.regexp_replace(head, "^[0-9]+|[0-9]+$", "")).otherwise(F.btrim(head, F.lit("0123456789")))
 
 
 def padded_cik(c: Column) -> Column:
