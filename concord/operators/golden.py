@@ -185,8 +185,9 @@ def vote_rows(
     def reported(field: str) -> str:
         if field in medians:
             return f"sort_array({votes.known(votes.reports('_rows', field))})"
-        cells = votes.placed("_rows", field, order)
-        return cells if rules[field].strategy is Strategy.MODE else votes.plain(cells)
+        if rules[field].strategy is Strategy.MODE:
+            return votes.cells("_rows", field, order)
+        return votes.plain(votes.placed("_rows", field, order))
 
     first = ["size(_rows) AS _sources", *(f"{reported(f)} AS {f}" for f in rules)]
     if joint:
@@ -199,9 +200,10 @@ def vote_rows(
         middles = [f"{votes.middle_sum(f)} AS _mid_{f}" for f in banded]
         steps = steps.selectExpr("*", *middles)
         scales = [f"{votes.zero_scale(f, f'_mid_{f}')} AS _abs_{f}" for f in banded]
-        steps = steps.selectExpr("*", *scales)
+        bounds = [f"{votes.deviation(f'_mid_{f}', share)} AS _far_{f}" for f, share in banded.items()]
+        steps = steps.selectExpr("*", *scales, *bounds)
         near = [
-            f"{votes.within_deviation(f, f'_mid_{f}', f'_abs_{f}', share)} AS {f}"
+            f"{votes.within_deviation(f, f'_mid_{f}', f'_abs_{f}', share, f'_far_{f}')} AS {f}"
             for f, share in banded.items()
         ]
         steps = steps.selectExpr(key, *kept, *near)

@@ -24,14 +24,16 @@ def known(values: str) -> str:
     return f"filter({values}, v -> v IS NOT NULL)"
 
 
-def placed(rows: str, field: str, order: Sequence[str]) -> str:
-    """A field of every row that has it, as ``struct(o, v)`` with the row's place, in order.
-
-    Equal places are told apart by the value, so the order never depends on other fields.
-    """
+def cells(rows: str, field: str, order: Sequence[str]) -> str:
+    """A field of every row that has it, as ``struct(o, v)`` with the row's place."""
     place = ", ".join(f"r.{c}" for c in order)
     cell = f"CASE WHEN r.{field} IS NOT NULL THEN struct(struct({place}) AS o, r.{field} AS v) END"
-    return f"sort_array(filter(transform({rows}, r -> {cell}), c -> c IS NOT NULL))"
+    return f"filter(transform({rows}, r -> {cell}), c -> c IS NOT NULL)"
+
+
+def placed(rows: str, field: str, order: Sequence[str]) -> str:
+    """The cells in order. Equal places are told apart by the value, so the order never depends on other fields."""
+    return f"sort_array({cells(rows, field, order)})"
 
 
 def plain(cells: str) -> str:
@@ -40,7 +42,7 @@ def plain(cells: str) -> str:
 
 
 def mode_first(cells: str) -> str:
-    """Most frequent value of placed cells; ties go to the one seen first. None without cells.
+    """Most frequent value of cells in any order; ties go to the one seen first. None without cells.
 
     Sorted by value, equal values are runs; a run's length is its votes and its first cell the
     earliest. (``transform(array(x), s -> ...)[0]`` works ``x`` out once.)
@@ -50,7 +52,8 @@ def mode_first(cells: str) -> str:
     stops = "concat(slice(t, 2, size(t)), array(size(s)))"
     runs = f"zip_with(t, {stops}, (a, b) -> struct(a - b AS fewer, s[a].o AS o, s[a].v AS v))"
     best = f"transform(array({starts}), t -> array_min({runs}).v)[0]"
-    return f"CASE WHEN size({cells}) > 0 THEN transform(array({by_value}), s -> {best})[0] END"
+    one = "element_at(s, 1).v = element_at(s, -1).v"
+    return f"CASE WHEN size({cells}) > 0 THEN transform(array({by_value}), s -> CASE WHEN {one} THEN s[0].v ELSE {best} END)[0] END"
 
 
 def low_median(ordered: str) -> str:
@@ -71,14 +74,19 @@ def zero_scale(ordered: str, twice_median: str) -> str:
     return f"CASE WHEN {twice_median} = 0 THEN transform(array({sizes}), s -> {middle})[0] END"
 
 
-def within_deviation(values: str, twice_median: str, twice_scale: str, share: str) -> str:
+def deviation(twice_median: str, share: str) -> str:
+    """How far twice a value may be from twice the median."""
+    return f"{share} * abs({twice_median})"
+
+
+def within_deviation(values: str, twice_median: str, twice_scale: str, share: str, far: str | None = None) -> str:
     """Values strictly closer to the averaged median than the given share of it.
 
     With a zero median the scale is the median magnitude; if that is zero as well, or
-    there are fewer than two values, all are kept. ``twice_median`` and ``twice_scale``
-    should be columns of their own: the filter reads them for every element.
+    there are fewer than two values, all are kept. ``twice_median``, ``twice_scale`` and ``far``, the
+    :func:`deviation`, should be columns of their own: the filter reads them for every element.
     """
-    near = f"filter({values}, v -> abs(v * 2 - {twice_median}) < {share} * abs({twice_median}))"
+    near = f"filter({values}, v -> abs(v * 2 - {twice_median}) < {far or deviation(twice_median, share)})"
     small = f"filter({values}, v -> abs(v) * 2 < {share} * {twice_scale})"
     return (
         f"CASE WHEN size({values}) < 2 THEN {values} WHEN {twice_median} <> 0 THEN {near} "

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from concord.functions.fuzzy import heaviest_leader
 from concord.functions.similarity import token_set_ratio
-from concord.operators import clusters, golden, ranks, wide
+from concord.operators import votes, clusters, golden, ranks, wide
 from concord.operators.golden import FUZZY, MODE, PAIR, SINGLE, TIGHT_PAIR, UNION, PriceRange
 from concord.schema import AMOUNT
 
@@ -267,6 +267,15 @@ def test_name_vote_weighs_copies_by_their_square():
     assert heaviest_leader([], 90) is None
 
 
+@pytest.mark.parametrize("values, want", [("bab", "b"), ("aba", "a"), ("ab", "a"), ("ba", "b"), ("cc", "c"), ("", None)])
+def test_mode_takes_cells_in_any_order(spark, values, want):
+    rows = [(i, v) for i, v in enumerate(values)][::-1]
+    df = spark.createDataFrame([(rows,)], "_rows array<struct<o: int, f: string>>")
+    assert "sort_array" not in votes.cells("_rows", "f", ["o"])
+    cells = df.selectExpr(f"{votes.cells('_rows', 'f', ['o'])} AS cells")
+    assert cells.selectExpr(f"{votes.mode_first('cells')} AS f").first()["f"] == want
+
+
 def test_group_counts(data):
     df, expected = data
     row = golden.group_counts(df, "key").first()
