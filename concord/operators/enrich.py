@@ -77,8 +77,8 @@ def rank_candidates(
     ``hits``: ``lookup, symbol, name, level, pos, candidate, longname, shortname``. Every
     level is scored in one pass and the lowest accepted one kept, which gives what a
     level-by-level search gives. Long names are tried first; short names count only if
-    no long name is accepted at that level. Ties keep search order. The levels of a lookup stay
-    together: one shuffle serves all, and a candidate that several levels find is scored once.
+    no long name is accepted at that level. Ties keep search order. Hits are dealt by
+    lookup, so that a candidate that several levels find can be scored from a cache.
     """
     per_level = Window.partitionBy("lookup", "level")
     counted = viable(hits).repartition("lookup").withColumn("_hits", F.count(F.lit(1)).over(per_level))
