@@ -23,19 +23,26 @@ compare nearly all of them. A text of one token shares no token with any but its
 ratio of the joined tokens: texts of lengths ``m`` and ``n`` match exactly if both come down to one string by so many
 deletions that the ratio allows for these lengths. Where these are few (``MOST_CUTS`` strings), such texts meet in
 the strings their deletions leave, of which a string of given length has few sources, and all that meet match.
+A million numbered names have over a hundred million such matches, nearly all of them between followers, so they are never
+listed: leaders are kept by the strings their deletions leave, and a text is looked up there.
 
 A cluster of very many spellings would make as many matches as it has pairs. So the first ``HEADS`` spellings of a
 group are decided at once and their leaders take all their followers before matches are looked for; what
 remains of a group has, as a rule, small clusters only.
+
+Staged names are many times larger in memory than on disk (a file of numbered names is a hundredth of its rows), so joins
+of two sides that grow with the spellings are told to shuffle: by the size of its files one side would be broadcast.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from itertools import combinations
 from math import comb
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,8 +54,15 @@ from concord.session import stage
 
 #: Spellings of a group that are decided before the similarity join.
 HEADS = 64
-#: Matches that one task decides at once (16 bytes each); more are peeled in rounds until so few are left.
+#: Matches (16 bytes each) and spellings of a group that one task decides at once, about; more are decided in rounds.
 IN_ONE_TASK = 500_000
+NODES_IN_ONE_TASK = 200_000
+#: Strings by which one task keeps leaders (some 200 bytes each); beyond it, the round ends early.
+MOST_KEPT = 1_000_000
+#: Spellings that one task looks up among the leaders of a round.
+TRIED_IN_ONE_TASK = 20_000
+#: Two to this power of neighbouring ids are counted together to tell how far a round goes.
+BLOCK_BITS = 6
 #: Below this threshold the bound on common pairs of letters says nothing.
 LEAST_THRESHOLD = 67.0
 #: Strings that deletions may leave of one text, for texts of one other length.
@@ -109,6 +123,7 @@ def _first(listed: Column, n: Column) -> Column:
     return F.transform(F.slice(listed, 1, n), lambda x: x["item"])
 
 
+@lru_cache(maxsize=100_000)
 def allowed_cuts(size: int, other: int, threshold: float) -> int | None:
     """Deletions from a text of length ``size`` that leave enough in common with one of length ``other``;
     None if no text of that length can match."""
@@ -117,12 +132,19 @@ def allowed_cuts(size: int, other: int, threshold: float) -> int | None:
     return None if common is None else size - common
 
 
+@lru_cache(maxsize=100_000)
 def by_cuts(size: int, other: int, threshold: float) -> bool | None:
     """Whether texts of these lengths are matched by the strings their deletions leave; None if none match."""
     own, its = allowed_cuts(size, other, threshold), allowed_cuts(other, size, threshold)
     return None if own is None else comb(size, own) <= MOST_CUTS and comb(other, its) <= MOST_CUTS
 
 
+def strings_left(text: str, deletions: int) -> set[str]:
+    if deletions == 1:
+        return {text[:i] + text[i + 1 :] for i in range(len(text))}
+    return {"".join(kept) for kept in combinations(text, len(text) - deletions)}
+
+
 _CUTS = T.ArrayType(
     T.StructType([T.StructField("low", T.IntegerType()), T.StructField("high", T.IntegerType()), T.StructField("left", T.StringType())])
 )
@@ -138,7 +160,7 @@ def _cuts(threshold: float):
                 if by_cuts(size, other, threshold):
                     n = allowed_cuts(size, other, threshold)
                     if n not in left:
-                        left[n] = {"".join(kept) for kept in combinations(text, size - n)}
+                        left[n] = strings_left(text, n)
                     own += [(min(size, other), max(size, other), kept) for kept in left[n]]
             found.append(own)
         return pd.Series(found)
@@ -157,11 +179,15 @@ def _needs_grams(threshold: float):
 
 def with_partners(nodes: DataFrame) -> DataFrame:
     """``nodes`` with ``single`` (one token) and ``others``: the lengths in the group of texts that make a pair with
-    a text of one token (any for such a text, those of one token for the rest)."""
+    a text of one token (any for such a text, those of one token for the rest). ``gid`` is the group's smallest id.
+
+    The lengths are staged and joined, not the result: what comes out of a join is never broadcast by its estimated size.
+    """
     single = F.size("tokens") == 1
-    sizes = nodes.groupBy("g").agg(F.collect_set("size").alias("sizes"), F.collect_set(F.when(single, F.col("size"))).alias("singles"))
-    sizes = sizes.select(F.col("g").alias("of"), "sizes", "singles")
-    met = nodes.withColumn("single", single).join(sizes, F.col("g").eqNullSafe(F.col("of")))
+    sizes = nodes.groupBy(F.col("g").alias("of")).agg(
+        F.collect_set("size").alias("sizes"), F.collect_set(F.when(single, F.col("size"))).alias("singles"), F.min("id").alias("gid")
+    )
+    met = nodes.withColumn("single", single).join(stage(sizes, "cluster-sizes"), F.col("g").eqNullSafe(F.col("of")))
     return met.withColumn("others", F.when(F.col("single"), F.col("sizes")).otherwise(F.col("singles"))).drop("of", "sizes", "singles")
 
 
@@ -247,49 +273,165 @@ def led_by_heads(nodes: DataFrame, threshold: float, heads: int) -> DataFrame:
     return tried.withColumn("leader", F.get("leaders", at)["id"]).drop("leaders")
 
 
-def _followers(edges: pd.DataFrame) -> pd.DataFrame:
-    """Nodes with an earlier leader, visited in order."""
-    found: dict[int, None] = {}
-    for late, early in edges.sort_values("late")[["late", "early"]].itertuples(index=False):
-        if early not in found:
-            found[late] = None
-    return pd.DataFrame({"n": pd.Series(list(found), dtype="int64")})
-
-
-def peeled(edges: DataFrame, in_one_task: int = IN_ONE_TASK) -> DataFrame:
-    """``late, leader``: for every node that has an earlier leader, the first of them. ``edges`` (``early, late``)
-    is staged; a node that no earlier leader matches is a leader.
+class _Leaders:
+    """Leaders of a group by the strings their deletions leave, added in order; finds the first that a text matches
+    where one of the two has one token."""
+
+    def __init__(self, threshold: float) -> None:
+        self.threshold = threshold
+        self.strings = 0
+        self._kept: dict[tuple[int, int, bool], dict[str, int]] = {}
+
+    def _cuts(self, text: str, others: Sequence[int]) -> Iterator[tuple[int, set[str]]]:
+        known: dict[int, set[str]] = {}
+        for other in others:
+            if by_cuts(len(text), other, self.threshold):
+                n = allowed_cuts(len(text), other, self.threshold)
+                if n not in known:
+                    known[n] = strings_left(text, n)
+                yield other, known[n]
+
+    def add(self, leader: int, text: str, single: bool, others: Sequence[int]) -> None:
+        for other, strings in self._cuts(text, others):
+            kept = self._kept.setdefault((len(text), other, single), {})
+            before = len(kept)
+            for left in strings:
+                kept.setdefault(left, leader)
+            self.strings += len(kept) - before
+
+    def first(self, text: str, single: bool, others: Sequence[int]) -> int | None:
+        kinds = (True, False) if single else (True,)
+        met = {n: [kept for one in kinds if (kept := self._kept.get((n, len(text), one)))] for n in others}
+        best = None
+        for other, strings in self._cuts(text, [n for n in others if met[n]]):
+            for kept in met[other]:
+                for left in strings & kept.keys():
+                    best = kept[left] if best is None else min(best, kept[left])
+        return best
+
+
+def _decided(threshold: float, most_kept: int):
+    """The first nodes of a group, visited in order: each is a leader or has an earlier one. Nodes after
+    ``most_kept`` strings of leaders are left for the next round."""
+
+    def decide(nodes: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+        nodes, edges = nodes.sort_values("id"), edges.sort_values(["late", "early"])
+        late, early = edges["late"].to_numpy(np.int64), edges["early"].to_numpy(np.int64)
+        begin = np.searchsorted(late, nodes["id"].to_numpy(np.int64)).tolist()
+        end = np.searchsorted(late, nodes["id"].to_numpy(np.int64), side="right").tolist()
+        known, leads, found = _Leaders(threshold), set(), []
+        columns = (nodes["g"], nodes["id"], nodes["text"], nodes["single"], nodes["others"], begin, end)
+        for g, node, text, single, others, a, b in zip(*columns, strict=True):
+            if known.strings > most_kept:
+                break
+            by_cut = known.first(text, single, others)
+            by_edge = next((e for e in early[a:b].tolist() if e in leads), None) if a < b else None
+            leader = min((x for x in (by_cut, by_edge) if x is not None), default=node)
+            if leader == node:
+                leads.add(node)
+                known.add(node, text, single, others)
+                found.append((g, node, node, text, single, others))
+            else:
+                found.append((g, node, leader, None, None, None))
+        return pd.DataFrame(found, columns=["g", "id", "leader", "text", "single", "others"])
+
+    return decide
+
+
+def _looked_up(threshold: float):
+    """The nodes that match a leader of the round, with the first such."""
+
+    def look_up(nodes: pd.DataFrame, leaders: pd.DataFrame) -> pd.DataFrame:
+        known, found = _Leaders(threshold), []
+        if len(nodes):
+            leaders = leaders.sort_values("id")
+            for columns in zip(*(leaders[c] for c in ("id", "text", "single", "others")), strict=True):
+                known.add(*columns)
+        if known.strings:
+            for node, *columns in zip(*(nodes[c] for c in ("id", "text", "single", "others")), strict=True):
+                leader = known.first(*columns)
+                if leader is not None:
+                    found.append((node, leader))
+        return pd.DataFrame(found, columns=["id", "leader"])
+
+    return look_up
+
+
+def decided(
+    nodes: DataFrame,
+    edges: DataFrame,
+    threshold: float,
+    in_one_task: int = IN_ONE_TASK,
+    nodes_in_one_task: int = NODES_IN_ONE_TASK,
+    most_kept: int = MOST_KEPT,
+    tried_in_one_task: int = TRIED_IN_ONE_TASK,
+    block_bits: int = BLOCK_BITS,
+) -> DataFrame:
+    """``id, leader`` of all ``nodes`` (``g, id, text, single, others``; ids rise with their order in the group, ``g`` is a long).
 
-    A round decides the first nodes, as many as have ``in_one_task`` edges among them, in one task, and their leaders
-    take all their later neighbours; so a long chain of decisions takes no rounds of its own. Where one node alone
-    has very many earlier neighbours, the round goes by the nodes without an earlier undecided one: they are leaders and
-    their later neighbours are not.
+    Two nodes match if they are in ``edges`` (``g, early, late``), or if one has one token (``single``) and their deletions
+    leave a common string (:func:`matched_by_cuts`). Both are staged. A round decides the first nodes of each group in one task a
+    group, as many as have ``in_one_task`` edges among them, about; their leaders then take all their later neighbours, which are
+    found in many tasks. So a long chain of decisions takes no rounds of its own.
     """
-    live = edges
-    followers = None
-    left = live.count()
+    waiting, live, led = nodes, edges, None
+    left, links = waiting.count(), live.count()
+    before = Window.partitionBy("g").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     while left:
-        share = min(1.0, in_one_task / left)
-        cut = live.agg(F.percentile_approx("late", share)).first()[0] if share < 1 else live.agg(F.max("late")).first()[0]
-        early = live.filter(F.col("late") <= cut)
-        if left <= in_one_task or early.count() <= 2 * in_one_task:
-            first = stage(early.groupBy().applyInPandas(_followers, "n long"), "cluster-followers")
-            led = live.filter((F.col("late") > cut) & (F.col("early") <= cut)).join(first, F.col("early") == F.col("n"), "left_anti")
-            gone = first.union(led.select(F.col("late").alias("n")).distinct())
-        else:
-            waiting = live.select(F.col("late").alias("n")).distinct()
-            heads = live.select(F.col("early").alias("n")).distinct().join(waiting, "n", "left_anti")
-            gone = live.join(heads, live["early"] == heads["n"], "left_semi").select(F.col("late").alias("n")).distinct()
-            cut = -1
-        gone = stage(gone, "cluster-followers")
-        rest = live.filter(F.col("early") > cut).join(gone, live["late"] == gone["n"], "left_anti")
-        live = stage(rest.join(gone, F.col("early") == gone["n"], "left_anti"), "cluster-edges")
-        left = live.count()
-        followers = gone if followers is None else stage(followers.union(gone), "cluster-followers")
-    if followers is None:
-        return edges.select("late", F.col("early").alias("leader"))
-    led = edges.join(followers, edges["early"] == followers["n"], "left_anti")
-    return led.groupBy("late").agg(F.min("early").alias("leader"))
+        held = waiting.select("g", F.shiftright("id", block_bits).alias("block"), F.lit(1).alias("n"), F.lit(0).alias("m"))
+        if links:
+            held = held.unionAll(live.select("g", F.shiftright("late", block_bits), F.lit(0), F.lit(1)))
+        blocks = held.groupBy("g", "block").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+        upto = [F.coalesce(F.sum(c).over(before), F.lit(0)) < max(most, 1) for c, most in (("n", nodes_in_one_task), ("m", in_one_task))]
+        ends = blocks.withColumn("now", upto[0] & upto[1]).groupBy("g").agg(
+            F.max(F.when(F.col("now"), F.col("block"))).alias("last"), F.sum("n").alias("waiting")
+        )
+        ends = stage(ends, "cluster-ends")
+        first = waiting.join(ends, "g").filter(F.shiftright("id", block_bits) <= F.col("last")).select(nodes.columns)
+        among = live.join(ends, "g").filter(F.shiftright("late", block_bits) <= F.col("last")).select(edges.columns)
+        decide = _decided(threshold, most_kept)
+        schema = "g long, id long, leader long, text string, single boolean, others array<int>"
+        now = stage(first.groupBy("g").cogroup(among.groupBy("g")).applyInPandas(decide, schema), "cluster-decided")
+        led = now.select("id", "leader") if led is None else led.unionAll(now.select("id", "leader"))
+        gone = now.groupBy("g").agg(F.max("id").alias("upto"), F.count(F.lit(1)).alias("done"))
+        parts = F.ceil((F.col("waiting") - F.col("done")) / tried_in_one_task).cast("int")
+        gone = stage(gone.join(ends, "g").filter("waiting > done").select("g", "upto", parts.alias("parts")), "cluster-ends")
+        if not gone.count():
+            break
+        rest = waiting.join(gone, "g").filter("id > upto").select(*nodes.columns, "parts")
+        leaders = now.filter("leader = id")
+
+        tried = rest.filter(F.size("others") > 0).select(*nodes.columns, F.pmod(F.xxhash64("id"), "parts").alias("part"))
+        each = gone.select(F.col("g").alias("of"), F.explode(F.sequence(F.lit(1), "parts")).alias("nth")).withColumn("part", F.col("nth").cast("long") - 1)
+        leading = leaders.filter(F.size("others") > 0).join(each, F.col("g") == F.col("of")).select(*nodes.columns, "part")
+        met = tried.groupBy("g", "part").cogroup(leading.groupBy("g", "part"))
+        later = met.applyInPandas(_looked_up(threshold), "id long, leader long")
+        if links:
+            open_ = live.join(gone, "g").filter("late > upto").select(edges.columns)
+            by_edge = open_.join(leaders.select(F.col("id").alias("early")).hint("merge"), "early")
+            later = later.unionAll(by_edge.select(F.col("late").alias("id"), F.col("early").alias("leader")))
+        later = stage(later.groupBy("id").agg(F.min("leader").alias("leader")), "cluster-followers")
+        led = led.unionAll(later)
+        ids = later.select("id").hint("merge")
+        waiting = stage(rest.select(nodes.columns).join(ids, "id", "left_anti"), "cluster-waiting")
+        left = waiting.count()
+        if links and left:
+            live = live.join(gone, "g").filter("early > upto").select(edges.columns)
+            live = live.join(ids.withColumnRenamed("id", "late"), "late", "left_anti")
+            live = stage(live.join(ids.withColumnRenamed("id", "early"), "early", "left_anti"), "cluster-edges")
+            links = live.count()
+    return nodes.select("id", F.col("id").alias("leader")) if led is None else led
+
+
+def peeled(edges: DataFrame, in_one_task: int = IN_ONE_TASK, block_bits: int = BLOCK_BITS) -> DataFrame:
+    """``late, leader``: for every node that has an earlier leader, the first of them. ``edges`` (``early, late``)
+    is staged; a node that no earlier leader matches is a leader."""
+    ends = edges.select(F.explode(F.array("early", "late")).alias("id")).distinct()
+    others = F.array().cast("array<int>").alias("others")
+    nodes = ends.select(F.lit(0).cast("long").alias("g"), "id", F.lit("").alias("text"), F.lit(False).alias("single"), others)
+    links = edges.select(F.lit(0).cast("long").alias("g"), "early", "late")
+    led = decided(stage(nodes, "cluster-waiting"), links, NAME_THRESHOLD, in_one_task, block_bits=block_bits)
+    return led.filter("id <> leader").select(F.col("id").alias("late"), "leader")
 
 
 def fuzzy_wide(
@@ -317,12 +459,13 @@ def fuzzy_wide(
     nodes = stage(nodes.select("g", "n.id", "n.text", "n.p.*", "weight", "votes"), "cluster-nodes")
     headed = stage(led_by_heads(nodes, threshold, heads), "cluster-headed")
     rest = headed.filter(F.col("leader").isNull() & (F.size("tokens") > 0)).drop("leader")
-    partners = stage(with_partners(rest), "cluster-partners")
-    near = compared(partners, threshold).filter(_matches(threshold)("a_text", "b_text")).select("a", "b")
-    near = near.unionByName(matched_by_cuts(partners, threshold).select("a", "b"))
-    edges = stage(near.select(F.col("a").alias("early"), F.col("b").alias("late")).distinct(), "cluster-edges")
-    led = peeled(edges).withColumnRenamed("leader", "later")
-    joined = headed.join(led, headed["id"] == led["late"], "left").withColumn("leader", F.coalesce("leader", "later", "id"))
+    partners = with_partners(rest).withColumn("g", F.col("gid"))
+    near = compared(partners, threshold).filter(_matches(threshold)("a_text", "b_text"))
+    edges = stage(near.select("g", F.col("a").alias("early"), F.col("b").alias("late")).distinct(), "cluster-edges")
+    waiting = partners.select("g", "id", F.array_join("tokens", " ").alias("text"), "single", "others")
+    led = decided(stage(waiting, "cluster-waiting"), edges, threshold).select("id", F.col("leader").alias("later"))
+    own = headed.select("g", "id", "text", "weight", "votes", "leader")
+    joined = own.join(led.hint("merge"), "id", "left").withColumn("leader", F.coalesce("leader", "later", "id"))
     sums = joined.groupBy("g", "leader").agg(
         F.sum("weight").alias("weight"), F.sum("votes").alias("votes"), F.max(F.when(F.col("id") == F.col("leader"), F.col("text"))).alias("text")
     )

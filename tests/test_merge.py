@@ -1,6 +1,7 @@
 """Merge rules against brute force in plain Python, array and distributed forms."""
 
 import random
+import re
 from collections import Counter
 from decimal import Decimal
 from statistics import median, median_low
@@ -13,6 +14,7 @@ from concord.functions.similarity import token_set_ratio
 from concord.operators import votes, clusters, golden, ranks, wide
 from concord.operators.golden import FUZZY, MODE, PAIR, SINGLE, TIGHT_PAIR, UNION, PriceRange
 from concord.schema import AMOUNT
+from concord.session import stage
 
 RULES = {
     "name": FUZZY,
@@ -261,6 +263,62 @@ def test_leaders_are_peeled_in_order(spark):
         assert {r["late"]: r["leader"] for r in led} == {1: 0, 3: 2, 5: 4, 7: 6, 9: 8, 21: 20, 22: 20, 32: 30}
 
 
+def numbered_nodes(spark, texts):
+    """Staged nodes of groups ``g``; ids rise with the place in ``texts``."""
+    df = spark.createDataFrame([(g, i, t) for i, (g, t) in enumerate(texts)], "g string, id long, text string")
+    return stage(df.withColumn("p", clusters._parts("text")).select("g", "id", "text", "p.*"))
+
+
+@pytest.mark.parametrize("limits", [{}, {"nodes_in_one_task": 150, "in_one_task": 60, "most_kept": 1200, "tried_in_one_task": 30, "block_bits": 1}])
+def test_numbered_names_are_decided_in_order(spark, limits):
+    """Leaders of each group by visiting one by one, whatever a round takes."""
+    rng = random.Random(4)
+    names = [f"Customer#{i:09d}" for i in rng.sample(range(3000), 260)] + [f"old {rng.choice('abc')}{i % 7}x" for i in range(40)]
+    names += ["Customer# 000000012", "Customer#0000012", "old", "oldax", "Customer#000000012 ltd"]
+    rng.shuffle(names)
+    texts = [(g, t) for g, some in (("a", names), (None, names[:80]), ("b", ["lone"])) for t in dict.fromkeys(some)]
+    partners = clusters.with_partners(numbered_nodes(spark, texts))
+    partners = partners.withColumn("g", partners["gid"])
+    near = clusters.compared(partners, 90).filter(clusters._matches(90)("a_text", "b_text"))
+    edges = stage(near.selectExpr("g", "a AS early", "b AS late").distinct())
+    nodes = stage(partners.selectExpr("g", "id", "array_join(tokens, ' ') AS text", "single", "others"))
+    got = {r["id"]: r["leader"] for r in clusters.decided(nodes, edges, 90, **limits).collect()}
+    want, leads = {}, []
+    for i, (g, t) in enumerate(texts):
+        want[i] = next((j for j in leads if texts[j][0] == g and token_set_ratio(t, texts[j][1]) >= 90), i)
+        leads += [i] if want[i] == i else []
+    assert got == want and len(leads) < len(texts) / 2
+
+
+def test_numbered_names_list_no_matches_and_broadcast_no_names(spark, monkeypatch):
+    """Files of numbered names are a hundredth of their rows, so their size must not decide on a broadcast."""
+    counts, plans = {}, []
+
+    def watched(df, label="stage"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        out = stage(df, label)
+        counts.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(clusters, "stage", watched)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    held = spark.conf.get(limit)
+    spark.conf.set(limit, "64k")
+    try:
+        names = [f"Customer#{i:09d}" for i in range(1500)]
+        df = spark.createDataFrame([(1, t) for t in names], "g int, t string")
+        got = clusters.fuzzy_wide(df, ["g"], "t", ["t"], heads=1)
+        plans.append(got._jdf.queryExecution().executedPlan().toString())
+        row = got.first()
+    finally:
+        spark.conf.set(limit, held)
+    assert (row["chosen"], row["sources"]) == (heaviest_leader(names, 90), len(names))
+    assert max(counts["cluster-edges"]) < len(names)
+    joins = [line for plan in plans for line in plan.splitlines() if "Join [" in line]
+    assert [line for line in joins if re.search(r"[\[ ](id|item|early|late)#", line.split("], [")[0])]
+    assert not [line for line in joins if "BroadcastHashJoin" in line and re.search(r"[\[ ](id|item|early|late)#", line.split("], [")[0])]
+
+
 def test_name_vote_weighs_copies_by_their_square():
     assert heaviest_leader(["A B", "C", "D", "D", "A B C", "A B D"], 90) == "D"
     assert heaviest_leader(["X", "Y"], 90) == "X"
